@@ -89,12 +89,18 @@ def host_conflicts(table: DataFrame) -> DataFrame:
     return places.where(F.col("places") > 1)
 
 
-def load(metrics: DataFrame, hosts: DataFrame) -> Dictionaries:
-    """Measure both dictionaries; refuse an empty metric dictionary.
+def load(metrics: DataFrame, hosts: DataFrame, folder: str) -> Dictionaries:
+    """Resolve both dictionaries once into tables under ``folder``, and measure them.
 
-    Without a single known metric every row would be dropped without notice.
+    Jobs then join the stored tables and do not walk the hierarchy again. An empty
+    metric dictionary is refused: with it every row would be dropped without notice.
     """
-    names = measured(metrics, "NAME")
+    spark = metrics.sparkSession
+    stored = {}
+    for name, rows in (("metrics", metrics), ("hosts", hosts)):
+        rows.write.parquet(f"{folder}/{name}")
+        stored[name] = spark.read.parquet(f"{folder}/{name}")
+    names = measured(stored["metrics"], "NAME")
     if names.count == 0:
         raise ValueError("the metric dictionary is empty")
-    return Dictionaries(names, measured(hosts, "host"))
+    return Dictionaries(names, measured(stored["hosts"], "host"))
