@@ -13,4 +13,4 @@ def time_prefix(rowkey: Column) -> Column:
 
 def parts(rowkey: Column) -> Column:
     """All parts, with trailing empty ones left out (``a|h|`` has two)."""
-    return F.split(F.rtrim(rowkey, F.lit("|")), "[|]")
+    return F.split(F.rtrim(rowkey, F.lit("|")), r"\|")

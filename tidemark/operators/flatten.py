@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import cell, rowkey, text, time
-from tidemark.schemas import CORRUPT, METRIC, STRING, wire_event
+from tidemark.schemas import CORRUPT, STRING, WIRE_METRIC, wire_event
 
 # Reasons a record is set aside, by the unit that failed.
 BAD_PAYLOAD = "bad_payload"  # message: not base64, damaged or missing
@@ -26,6 +26,19 @@ BAD_METRIC = "bad_metric"  # metric: no value under its name
 DATASOURCE_NAME = "dsmetrics"
 
 
+_VALUES = T.MapType(STRING, WIRE_METRIC)
+_LISTS = T.MapType(STRING, T.ArrayType(STRING))
+_BUCKETS = T.ArrayType(
+    T.StructType(
+        [
+            T.StructField("rowkey", STRING),
+            T.StructField("values", _VALUES),
+            T.StructField("lists", _LISTS),
+        ]
+    )
+)
+
+
 def _event_array(message: Column, schema: T.StructType) -> tuple[Column, Column]:
     """(parsed message, its events) for a JSON array text.
 
@@ -108,25 +121,28 @@ def unpivot_metrics(events: DataFrame, zone: str = "UTC") -> DataFrame:
     ids = [c for c in events.columns if c not in ("metrics", "datasources", "reason", "raw")]
     whole = F.col("reason").isNull()
 
-    nothing = F.lit(None).cast(T.MapType(STRING, _VALUE))
+    # Both kinds of bucket as one list: (rowkey, values of a metric bucket, lists of a
+    # datasource bucket), so that a single pass over the message yields both.
     arms = []
     if has_metrics:
         arms.append(
             F.transform(
                 F.map_entries("metrics"),
                 lambda e: F.struct(
-                    e["key"].alias("rowkey"), e["value"].alias("values"), _no_items().alias("items")
+                    e["key"].alias("rowkey"),
+                    e["value"].alias("values"),
+                    F.lit(None).cast(_LISTS).alias("lists"),
                 ),
             )
         )
     if has_datasources:
         arms.append(
             F.transform(
-                F.filter(F.map_entries("datasources"), lambda e: F.size(e["value"]) > 0),
+                F.map_entries("datasources"),
                 lambda e: F.struct(
                     e["key"].alias("rowkey"),
-                    nothing.alias("values"),
-                    collect_items(e["value"]).alias("items"),
+                    F.lit(None).cast(_VALUES).alias("values"),
+                    e["value"].alias("lists"),
                 ),
             )
         )
@@ -134,24 +150,23 @@ def unpivot_metrics(events: DataFrame, zone: str = "UTC") -> DataFrame:
     buckets = F.when(whole, F.concat(*filled) if len(filled) > 1 else filled[0])
 
     bucketed = events.select(*ids, "reason", "raw", F.explode_outer(buckets).alias("_bucket"))
-    is_datasource = F.col("_bucket.items").isNotNull()
-    key = F.col("_bucket.rowkey")
-    short = is_datasource & (F.size(rowkey.parts(key)) < 3)
-    keyed = (
-        bucketed.where(
-            F.col("reason").isNotNull() | is_datasource | (F.size("_bucket.values") > 0)
-        )
-        .select(
-            *ids,
-            "reason",
-            "raw",
-            key.alias("rowkey"),
-            F.col("_bucket.values").alias("_values"),
-            F.col("_bucket.items").alias("_items"),
-            F.when(~short, rowkey.time_prefix(key)).alias("_prefix"),
-        )
-        .withColumn("_millis", time.bucket_millis(F.col("_prefix"), zone))
-        .withColumn("RTIME", time.reverse_time(F.col("_millis")))
+    filled_bucket = (F.size("_bucket.values") > 0) | (F.size("_bucket.lists") > 0)
+    listed = bucketed.where(F.col("reason").isNotNull() | filled_bucket).select(
+        *ids,
+        "reason",
+        "raw",
+        F.col("_bucket.rowkey").alias("rowkey"),
+        F.col("_bucket.values").alias("_values"),
+        collect_items(F.col("_bucket.lists")).alias("_items"),
+        F.when(F.col("_bucket.lists").isNotNull(), rowkey.parts(F.col("_bucket.rowkey"))).alias(
+            "_parts"
+        ),
+    )
+    # The place of a datasource bucket is in its key; a short key does not say it.
+    short = F.coalesce(F.size("_parts") < 3, F.lit(False))
+    prefix = F.when(~short, rowkey.time_prefix(F.col("rowkey")))
+    keyed = listed.withColumn("_prefix", prefix).withColumn(
+        "RTIME", time.reverse_time(time.bucket_millis(F.col("_prefix"), zone))
     )
     reason = F.coalesce(
         "reason",
@@ -166,6 +181,7 @@ def unpivot_metrics(events: DataFrame, zone: str = "UTC") -> DataFrame:
         "rowkey",
         "RTIME",
         "_items",
+        "_parts",
         F.when(F.col("reason").isNull(), F.col("_values")).alias("_values"),
     )
     entries = checked.select(
@@ -175,18 +191,22 @@ def unpivot_metrics(events: DataFrame, zone: str = "UTC") -> DataFrame:
         "rowkey",
         "RTIME",
         "_items",
+        "_parts",
         F.explode_outer("_values").alias("name", "_value"),
     )
     ordinary = F.col("_items").isNull()
     lost = F.col("reason").isNull() & ordinary & F.col("_value").isNull()
-    pieces = rowkey.parts(F.col("rowkey"))
     value = F.col("_value")
+
+    def place(field: str, part: int) -> Column:
+        return text.clean(F.when(ordinary, value[field]).otherwise(F.get("_parts", part)))
+
     return entries.select(
         *ids,
         "rowkey",
         F.when(ordinary, F.col("name")).otherwise(F.lit(DATASOURCE_NAME)).alias("name"),
-        text.clean(F.when(ordinary, value["host"]).otherwise(F.get(pieces, 1))).alias("host"),
-        text.clean(F.when(ordinary, value["instance"]).otherwise(F.get(pieces, 2))).alias("instance"),
+        place("host", 1).alias("host"),
+        place("instance", 2).alias("instance"),
         "RTIME",
         cell.metric(
             value["count"], value["sum"], value["min"], value["max"], F.col("_items")
@@ -196,22 +216,6 @@ def unpivot_metrics(events: DataFrame, zone: str = "UTC") -> DataFrame:
     )
 
 
-_VALUE = wire_event().fields[3].dataType.valueType.valueType
-_BUCKETS = T.ArrayType(
-    T.StructType(
-        [
-            T.StructField("rowkey", STRING),
-            T.StructField("values", T.MapType(STRING, _VALUE)),
-            T.StructField("items", METRIC["items"].dataType),
-        ]
-    )
-)
-
-
-def _no_items() -> Column:
-    return F.lit(None).cast(METRIC["items"].dataType)
-
-
 def good(entries: DataFrame) -> DataFrame:
     """Entries that could be read."""
     return entries.where(F.col("reason").isNull()).drop("reason", "raw")
