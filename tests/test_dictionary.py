@@ -114,3 +114,26 @@ def test_a_hot_key_is_shared_by_many_tasks(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_what_salts_leave_too_large_is_split_at_run_time(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    rows = spark.range(0, 40000, 1, 16).select(F.lit("hot").alias("name"), "id")
+    pairs = spark.createDataFrame([("hot", 1), ("cold", 2)], "NAME string, MID int")
+    large = replace(measured(pairs, "NAME"), small=False)
+    for key, setting in settings.items():
+        spark.conf.set(key, setting)
+    try:
+        joined = lookup(rows, large, "name", "left", salts=1)
+        assert joined.where("MID = 1").count() == 40000
+        joined.collect()
+        assert "skew=true" in plan(joined)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)

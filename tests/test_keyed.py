@@ -124,3 +124,20 @@ def test_peek(spark):
     rows = written(spark, *[(i, "a", i, 1.0) for i in range(30)])
     assert stores.peek(rows).count() == 10
     assert [r.MID for r in stores.peek(rows, 3, ["MID"]).collect()] == [0, 1, 2]
+
+
+def test_a_date_with_most_rows_is_written_by_many_tasks(spark):
+    rows = spark.range(20000).select(
+        F.lit(1).alias("MID"),
+        F.lit(R).alias("RTIME"),
+        *[F.concat(F.lit(k), F.col("id")).alias(k) for k in ("ENV", "APP", "HOST", "INSTANCE")],
+        F.struct(F.xxhash64("id").alias("count")).alias("METRIC"),
+    )
+    path = new_dir(spark, "log")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100KB")
+    try:
+        table.write_log(rows.repartition(16), path)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = spark.read.parquet(path).select(F.input_file_name()).distinct().count()
+    assert files > 3 and table.read_log(spark, path).count() == 20000

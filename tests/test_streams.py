@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.plans import queries, rows as jobs
+from tidemark.plans import job, queries, rows as jobs
 from tidemark.session import new_dir
 from tidemark.sinks import table
 from tidemark.sources import fixtures, messages as logs
@@ -86,3 +86,19 @@ def test_kafka_options():
     more = logs.kafka_options("a:1,b:2", "t", None, "earliest", 1000, 64)
     assert more["maxOffsetsPerTrigger"] == "1000" and more["minPartitions"] == "64"
     assert "kafka.group.id" not in more
+
+
+@pytest.mark.parametrize("mode", ["rows", "keep-all", "json", "windows", "rollup"])
+def test_command_line(spark, sf, mode):
+    path = new_dir(spark, "job")
+    given = {
+        "path": path,
+        "checkpoint": new_dir(spark, "checkpoint"),
+        "interval": "once",
+        "files": fixtures.table_path(spark, sf, "messages"),
+        "metric-ids": fixtures.table_path(spark, sf, "metric_ids"),
+        "hierarchy": fixtures.table_path(spark, sf, "hierarchy"),
+    }
+    argv = [mode, *(x for k, v in given.items() for x in (f"--{k}", v))]
+    job.start(spark, job.parser().parse_args(argv)).awaitTermination()
+    assert spark.read.parquet(path).count() > 0

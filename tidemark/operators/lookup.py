@@ -44,9 +44,12 @@ def lookup(
     """Join ``rows`` to a dictionary on ``rows[key] = dictionary.key``.
 
     The dictionary's key column is dropped; its other columns are added. With a
-    small dictionary the join is narrow. Otherwise the dictionary is repeated once
-    per salt, and each row picks a salt from its own content, so that a key held by
-    a third of the rows is shared by ``salts`` tasks and a rerun task picks the same.
+    small dictionary the join is narrow. Otherwise both sides are shuffled. The
+    dictionary is repeated once per salt, and each row picks a salt from its own
+    content, so that a key held by a third of the rows is shared by ``salts`` tasks
+    and a rerun task picks the same. What is still too large for one task is split
+    further by the adaptive skew join, which batch jobs have and streams do not;
+    there a micro-batch bounds the rows.
     """
     match = dictionary.rows.withColumnRenamed(dictionary.key, "_key")
     if dictionary.small:

@@ -117,6 +117,10 @@ def oracles() -> dict[str, str]:
     base = [EVENTS, METRIC_IDS, HIERARCHY, ROWS]
     metric_rows = _with(base, f"\nSELECT event_id, {KEY}, {MEASURES} FROM rows_kept")
     typed = _with(base, f"\nSELECT event_id, {KEY} FROM rows_kept")
+    window_rows = _with(
+        [*base, WINDOWS],
+        f"\nSELECT window_start_ms, window_end_ms, event_id, {KEY}, {MEASURES} FROM starts",
+    )
     everything = _with(base, f"\nSELECT event_id, {KEY}, {MEASURES}, metric_items FROM everything")
     return {
         "decode_payload": _with(
@@ -228,15 +232,13 @@ WHERE pick = 1""",
 SELECT event_id, {KEY}, {MEASURES} FROM rows_kept
 ORDER BY "RTIME", "MID", "ENV", "HOST", "INSTANCE", event_id LIMIT 20""",
         ),
-        "sliding_window_rows": _with(
-            [*base, WINDOWS],
-            f"\nSELECT window_start_ms, window_end_ms, event_id, {KEY}, {MEASURES} FROM starts",
-        ),
+        "sliding_window_rows": window_rows,
         "rollup_5m": _with([*base, WINDOWS], _rolled(SERIES)),
         "rollup_5m_by_env": _with([*base, WINDOWS], _rolled('"MID", "ENV"')),
         "stream_metric_rows": metric_rows,
         "stream_quarantine": _with([DAMAGE], "\nSELECT message_id, found[2] AS reason FROM found"),
         "stream_row_json": typed,
+        "stream_window_rows": window_rows,
         # A window is out once the newest row lies the watermark's delay past its end.
         "stream_rollup_5m": _with(
             [*base, WINDOWS],

@@ -270,12 +270,14 @@ def batch_peek(spark: SparkSession, sf: str) -> DataFrame:
 
 def sliding_window_rows(spark: SparkSession, sf: str) -> DataFrame:
     rows = jobs.metric_rows(messages(spark, sf), dictionaries(spark, sf), ORDINARY)
-    windows = rollup.sliding_window_rows(rows).withColumns(
+    return _window_rows(rollup.sliding_window_rows(rows))
+
+
+def _window_rows(windows: DataFrame) -> DataFrame:
+    bounds = windows.withColumns(
         {"window_start": F.col("window.start"), "window_end": F.col("window.end")}
     )
-    return windows.select(
-        millis("window_start"), millis("window_end"), *row_columns(*MEASURES)
-    )
+    return bounds.select(millis("window_start"), millis("window_end"), *row_columns(*MEASURES))
 
 
 def _windows(rolled: DataFrame, key: list[str]) -> DataFrame:
@@ -332,6 +334,14 @@ def stream_row_json(spark: SparkSession, sf: str) -> DataFrame:
     return typed.select("event_id", *ROW_KEY)
 
 
+def stream_window_rows(spark: SparkSession, sf: str) -> DataFrame:
+    path, checkpoint = new_dir(spark, "stream-windows"), new_dir(spark, "checkpoint")
+    streams.start_window_rows(
+        _message_stream(spark, sf), dictionaries(spark, sf), path, checkpoint, None, ORDINARY
+    ).awaitTermination()
+    return _window_rows(spark.read.parquet(path))
+
+
 def stream_rollup_5m(spark: SparkSession, sf: str) -> DataFrame:
     path, checkpoint = new_dir(spark, "stream-rollup"), new_dir(spark, "checkpoint")
     streams.start_rollup(
@@ -374,6 +384,7 @@ QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     stream_metric_rows,
     stream_quarantine,
     stream_row_json,
+    stream_window_rows,
     stream_rollup_5m,
 ]
 

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidemark.operators.dictionary import Dictionaries
 from tidemark.operators.enrich import as_rows
-from tidemark.operators.rollup import LENGTH, SLIDE, stream_rollup
+from tidemark.operators.rollup import LENGTH, SLIDE, sliding_window_rows, stream_rollup
 from tidemark.operators.rowjson import to_row_json
 from tidemark.plans.rows import Options, metric_rows, tagged_rows
 from tidemark.schemas import SERIES_KEY
@@ -62,6 +62,22 @@ def start_row_json(
     return _to_files(texts, path, checkpoint, interval).start()
 
 
+def start_window_rows(
+    messages: DataFrame,
+    dictionaries: Dictionaries,
+    path: str,
+    checkpoint: str,
+    interval: str | None = INTERVAL,
+    options: Options = Options(),
+    length: str = LENGTH,
+    slide: str = SLIDE,
+) -> StreamingQuery:
+    """Append each row once per sliding window that contains it; keeps no state."""
+    rows = metric_rows(messages, dictionaries, options)
+    windows = sliding_window_rows(rows, length=length, slide=slide)
+    return _to_files(windows, path, checkpoint, interval).start()
+
+
 def start_rollup(
     messages: DataFrame,
     dictionaries: Dictionaries,
