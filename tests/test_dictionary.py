@@ -51,12 +51,12 @@ def test_the_point_read_reaches_the_scan(spark):
 
 
 def test_an_empty_metric_dictionary_is_refused(spark):
-    none = spark.createDataFrame([], "NAME string, MID int")
-    hosts = spark.createDataFrame([], "host string, env string, app string")
+    none = spark.createDataFrame([], "ID int, NAME string")
     with pytest.raises(ValueError):
-        dictionary.load(none, hosts, new_dir(spark, "dictionaries"))
-    one = spark.createDataFrame([("click", 2)], "NAME string, MID int")
-    found = dictionary.load(one, hosts, new_dir(spark, "dictionaries"))
+        dictionary.resolve(none, table(spark, *WALK), new_dir(spark, "dictionaries"))
+    one = spark.createDataFrame([(2, "click")], "ID int, NAME string")
+    nowhere = spark.createDataFrame([], "rowkey string, qualifier string")
+    found = dictionary.resolve(one, nowhere, new_dir(spark, "dictionaries"))
     assert found.metrics.count == 1 and found.metrics.small and found.hosts.count == 0
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import clean, filled
@@ -89,18 +89,28 @@ def host_conflicts(table: DataFrame) -> DataFrame:
     return places.where(F.col("places") > 1)
 
 
-def load(metrics: DataFrame, hosts: DataFrame, folder: str) -> Dictionaries:
-    """Resolve both dictionaries once into tables under ``folder``, and measure them.
+def store(metrics: DataFrame, hosts: DataFrame, folder: str) -> None:
+    """Resolve both dictionaries once into tables under ``folder``.
 
-    Jobs then join the stored tables and do not walk the hierarchy again. An empty
-    metric dictionary is refused: with it every row would be dropped without notice.
+    Jobs then join the stored tables and do not walk the hierarchy again.
     """
-    spark = metrics.sparkSession
-    stored = {}
-    for name, rows in (("metrics", metrics), ("hosts", hosts)):
-        rows.write.parquet(f"{folder}/{name}")
-        stored[name] = spark.read.parquet(f"{folder}/{name}")
-    names = measured(stored["metrics"], "NAME")
+    metrics.write.parquet(f"{folder}/metrics")
+    hosts.write.parquet(f"{folder}/hosts")
+
+
+def load(spark: SparkSession, folder: str) -> Dictionaries:
+    """The stored dictionaries, measured.
+
+    An empty metric dictionary is refused: with it every row would be dropped without
+    notice.
+    """
+    names = measured(spark.read.parquet(f"{folder}/metrics"), "NAME")
     if names.count == 0:
         raise ValueError("the metric dictionary is empty")
-    return Dictionaries(names, measured(stored["hosts"], "host"))
+    return Dictionaries(names, measured(spark.read.parquet(f"{folder}/hosts"), "host"))
+
+
+def resolve(meta: DataFrame, hierarchy: DataFrame, folder: str) -> Dictionaries:
+    """Dictionaries from raw (ID, NAME) and (rowkey, qualifier) rows, stored and measured."""
+    store(metric_dictionary(meta), host_dictionary(hierarchy), folder)
+    return load(meta.sparkSession, folder)

@@ -39,13 +39,17 @@ def sliding_window_rows(
     return rows.withColumn("window", F.window(event_time() if ts is None else ts, length, slide))
 
 
-def merged() -> list[Column]:
-    """Aggregates that merge METRIC cells, as ``count sum min max``."""
+PARTS = ["count", "sum", "min", "max"]
+
+
+def merged(cell_path: str = "") -> list[Column]:
+    """Aggregates that merge the parts of METRIC, plain or inside ``cell_path``."""
+    at = f"{cell_path}." if cell_path else ""
     return [
-        F.sum("METRIC.count").alias("count"),
-        F.sum("METRIC.sum").alias("sum"),
-        F.min("METRIC.min").alias("min"),
-        F.max("METRIC.max").alias("max"),
+        F.sum(f"{at}count").alias("count"),
+        F.sum(f"{at}sum").alias("sum"),
+        F.min(f"{at}min").alias("min"),
+        F.max(f"{at}max").alias("max"),
     ]
 
 
@@ -56,9 +60,8 @@ def measures(rows: DataFrame) -> DataFrame:
 
 def as_cell(df: DataFrame) -> DataFrame:
     """``count sum min max`` back into one METRIC column."""
-    parts = ["count", "sum", "min", "max"]
     none = F.lit(None).cast("string")
-    return df.withColumn("METRIC", cell.metric(*[F.col(p) for p in parts], none)).drop(*parts)
+    return df.withColumn("METRIC", cell.metric(*[F.col(p) for p in PARTS], none)).drop(*PARTS)
 
 
 def rollup(
@@ -92,7 +95,7 @@ def rollup(
         measures(rows)
         .select(*key, (millis - F.pmod(millis, F.lit(pane))).alias("_pane"), "METRIC")
         .groupBy(*key, "_pane")
-        .agg(*merged())
+        .agg(*merged("METRIC"))
     )
     newest = F.col("_pane") - F.pmod(F.col("_pane"), F.lit(slide))
     # Starts at or before the pane whose window still reaches it.
@@ -103,13 +106,8 @@ def rollup(
     ).repartition(*key, "_block")
     low = F.greatest(oldest, F.col("_block"))
     high = F.least(newest, F.col("_block") + (block - slide))
-    parts = [F.col(c).alias(c) for c in ("count", "sum", "min", "max")]
-    windows = placed.select(
-        *key,
-        "_block",
-        F.explode(F.sequence(low, high, F.lit(slide))).alias("_start"),
-        F.struct(*parts).alias("METRIC"),
-    )
+    starts = F.explode(F.sequence(low, high, F.lit(slide))).alias("_start")
+    windows = placed.select(*key, "_block", starts, *PARTS)
     done = windows.groupBy(*key, "_block", "_start").agg(*merged())
     return as_cell(done).select(
         *key,
@@ -134,7 +132,7 @@ def stream_rollup(
     """
     timed = measures(rows).withColumn("_ts", event_time() if ts is None else ts)
     grouped = timed.withWatermark("_ts", delay).groupBy(F.window("_ts", length, slide), *key)
-    done = as_cell(grouped.agg(*merged()))
+    done = as_cell(grouped.agg(*merged("METRIC")))
     return done.select(
         *key,
         F.col("window.start").alias("window_start"),

@@ -11,7 +11,10 @@ from tidemark.schemas import ROW_KEY
 
 
 def latest_per_key(
-    rows: DataFrame, order: Sequence[str], key: Sequence[str] = ROW_KEY, tie: str = "METRIC"
+    rows: DataFrame,
+    order: Sequence[str],
+    key: Sequence[str] = ROW_KEY,
+    tie: str | None = "METRIC",
 ) -> DataFrame:
     """The row of each key that was written last by the ``order`` columns.
 
@@ -19,7 +22,7 @@ def latest_per_key(
     keeps one row per key in each task before the shuffle (a window group limit),
     so a key that holds a third of all rows reaches its task as a handful.
     """
-    newest = [F.col(c).desc_nulls_last() for c in [*order, tie]]
+    newest = [F.col(c).desc_nulls_last() for c in [*order, *([tie] if tie else [])]]
     ranked = rows.withColumn(
         "_rank", F.row_number().over(Window.partitionBy(*key).orderBy(*newest))
     )

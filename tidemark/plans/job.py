@@ -85,11 +85,8 @@ def _dictionaries(spark: SparkSession, args: argparse.Namespace) -> Dictionaries
         ids = metadata.metric_ids_from_files(spark, args.metric_ids)
     else:
         raise SystemExit("give --metric-ids or --jdbc-url")
-    return dictionary.load(
-        dictionary.metric_dictionary(ids),
-        dictionary.host_dictionary(metadata.hierarchy_from_files(spark, args.hierarchy)),
-        new_dir(spark, "dictionaries"),
-    )
+    hierarchy = metadata.hierarchy_from_files(spark, args.hierarchy)
+    return dictionary.resolve(ids, hierarchy, new_dir(spark, "dictionaries"))
 
 
 def start(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:

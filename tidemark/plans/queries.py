@@ -32,9 +32,9 @@ PEEK_ROWS = 20
 @cache
 def dictionaries(spark: SparkSession, sf: str) -> Dictionaries:
     """Resolved once per session, as a job does when it starts."""
-    return dictionary.load(
-        dictionary.metric_dictionary(fixtures.table(spark, sf, "metric_ids")),
-        dictionary.host_dictionary(fixtures.table(spark, sf, "hierarchy")),
+    return dictionary.resolve(
+        fixtures.table(spark, sf, "metric_ids"),
+        fixtures.table(spark, sf, "hierarchy"),
         new_dir(spark, "dictionaries"),
     )
 

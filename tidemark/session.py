@@ -22,6 +22,8 @@ def prepare(spark: SparkSession) -> SparkSession:
         "spark.sql.streaming.stateStore.providerClass",
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     )
+    # A batch then uploads its changes and not a snapshot of the whole state.
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     return spark
 
 

@@ -11,7 +11,6 @@ import base64
 import gzip
 import sys
 from collections.abc import Iterator
-from functools import cache
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -212,19 +211,18 @@ def derive_damaged(ev: DataFrame) -> DataFrame:
 
 def derive_replayed(rows: DataFrame) -> DataFrame:
     """All rows with ``seq``, and a corrected copy of the purchases sent later."""
-    first = rows.withColumn("seq", F.col("event_id"))
     cell = F.col("METRIC")
     more = F.struct(
         cell["count"].alias("count"),
         *[(cell[c] + 1).alias(c) for c in ("sum", "min", "max")],
         cell["items"].alias("items"),
     )
-    later = (
-        rows.where(F.col("MID") == METRIC_IDS["purchase"])
-        .withColumn("METRIC", more)
-        .withColumn("seq", F.col("event_id") + 1_000_000)
-    )
-    return first.unionByName(later)
+    first = F.struct(cell.alias("METRIC"), F.col("event_id").alias("seq"))
+    later = F.struct(more.alias("METRIC"), (F.col("event_id") + 1_000_000).alias("seq"))
+    purchase = F.col("MID") == METRIC_IDS["purchase"]
+    sent = F.when(purchase, F.array(first, later)).otherwise(F.array(first))
+    rest = [c for c in rows.columns if c != "METRIC"]
+    return rows.select(*rest, F.inline(sent))
 
 
 DERIVED = {
@@ -236,16 +234,21 @@ DERIVED = {
 }
 
 
-@cache
+_PATHS: dict[tuple[str, str, str], str] = {}
+
+
 def table_path(spark: SparkSession, sf_dir: str, name: str) -> str:
-    """Where a derived table lies, written once per session into the shared folder.
+    """Where a derived table lies, written once per application into the shared folder.
 
     Reading jobs then start from stored messages, as they would in use, and a lost
     executor costs one file and not the derivation.
     """
-    path = new_dir(spark, name)
-    DERIVED[name](events(spark, sf_dir)).write.parquet(path)
-    return path
+    slot = (spark.sparkContext.applicationId, sf_dir, name)
+    if slot not in _PATHS:
+        path = new_dir(spark, name)
+        DERIVED[name](events(spark, sf_dir)).write.parquet(path)
+        _PATHS[slot] = path
+    return _PATHS[slot]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
