@@ -29,13 +29,16 @@ def log_layout(rows: DataFrame) -> DataFrame:
     return rows.withColumns({"outcome": outcome, "event_date": F.when(outcome == ROW, date)})
 
 
-def write_log(rows: DataFrame, path: str, mode: str = "append") -> None:
+def write_log(rows: DataFrame, path: str, mode: str = "append", even: bool = True) -> None:
     """Write rows as files of even size per date, newest rows first in each file.
 
     The rebalance splits a date that holds most rows and joins small ones, and the
-    order lets a reader of recent times skip row groups.
+    order lets a reader of recent times skip row groups. ``even=False`` leaves out
+    this shuffle, for input whose tasks each hold few dates already.
     """
-    laid = log_layout(rows).hint("rebalance", *PARTITIONS)
+    laid = log_layout(rows)
+    if even:
+        laid = laid.hint("rebalance", *PARTITIONS)
     ordered = laid.sortWithinPartitions(*PARTITIONS, "RTIME")
     ordered.write.mode(mode).partitionBy(*PARTITIONS).parquet(path)
 
