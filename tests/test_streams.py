@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.plans import job, queries, rows as jobs
+from tidemark.schemas import ROW_KEY
 from tidemark.session import new_dir
 from tidemark.sinks import table
 from tidemark.sources import fixtures, messages as logs
@@ -75,6 +76,20 @@ def test_a_batch_owns_its_folder(spark, sf, files):
     assert len(once) == jobs.metric_rows(log, found).count() and len(asked) == 3
 
 
+@pytest.mark.parametrize("as_json", [False, True])
+def test_a_store_gets_the_last_row_of_each_key(spark, sf, files, as_json):
+    found, path = queries.dictionaries(spark, sf), new_dir(spark, "store")
+    log = spark.read.parquet(files)
+    write = streams.store_writer(
+        found, ["event_id"], as_json=as_json, fmt="parquet", mode="append", path=path
+    )
+    write(log.union(log), 0)  # every message twice
+    stored = spark.read.parquet(path)
+    assert stored.columns == (ROW_KEY if as_json else [*ROW_KEY, "METRIC"])
+    keys = jobs.metric_rows(log, found).select(*ROW_KEY).distinct()
+    assert held(stored.select(*ROW_KEY)) == held(keys)
+
+
 def test_kafka_options():
     assert logs.kafka_options() == {
         "kafka.bootstrap.servers": "localhost:9092",

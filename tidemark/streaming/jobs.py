@@ -9,15 +9,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidemark.operators.dictionary import Dictionaries
 from tidemark.operators.enrich import as_rows
 from tidemark.operators.rollup import LENGTH, SLIDE, sliding_window_rows, stream_rollup
-from tidemark.operators.rowjson import to_row_json
+from tidemark.operators.rowjson import from_row_json, to_row_json
+from tidemark.operators.upsert import latest_per_key
 from tidemark.plans.rows import Options, metric_rows, tagged_rows
 from tidemark.schemas import SERIES_KEY
-from tidemark.sinks.stores import peek
+from tidemark.sinks.stores import KEYED_FORMAT, peek, stored_rows, write_rows
 from tidemark.sinks.table import PARTITIONS, log_layout, write_log
 
 # Fixed value: the time between micro-batches when none is given.
@@ -119,6 +121,32 @@ def batch_writer(
     return write
 
 
+def store_writer(
+    dictionaries: Dictionaries | Callable[[], Dictionaries],
+    order: list[str],
+    options: Options = Options(),
+    as_json: bool = False,
+    fmt: str = KEYED_FORMAT,
+    mode: str = "overwrite",
+    **settings: str,
+) -> Callable[[DataFrame, int], None]:
+    """What a per-batch query does to upsert a micro-batch into a keyed store.
+
+    The store takes rows in any order, so only the last of each key is sent. With
+    ``as_json`` rows pass through JSON texts and the declared schema, without METRIC.
+    """
+
+    def write(messages: DataFrame, batch_id: int) -> None:
+        now = dictionaries() if callable(dictionaries) else dictionaries
+        rows = latest_per_key(metric_rows(messages, now, options), order)
+        if as_json:
+            typed = from_row_json(to_row_json(rows))
+            rows = typed.where(F.col("corrupt").isNull())
+        write_rows(stored_rows(rows), fmt, mode, **settings)
+
+    return write
+
+
 def start_batches(
     messages: DataFrame,
     write: Callable[[DataFrame, int], None],
