@@ -7,8 +7,10 @@ import pytest
 
 import __spark_entry__ as contract
 
-QUERIES = contract.queries()
-ORACLES = contract.oracle_sql()
+from tidemark.plans import oracles, queries as registered
+
+QUERIES = registered.registry()
+ORACLES = oracles.oracles()
 
 
 @pytest.fixture(scope="module")
