@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
+from itertools import islice, repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,48 +48,75 @@ def is_empty(df: DataFrame) -> bool:
 class PieceCache:
     """Encodings of short pieces, found by piece; a batch is put together with numpy.
 
-    ``encode`` takes a list of pieces and gives a list of integer rows, each a list of
-    equally long tuples. The memory is bounded: a full cache starts again.
+    ``encode`` takes a list of pieces and gives for each an array of integers, of ``width``
+    columns. The memory is bounded: a full cache forgets its younger half, as what comes
+    often comes early.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[np.ndarray]], width: int = 1, limit: int = 300_000):
+    def __init__(self, encode: Callable[[list[str]], list[np.ndarray]], width: int = 1, limit: int = 500_000):
         self.encode, self.width, self.limit = encode, width, limit
-        self.clear()
-
-    def clear(self) -> None:
         self.place: dict[str, int] = {}
-        self.flat = np.empty((1024, self.width), np.int32)
+        self.chars = 0
+        self.flat = np.empty((1024, width), np.int32)
         self.ends = np.zeros(1024, np.int64)
 
+    def _forget(self) -> None:
+        self.place = dict(islice(self.place.items(), self.limit // 2))
+        if self.chars > 64 * self.limit:
+            self.place = {}
+        self.chars = sum(map(len, self.place))
+
     def _learn(self, new: list[str]) -> None:
         rows = self.encode(new)
         at, used = len(self.place), int(self.ends[len(self.place)])
-        lengths = np.fromiter(map(len, rows), np.int64, len(rows))
+        lengths = np.fromiter((np.size(r) // self.width for r in rows), np.int64, len(rows))
         while at + len(new) + 1 > len(self.ends):
             self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
         while used + lengths.sum() > len(self.flat):
             self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
         if lengths.sum():
-            self.flat[used : used + lengths.sum()] = np.concatenate([np.asarray(r, np.int32).reshape(-1, self.width) for r in rows])
+            self.flat[used : used + lengths.sum()] = np.concatenate([np.asarray(r).astype(np.int32, copy=False).reshape(-1, self.width) for r in rows])
         self.ends[at + 1 : at + 1 + len(new)] = used + np.cumsum(lengths)
         self.place.update(zip(new, range(at, at + len(new))))
+        self.chars += sum(map(len, new))
+
+    def places(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Where the rows of each piece start, and how many there are."""
+        if len(self.place) > self.limit or self.chars > 64 * self.limit:
+            self._forget()
+        at = np.fromiter(map(self.place.get, pieces, repeat(-1)), np.int64, len(pieces))
+        missing = np.nonzero(at < 0)[0]
+        if len(missing):
+            unknown = [pieces[i] for i in missing.tolist()]
+            self._learn(list(dict.fromkeys(unknown)))
+            at[missing] = np.fromiter(map(self.place.__getitem__, unknown), np.int64, len(unknown))
+        return self.ends[at], self.ends[at + 1] - self.ends[at]
+
+    def rows(self, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """All rows in a line: each one's place is a step on, or a jump to the next piece."""
+        filled = lengths > 0
+        starts, counts = starts[filled], lengths[filled]
+        steps = np.ones(int(counts.sum()), np.int64)
+        if len(steps):
+            steps[0] = starts[0]
+            steps[np.cumsum(counts)[:-1]] = starts[1:] - starts[:-1] - counts[:-1] + 1
+        return self.flat[np.cumsum(steps)]
 
     def gather(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The rows of all pieces in a line, and how many each piece has."""
-        if len(self.place) > self.limit:
-            self.clear()
-        place = self.place
-        new = [p for p in dict.fromkeys(pieces) if p not in place]
-        if new:
-            self._learn(new)
-        at = np.fromiter(map(place.__getitem__, pieces), np.int64, len(pieces))
-        starts = self.ends[at]
-        lengths = self.ends[at + 1] - starts
-        total = int(lengths.sum())
-        steps = np.arange(total) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        return self.flat[np.repeat(starts, lengths) + steps], lengths
-
-
-def in_pieces(items: list, size: int) -> Iterator[list]:
-    for i in range(0, len(items), size):
-        yield items[i : i + size]
+        starts, lengths = self.places(pieces)
+        return self.rows(starts, lengths), lengths
+
+
+def gather_words(cache: PieceCache, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The rows of the ASCII-separated words of all texts, and how many rows each text has."""
+    split = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
+    words = split.flatten().dictionary_encode()
+    at, lengths = cache.places(words.dictionary.to_pylist())
+    which = words.indices.to_numpy(zero_copy_only=False)
+    rows = cache.rows(at[which], lengths[which])
+    upto = np.concatenate([[0], np.cumsum(lengths[which])])[np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))])]
+    return rows, np.diff(upto)
+
+
+def texts_of(batch) -> list[str]:
+    return ["" if t is None or t != t else t for t in batch]

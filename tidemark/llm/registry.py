@@ -6,11 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact, mixing, urls
+from tidemark.llm import exact, mixing, pieces, quality, rules, tokens, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": exact.op2_exact_dedup,
     "op3_url_filter": urls.op3_url_filter,
+    "op4_token_ids": tokens.op4_token_ids,
+    "op6_pieces": pieces.op6_pieces,
+    "op8_quality": quality.op8_quality,
+    "op9_quality_rules": rules.op9_quality_rules,
     "op10_mixing": mixing.op10_mixing,
 }
 
