@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact, mixing, pieces, quality, rules, tokens, urls
+from tidemark.llm import exact, forest, mixing, pieces, quality, rules, tokens, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_minhash_forest": forest.op1_minhash_forest,
     "op2_exact_dedup": exact.op2_exact_dedup,
     "op3_url_filter": urls.op3_url_filter,
     "op4_token_ids": tokens.op4_token_ids,
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_minhash_forest": forest.OP1_SQL,
     "op2_exact_dedup": exact.OP2_SQL,
     "op3_url_filter": urls.OP3_SQL,
     "op10_mixing": mixing.OP10_SQL,
