@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact, forest, mixing, pieces, quality, rules, tokens, urls
+from tidemark.llm import exact, forest, mixing, pieces, private, quality, rules, tokens, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_forest": forest.op1_minhash_forest,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_filter": urls.op3_url_filter,
     "op4_token_ids": tokens.op4_token_ids,
     "op6_pieces": pieces.op6_pieces,
+    "op7_private": private.op7_private,
     "op8_quality": quality.op8_quality,
     "op9_quality_rules": rules.op9_quality_rules,
     "op10_mixing": mixing.op10_mixing,
