@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact, forest, mixing, pieces, private, quality, rules, tokens, urls
+from tidemark.llm import exact, forest, licenses, mixing, pieces, private, quality, rules, tokens, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_forest": forest.op1_minhash_forest,
     "op2_exact_dedup": exact.op2_exact_dedup,
     "op3_url_filter": urls.op3_url_filter,
     "op4_token_ids": tokens.op4_token_ids,
+    "op5_licenses": licenses.op5_licenses,
     "op6_pieces": pieces.op6_pieces,
     "op7_private": private.op7_private,
     "op8_quality": quality.op8_quality,
