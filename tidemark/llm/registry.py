@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import exact, forest, licenses, mixing, pieces, private, quality, rules, tokens, urls
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": quality.op8_quality,
     "op9_quality_rules": rules.op9_quality_rules,
     "op10_mixing": mixing.op10_mixing,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES: dict[str, str] = {
