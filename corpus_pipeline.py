@@ -9,31 +9,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import exact, forest, mixing, pieces, rules
-from tidemark.llm.common import stored, table
+from tidemark.llm.common import ready, stored, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that neither the base rules nor the outlier test reject."""
+    ready(spark)
     return rules.passed(docs)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each text."""
+    ready(spark)
     return exact.unique(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: five words to a shingle, similarity 0.8."""
+    ready(spark)
     return forest.one_of_each(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as their source's target asks for, in training order."""
+    ready(spark)
     return mixing.mixed(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every row of the mix, as digests."""
+    ready(spark)
     return pieces.digests(docs)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 from itertools import islice, repeat
 
@@ -19,11 +20,17 @@ WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def ready(spark: SparkSession) -> SparkSession:
+    """Session settings. Python workers on this machine find the package where the driver has."""
     prepare(spark)
     # Texts have any length: an Arrow batch is also cut by its bytes.
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    spark.sparkContext.environment.setdefault("PYTHONPATH", os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+    return spark
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return ready(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -111,7 +118,7 @@ def gather_words(cache: PieceCache, texts: pa.Array) -> tuple[np.ndarray, np.nda
     """The rows of the ASCII-separated words of all texts, and how many rows each text has."""
     split = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
     words = split.flatten().dictionary_encode()
-    at, lengths = cache.places(words.dictionary.to_pylist())
+    at, lengths = cache.places(words.dictionary.to_numpy(zero_copy_only=False).tolist())
     which = words.indices.to_numpy(zero_copy_only=False)
     rows = cache.rows(at[which], lengths[which])
     upto = np.concatenate([[0], np.cumsum(lengths[which])])[np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))])]
