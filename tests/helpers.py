@@ -6,6 +6,10 @@ from datetime import datetime, timezone
 from tidemark.functions.time import LONG_MAX
 from tidemark.operators.dictionary import Dictionaries
 from tidemark.operators.lookup import measured
+from tidemark.plans.rows import Options
+
+
+WIRE = Options(carry=(("event_id", "bigint"),))
 
 
 def payload(obj) -> str:

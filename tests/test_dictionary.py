@@ -97,26 +97,11 @@ def test_a_large_dictionary_gives_the_same_rows(spark, how):
     want = places(lookup(rows, small, "name", how).select("id"))
     large = lookup(rows, replace(small, small=False), "name", how)
     assert places(large.select("id")) == want
-    spread = lookup(rows.where("name = 'hot'"), replace(small, small=False), "name", how, salts=8)
-    assert spread.columns == lookup(rows, small, "name", how).columns
+    assert large.columns == lookup(rows, small, "name", how).columns
+    assert "SortMergeJoin" in plan(large) and "BroadcastHashJoin" not in plan(large)
 
 
-def test_a_hot_key_is_shared_by_many_tasks(spark):
-    rows = spark.range(4000).select(F.lit("hot").alias("name"), "id")
-    pairs = spark.createDataFrame([("hot", 1)], "NAME string, MID int")
-    large = replace(measured(pairs, "NAME"), small=False)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        joined = lookup(rows, large, "name").withColumn("task", F.spark_partition_id())
-        shares = [r["count"] for r in joined.groupBy("task").count().collect()]
-        assert sum(shares) == 4000 and len(shares) == 4 and max(shares) < 2500
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-
-
-def test_what_salts_leave_too_large_is_split_at_run_time(spark):
+def test_a_hot_key_is_split_at_run_time(spark):
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
@@ -130,7 +115,7 @@ def test_what_salts_leave_too_large_is_split_at_run_time(spark):
     for key, setting in settings.items():
         spark.conf.set(key, setting)
     try:
-        joined = lookup(rows, large, "name", "left", salts=1)
+        joined = lookup(rows, large, "name", "left")
         assert joined.where("MID = 1").count() == 40000
         joined.collect()
         assert "skew=true" in plan(joined)

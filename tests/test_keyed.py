@@ -1,5 +1,7 @@
 """Upsert, log, compaction, row JSON, and what stores get."""
 
+import json
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -12,7 +14,7 @@ from tidemark.plans import rows as jobs
 from tidemark.schemas import ROW, ROW_KEY
 from tidemark.session import new_dir
 from tidemark.sinks import stores, table
-from tests.helpers import dictionaries, event, messages, plan, reverse, value
+from tests.helpers import WIRE, dictionaries, event, messages, plan, reverse, value
 
 R = reverse("202401010000")
 
@@ -56,7 +58,7 @@ def test_a_hot_key_shrinks_before_the_shuffle(spark):
 def sent(spark, total, bad=False):
     key = "202401010000|h1|i0"
     array = [event(7, metrics={key: {"click": value(total=total)}}), event(8, metrics={"202401020000|h2|i0": {"error": value("h2")}})]
-    return jobs.tagged_rows(messages(spark, array, *(["["] if bad else [])), dictionaries(spark))
+    return jobs.tagged_rows(messages(spark, array, *(["["] if bad else [])), dictionaries(spark), WIRE)
 
 
 def test_log_holds_rows_and_quarantine_and_prunes_by_date(spark):
@@ -66,7 +68,20 @@ def test_log_holds_rows_and_quarantine_and_prunes_by_date(spark):
     assert sorted(str(r.event_date) for r in log.collect()) == ["2024-01-01", "2024-01-02"]
     assert [r.reason for r in table.read_log(spark, path, outcome=table.BAD).collect()] == ["bad_json"]
     day = table.current(log, ["event_id"], dates=["2024-01-02"])
-    assert day.count() == 1 and "PartitionFilters: [isnotnull(outcome" in plan(day)
+    assert day.count() == 1
+    filters = [line for line in plan(day).split("PartitionFilters: [")[1:]]
+    assert filters and all("outcome" in f.split("]")[0] and "event_date" in f.split("]")[0] for f in filters)
+
+
+def test_only_changed_dates_are_compacted(spark):
+    log, base, later, changed = (new_dir(spark, "t") for _ in range(4))
+    table.write_log(sent(spark, 2.0), log)
+    table.compact(spark, [log], base, ["event_id"])
+    table.write_log(sent(spark, 5.0).where("MID = 2").withColumn("event_id", F.col("event_id") + 10), later)
+    table.compact_changed(spark, base, [later], changed, ["event_id"])
+    rows = table.read_layers(spark, base, changed)
+    assert sorted((r.MID, r.METRIC["sum"]) for r in rows.collect()) == [(1, 2.0), (2, 5.0)]
+    assert [str(r.event_date) for r in table.read_log(spark, changed).collect()] == ["2024-01-01"]
 
 
 def test_writing_a_batch_again_leaves_the_table_as_it_was(spark):
@@ -81,25 +96,24 @@ def test_writing_a_batch_again_leaves_the_table_as_it_was(spark):
         table.compact(spark, [first], one, ["event_id"])
 
 
-def test_typed_rows_of_the_known_sample(spark):
-    sample = (
-        '{"APP":"bag","RTIME":9223370548285855807,"MID":%d,"HOST":"host5121",'
-        '"INSTANCE":"bag_m01","ENV":"Qa15"}'
-    )
-    mids = [33, 39, 38, 36, 37]
-    raw = '{"APP":"app1","RTIME":9223370548286455807,"METRIC":[B@2334de54,"MID":77,"HOST":"h","INSTANCE":"i","ENV":"e"}'
+def test_typed_rows_from_texts(spark):
+    rows = [(i, R - i * 60_000, f"env{i}", None if i % 2 else f"app{i}", f"host{i}", f"i{i}") for i in range(1, 4)]
+    fine = [json.dumps(dict(zip(reversed(ROW_KEY), reversed(row)))) for row in rows]
+    unquoted = fine[0].replace('"MID"', '"METRIC": <cell 01ab>, "MID"')
     lacking = '{"MID":1,"RTIME":2,"ENV":"e"}'
-    texts = [sample % m for m in mids] + [raw, lacking, "", None]
+    wrong = [unquoted, lacking, "", fine[0] + fine[1], fine[0] + " junk", f'{fine[0]}],"x":[{fine[1]}', f"[{fine[0]}]", '{"MID":"x"}']
+    texts = [*fine, *wrong, None]
     typed = rowjson.from_row_json(spark.createDataFrame([(t,) for t in texts], "value string"))
     good = typed.where(F.col("corrupt").isNull()).collect()
-    assert sorted(r.MID for r in good) == sorted(mids)
-    assert all(
-        (r.RTIME, r.ENV, r.APP, r.HOST, r.INSTANCE)
-        == (9223370548285855807, "Qa15", "bag", "host5121", "bag_m01")
-        for r in good
-    )
+    assert sorted(tuple(r[c] for c in ROW_KEY) for r in good) == sorted(rows)
     corrupt = sorted(r.corrupt for r in typed.where("corrupt IS NOT NULL").collect())
-    assert corrupt == sorted(["", "", lacking, raw])
+    assert corrupt == sorted([*wrong, ""])
+
+
+def test_a_cell_is_one_object(spark):
+    texts = ['{"count":1}', '{"count":1}{"count":2}', '{"count":1} junk', '{"count":1}],"x":[{}', "[]", "", None]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r.m and r.m["count"] for r in frame.select(cell.load(F.col("t")).alias("m")).collect()] == [1, *[None] * 6]
 
 
 def test_row_json_writes_nulls(spark):

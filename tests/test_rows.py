@@ -1,12 +1,14 @@
 """Messages to rows, on hand-built messages."""
 
 import json
+from dataclasses import replace
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import enrich, flatten
 from tidemark.plans import rows as jobs
-from tests.helpers import dictionaries, event, messages, plan, reverse, value
+from tests.helpers import WIRE, dictionaries, event, messages, payload, plan, reverse, value
 
 B = "202401010000"
 KEY = f"{B}|h1|i0"
@@ -63,8 +65,8 @@ def test_unknown_names_and_empty_hosts_are_dropped(spark):
 
 def test_keeping_all_rows_under_a_default_environment(spark):
     odd = event(metrics={KEY: {"click": value(host=None), "error": value(host="unknown")}})
-    assert rows_of(spark, [odd, click("")], options=jobs.KEEP_ALL) == [
-        (1, "MCOM", None, "unknown", "i0"), (2, "", "cart", "h1", "i0"), (2, "MCOM", None, None, "i0"),
+    assert rows_of(spark, [odd, click("")], options=replace(jobs.KEEP_ALL, default_env="none")) == [
+        (1, "none", None, "unknown", "i0"), (2, "", "cart", "h1", "i0"), (2, "none", None, None, "i0"),
     ]
 
 
@@ -112,7 +114,9 @@ def test_one_bad_record_does_not_cost_its_neighbours(spark):
     assert rows_of(spark, array) == [
         (2, "dev", "shop", "h1", "i0"), (2, "dev", "two", "h1", "i0")
     ]
-    assert [(u, r) for u, r, _ in bad_of(spark, array)] == [("event", "bad_event")] * 5
+    assert [(u, r) for u, r, _ in bad_of(spark, array)] == [("event", "bad_event")] * 4
+    carried = jobs.quarantine(messages(spark, array), WIRE)  # a text where a number is asked for
+    assert [r.reason for r in carried.collect()] == ["bad_event"] * 5
     valueless = event(metrics={KEY: {"click": None, "error": value()}})
     assert bad_of(spark, [valueless]) == [("metric", "bad_metric", f"{KEY}|click")]
     assert len(rows_of(spark, [valueless])) == 1
@@ -124,6 +128,85 @@ def test_messages_that_are_no_array(spark):
     assert bad_of(spark, []) == []
 
 
+def test_a_message_is_one_array_and_nothing_else(spark):
+    one, two = json.dumps([click("dev", "a")]), json.dumps([click("dev", "b")])
+    texts = [one + two, f"{one}\n{two}", f"{one} garbage", f"{one}}} junk", f'{one},"events":{two}', f'{one},"_whole":{two}',
+             f'{one}],"x":[{two}', f'{one}] ,"_whole":[{two}', f'{one}],"_end":1,"x":[1', f'{one},"_whole":{two},"_end":1', f"{one},{two}", f"{one}]", f"[{one}", f'{one},"\\u005fwhole":{two}']
+    assert bad_of(spark, *texts) == sorted(("message", "bad_json", t) for t in texts)
+    assert rows_of(spark, *texts) == []
+    fine = [f" {one}\n", json.dumps([click("_whole", "_end")]), json.dumps([click("d\u00e9", "\u0001")])]
+    assert len(rows_of(spark, *fine)) == 3 and bad_of(spark, *fine) == []
+
+
+def test_members_of_one_payload_make_one_text(spark):
+    import base64
+    import gzip
+
+    parts = [json.dumps([click("dev", a)]) for a in "ab"]
+    whole = base64.b64encode(b"".join(gzip.compress(p.encode()) for p in parts)).decode()
+    frame = spark.createDataFrame([(1, whole)], "message_id bigint, value string")
+    assert [(r.reason, r.raw) for r in jobs.quarantine(frame).collect()] == [("bad_json", "".join(parts))]
+
+
+def test_a_text_identifier_keeps_its_event(spark):
+    named = {**click("dev", "shop"), "event_id": "a7f-uuid"}
+    assert rows_of(spark, [named]) == [(2, "dev", "shop", "h1", "i0")]
+    options = jobs.Options(carry=(("event_id", "string"),))
+    rows = jobs.metric_rows(messages(spark, [named]), dictionaries(spark), options).collect()
+    assert [r.event_id for r in rows] == ["a7f-uuid"]
+
+
+def test_items_that_are_no_objects_are_set_aside(spark):
+    for odd in ("abc", 1, None, [1], "{x"):
+        ds = event(datasources={KEY: {"p": [{"a": 1}, odd]}}, metrics={KEY: {"click": value()}})
+        assert bad_of(spark, [ds]) == [("bucket", "bad_item", KEY)]
+        assert rows_of(spark, [ds]) == [(2, "prod", "cart", "h1", "i0")]
+
+
+def test_of_keys_that_come_twice_the_last_counts(spark):
+    one, two = (json.dumps({"click": value(total=t)}) for t in (2.0, 9.0))
+    text = f'[{{"metrics":{{"{KEY}":{one},"{KEY}":{two}}}}}]'
+    inner = f'[{{"metrics":{{"{KEY}":{one[:-1]},{two[1:]}}}}}]'
+    for doubled in (text, inner):
+        rows = jobs.metric_rows(messages(spark, doubled), dictionaries(spark)).collect()
+        assert [r.METRIC["sum"] for r in rows] == [9.0]
+
+
+def test_every_record_has_a_fate(spark):
+    array = [click("dev"), click(host="unknown"), event(metrics={KEY: {"view": value()}}), 5]
+    found = jobs.fates(messages(spark, array, "["), dictionaries(spark))
+    counts = {r.fate: r["count"] for r in found.groupBy("fate").count().collect()}
+    assert counts == {"kept": 1, "no_place": 1, "unknown_name": 1, "bad_event": 1, "bad_json": 1}
+
+
+def test_a_row_without_its_place_is_not_dropped_unseen(spark):
+    rows = jobs.metric_rows(messages(spark, [click(host="unknown")]), dictionaries(spark), jobs.KEEP_ALL)
+    with pytest.raises(Exception, match="a row without ENV"):
+        enrich.as_rows(rows).collect()
+
+
+def test_a_large_dictionary_keeps_texts_out_of_the_shuffles(spark):
+    found = dictionaries(spark)
+    large = replace(found, metrics=replace(found.metrics, small=False), hosts=replace(found.hosts, small=False))
+    array = [click("dev", "shop"), click(), click(host="unknown"), 5]
+    small_rows, rows = (jobs.tagged_rows(messages(spark, array, "["), d) for d in (found, large))
+    assert sorted(map(repr, rows.select(*small_rows.columns).collect())) == sorted(map(repr, small_rows.collect()))
+    text = plan(jobs.metric_rows(messages(spark, array), large))
+    assert "BroadcastHashJoin" not in text and text.count("SortMergeJoin") >= 2
+    joined = rows.where("reason IS NULL")
+    for line in plan(joined).split("\n"):
+        assert not ("Exchange" in line and "raw" in line)
+
+
+def test_messages_do_not_depend_on_the_splits(spark, sf):
+    from tidemark.sources import fixtures
+
+    ev = fixtures.events(spark, sf)
+    made = [fixtures.derive_messages(e) for e in (ev.coalesce(1), ev.repartition(4), ev.sort(F.rand(3)).repartition(16))]
+    first, *rest = (sorted((r.message_id, r.value) for r in m.collect()) for m in made)
+    assert len(first) == -(-ev.count() // 10) and all(r == first for r in rest)
+
+
 def test_rows_and_quarantine_come_from_one_pass(spark):
     array = [click("dev", "shop"), 5, event(metrics={"x": {"click": value()}})]
     tagged = jobs.tagged_rows(messages(spark, array, "["), dictionaries(spark))

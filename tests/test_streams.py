@@ -81,7 +81,7 @@ def test_a_store_gets_the_last_row_of_each_key(spark, sf, files, as_json):
     found, path = queries.dictionaries(spark, sf), new_dir(spark, "store")
     log = spark.read.parquet(files)
     write = streams.store_writer(
-        found, ["event_id"], as_json=as_json, fmt="parquet", mode="append", path=path
+        found, ["event_id"], queries.WIRE, as_json=as_json, fmt="parquet", mode="append", path=path
     )
     write(log.union(log), 0)  # every message twice
     stored = spark.read.parquet(path)
@@ -90,6 +90,54 @@ def test_a_store_gets_the_last_row_of_each_key(spark, sf, files, as_json):
     assert held(stored.select(*ROW_KEY)) == held(keys)
 
 
+def test_files_per_date_are_bounded(spark, sf, files):
+    found = queries.dictionaries(spark, sf)
+    path, checkpoint = new_dir(spark, "rows"), new_dir(spark, "checkpoint")
+    source = logs.file_messages(spark, files, fixtures.MESSAGES, max_files=1)
+    query = streams.start_rows(source, found, path, checkpoint, None, files=2)
+    query.awaitTermination()
+    batches = len(query.recentProgress)
+    seen = query.recentProgress[0].observedMetrics["fates"]
+    assert seen.kept > 0 and seen.unknown_name > 0
+    made = table.read_log(spark, path).select("event_date", F.input_file_name().alias("file")).distinct()
+    assert made.groupBy("event_date").count().agg(F.max("count")).first()[0] <= 2 * batches
+
+
+def test_an_empty_log_can_be_read(spark, sf, files):
+    found, path = queries.dictionaries(spark, sf), new_dir(spark, "rows")
+    none = spark.read.parquet(files).where("false")
+    table.write_log(jobs.tagged_rows(none, found), path)
+    assert table.read_log(spark, path).count() == 0
+    bad = spark.createDataFrame([(1, "%%%")], none.schema)
+    table.write_log(jobs.tagged_rows(bad, found), path)
+    assert table.read_log(spark, path).count() == 0
+    assert dict(table.read_log(spark, path, outcome=table.BAD).dtypes)["event_date"] == "date"
+    table.remove(spark, path)
+
+
+def test_records_set_aside_go_to_their_own_folder(spark, sf):
+    path = new_dir(spark, "bad")
+    damaged = fixtures.table_path(spark, sf, "damaged")
+    source = logs.file_messages(spark, damaged, fixtures.MESSAGES)
+    streams.start_quarantine(source, path, new_dir(spark, "checkpoint"), None).awaitTermination()
+    assert spark.read.parquet(path).count() == jobs.quarantine(spark.read.parquet(damaged)).count()
+
+
+def test_command_line_of_the_store(spark, sf, monkeypatch):
+    given = ["store", "--checkpoint", "c", "--hierarchy", "h", "--metric-ids", "m", "--files", fixtures.table_path(spark, sf, "messages"),
+             "--order", "event_id", "--carry", "event_id:bigint", "--format", "parquet", "--option", "path=/x", "--as-json", "--default-env", "e"]
+    taken = {}
+    monkeypatch.setattr(job.jobs, "store_writer", lambda *a, **k: taken.update(args=a, options=k))
+    monkeypatch.setattr(job.jobs, "start_batches", lambda *a: taken.update(started=a))
+    job.start(spark, job.parser().parse_args(given))
+    _, order, options, as_json, fmt, mode, show = taken["args"]
+    assert (order, as_json, fmt, mode, show) == (["event_id"], True, "parquet", "overwrite", 0)
+    assert options.carry == (("event_id", "bigint"),) and options.default_env == "e" and taken["options"] == {"path": "/x"}
+    for wrong in (["store", *given[1:-8]], ["rows", "--show", "3", "--path", "p", *given[1:7]], ["rows", *given[1:7]]):
+        with pytest.raises(SystemExit):
+            job.start(spark, job.parser().parse_args([w for w in wrong if w not in ("--order", "event_id")]))
+
+
 def test_kafka_options():
     assert logs.kafka_options() == {
         "kafka.bootstrap.servers": "localhost:9092",

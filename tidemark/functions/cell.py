@@ -4,11 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tidemark.schemas import CORRUPT, METRIC, STRING
-
-_STORED = T.StructType(METRIC.fields + [T.StructField(CORRUPT, STRING)])
+from tidemark.functions import whole
+from tidemark.schemas import METRIC
 
 
 def metric(count: Column, total: Column, low: Column, high: Column, items: Column) -> Column:
@@ -30,9 +28,9 @@ def store(cell: Column, binary: bool = False) -> Column:
 
 def load(stored: Column, binary: bool = False) -> Column:
     """METRIC struct from a stored cell; NULL where the cell does not hold one."""
-    parsed = F.from_json(F.decode(stored, "UTF-8") if binary else stored, _STORED)
-    fields = F.struct(*[parsed[name].alias(name) for name in METRIC.names])
-    return F.when(parsed.isNotNull() & parsed[CORRUPT].isNull(), fields)
+    text = F.decode(stored, "UTF-8") if binary else stored
+    parsed = whole.parse(text, METRIC)
+    return F.when(whole.fits(parsed, text), whole.value(parsed))
 
 
 def average(cell: Column) -> Column:

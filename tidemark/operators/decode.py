@@ -29,19 +29,23 @@ FLUSH_BYTES = 16 << 20
 CELL_LIMIT = (1 << 31) - (1 << 16)
 
 
-def inflate(payload: bytes, bits: int) -> bytes | None:
+class TooLarge(ValueError):
+    """A payload whose text no Spark string cell can hold."""
+
+
+def inflate(payload: bytes, bits: int, limit: int = CELL_LIMIT) -> bytes | None:
     """All members of a compressed payload; None if it is damaged or cut short."""
-    texts, left = [], CELL_LIMIT
+    texts, left = [], limit
     try:
         while payload:
             member = zlib.decompressobj(bits)
             texts.append(member.decompress(payload, left))
+            left -= len(texts[-1])
+            if member.unconsumed_tail or left <= 0 and (not member.eof or member.unused_data):
+                raise TooLarge
             if not member.eof:
                 return None
-            left -= len(texts[-1])
             payload = member.unused_data
-            if payload and left <= 0:
-                return None
     except zlib.error:
         return None
     return b"".join(texts) if texts else None
@@ -81,6 +85,7 @@ def _batches(bits: int, source: str, names: list[str]) -> Callable:
             values = batch.column(batch.schema.get_field_index(source))
             texts: list[bytes | None] = []
             rejected: list[str | None] = []
+            large: list[bool] = []
             start = size = 0
 
             def flush() -> pa.RecordBatch:
@@ -89,18 +94,24 @@ def _batches(bits: int, source: str, names: list[str]) -> Callable:
                 columns += [
                     pa.array(texts, pa.binary()).cast(pa.string()),
                     pa.array(rejected, pa.string()),
+                    pa.array(large, pa.bool_()),
                 ]
-                return pa.RecordBatch.from_arrays(columns, [*names, "text", "rejected"])
+                return pa.RecordBatch.from_arrays(columns, [*names, "text", "rejected", "too_large"])
 
             for i in range(batch.num_rows):
                 value = values[i].as_py()
-                text = read(value)
+                text, over = None, False
+                try:
+                    text = read(value)
+                except TooLarge:
+                    over = True
                 grow = len(text or b"") + (len(value or "") if text is None else 0)
                 if texts and size + grow > FLUSH_BYTES:
                     yield flush()
-                    start, size, texts, rejected = i, 0, [], []
+                    start, size, texts, rejected, large = i, 0, [], [], []
                 texts.append(text)
                 rejected.append(value if text is None else None)
+                large.append(over)
                 size += grow
             if texts:
                 yield flush()
@@ -109,10 +120,11 @@ def _batches(bits: int, source: str, names: list[str]) -> Callable:
 
 
 def decode_payload(messages: DataFrame, codec: str = "gzip", source: str = "value") -> DataFrame:
-    """Replace the payload column by ``text`` and ``rejected``.
+    """Replace the payload column by ``text``, ``rejected`` and ``too_large``.
 
     ``text`` is the decoded message, NULL if the payload is missing or damaged;
-    ``rejected`` then holds the payload as it came. All other columns pass through.
+    ``rejected`` then holds the payload as it came, and ``too_large`` says whether its text
+    would be longer than a cell can hold. All other columns pass through.
     ``codec``: ``gzip`` or ``zlib`` inside base64, ``none`` for base64 alone,
     ``plain`` for text that is not encoded.
     """
@@ -129,6 +141,7 @@ def decode_payload(messages: DataFrame, codec: str = "gzip", source: str = "valu
     schema = T.StructType(
         [messages.schema[n] for n in names]
         + [T.StructField("text", T.StringType()), T.StructField("rejected", T.StringType())]
+        + [T.StructField("too_large", T.BooleanType())]
     )
     wire = messages.select(*names, payload.alias(source))
     return wire.mapInArrow(_batches(WINDOW_BITS[codec], source, names), schema)
@@ -136,5 +149,8 @@ def decode_payload(messages: DataFrame, codec: str = "gzip", source: str = "valu
 
 def _with_text(messages: DataFrame, names: list[str], text: Column, source: str) -> DataFrame:
     return messages.select(*names, text.alias("text"), F.col(source).alias("_payload")).select(
-        *names, "text", F.when(F.col("text").isNull(), F.col("_payload").cast("string")).alias("rejected")
+        *names,
+        "text",
+        F.when(F.col("text").isNull(), F.col("_payload").cast("string")).alias("rejected"),
+        F.lit(False).alias("too_large"),
     )

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import clean, filled
-from tidemark.operators.lookup import Dictionary, lookup, measured
+from tidemark.operators.lookup import Dictionary, measured
 
 # Row keys of the hierarchy table, built from these words.
 ENVIRONMENTS = "environment"
@@ -51,10 +51,12 @@ def read_rows(table: DataFrame, keys: DataFrame, key: str = "rowkey") -> DataFra
     """Qualifiers of many rows: the table joined to a frame of keys.
 
     All columns of ``keys`` are carried along, so nothing has to be read back out
-    of the text of a key.
+    of the text of a key. The join's form is left to the plan, which sees the sizes as it
+    runs; each hop of a walk is then computed once.
     """
-    found = table.select("rowkey", "qualifier")
-    return lookup(found, measured(keys, key), "rowkey", "inner").drop("rowkey")
+    found = table.select(F.col("rowkey").alias("_row"), "qualifier")
+    match = keys.withColumnRenamed(key, "_key")
+    return found.join(match, F.col("_row") == F.col("_key")).drop("_row", "_key")
 
 
 def host_hierarchy(table: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import clean, filled
@@ -10,18 +10,13 @@ from tidemark.operators.dictionary import Dictionaries
 from tidemark.operators.lookup import Dictionary, lookup
 from tidemark.schemas import ROW, ROW_KEY, STRING
 
-# Fixed value: the environment written for rows that have none, where asked for.
-DEFAULT_ENV = "MCOM"
+# What becomes of an entry; a record set aside has its reason instead.
+KEPT, UNKNOWN_NAME, NO_PLACE = "kept", "unknown_name", "no_place"
 
 
-def known_metrics(entries: DataFrame, metrics: Dictionary, keep: Column | None = None) -> DataFrame:
-    """Add ``MID``; entries whose name the dictionary lacks are dropped.
-
-    ``keep`` marks entries that stay without an id (the quarantined ones).
-    """
-    if keep is None:
-        return lookup(entries, metrics, "name", "inner")
-    return lookup(entries, metrics, "name", "left").where(F.col("MID").isNotNull() | keep)
+def known_metrics(entries: DataFrame, metrics: Dictionary) -> DataFrame:
+    """Add ``MID``; entries whose name the dictionary lacks are dropped."""
+    return lookup(entries, metrics, "name", "inner")
 
 
 def unknown_metrics(entries: DataFrame, metrics: Dictionary) -> DataFrame:
@@ -33,9 +28,15 @@ def unknown_metrics(entries: DataFrame, metrics: Dictionary) -> DataFrame:
 def placed(entries: DataFrame, hosts: Dictionary) -> DataFrame:
     """Add ``ENV`` and ``APP``: the entry's own, else its host's.
 
-    Only a missing value is looked up. A blank one is present, so it stays blank.
+    Only a missing value is looked up. A blank one is present, so it stays blank. Entries
+    that lack neither do not take part in a shuffled join.
     """
-    found = lookup(entries, hosts, "host", "left")
+    lacking = F.col("environment").isNull() | F.col("appname").isNull()
+    if hosts.small:
+        found = lookup(entries, hosts, "host", "left")
+    else:
+        whole = entries.where(~lacking)
+        found = lookup(entries.where(lacking), hosts, "host", "left").unionByName(whole, allowMissingColumns=True)
     return found.select(
         *entries.columns,
         clean(F.coalesce("environment", "env")).alias("ENV"),
@@ -43,30 +44,60 @@ def placed(entries: DataFrame, hosts: Dictionary) -> DataFrame:
     )
 
 
-def enrich(
+def judged(
     entries: DataFrame,
     dictionaries: Dictionaries,
     default_env: str | None = None,
     require_place: bool = True,
 ) -> DataFrame:
-    """Metric rows from entries; quarantined entries pass through unchanged.
+    """Every entry with its ids, its place and its ``fate``; nothing is dropped.
 
-    ``require_place`` drops rows without environment or host. ``default_env`` fills
-    a missing environment first. Every column besides the row's own is carried.
+    A fate is kept, the cause for which the row will be dropped, or the reason for which
+    the record was set aside. ``default_env`` fills a missing environment first.
     """
-    bad = F.col("reason").isNotNull() if "reason" in entries.columns else None
-    named = known_metrics(entries, dictionaries.metrics, keep=bad)
-    rows = placed(named, dictionaries.hosts)
+    bad = F.col("reason").isNotNull() if "reason" in entries.columns else F.lit(False)
+    rows = placed(lookup(entries, dictionaries.metrics, "name", "left"), dictionaries.hosts)
     if default_env is not None:
         rows = rows.withColumn("ENV", F.coalesce("ENV", F.lit(default_env)))
+    fate = F.when(bad, F.col("reason") if "reason" in entries.columns else F.lit(None).cast("string"))
+    fate = fate.when(F.col("MID").isNull(), F.lit(UNKNOWN_NAME))
     if require_place:
         complete = filled(F.col("ENV")) & filled(F.col("host"))
-        rows = rows.where(complete if bad is None else complete | bad)
+        fate = fate.when(~F.coalesce(complete, F.lit(False)), F.lit(NO_PLACE))
+    return rows.withColumn("fate", fate.otherwise(F.lit(KEPT)))
+
+
+def observed(rows: DataFrame, name: str = "fates") -> DataFrame:
+    """Count the fates while the rows go by, in batch or in each micro-batch of a stream."""
+    counts = [F.count_if(F.col("fate") == f).alias(f) for f in (KEPT, UNKNOWN_NAME, NO_PLACE)]
+    aside = F.count_if(~F.col("fate").isin(KEPT, UNKNOWN_NAME, NO_PLACE)).alias("set_aside")
+    return rows.observe(name, *counts, aside)
+
+
+def enrich(
+    entries: DataFrame,
+    dictionaries: Dictionaries,
+    default_env: str | None = None,
+    require_place: bool = True,
+    observe: str | None = None,
+) -> DataFrame:
+    """Metric rows from entries; quarantined entries pass through unchanged.
+
+    ``require_place`` drops rows without environment or host. ``default_env`` fills
+    a missing environment first. ``observe`` names counts of what is kept and dropped.
+    Every column besides the row's own is carried.
+    """
+    rows = judged(entries, dictionaries, default_env, require_place)
+    if observe:
+        rows = observed(rows, observe)
+    rows = rows.where(~F.col("fate").isin(UNKNOWN_NAME, NO_PLACE))
     rest = [c for c in entries.columns if c not in _CONSUMED]
     own = {"HOST": F.col("host"), "INSTANCE": F.col("instance")}
     return rows.select(*[own.get(c, F.col(c)).alias(c) for c in [*ROW_KEY, "METRIC"]], *rest)
 
 
+# Columns of an entry that no row keeps.
+READ_ONLY = ("name", "host", "instance", "environment", "appname", "rowkey")
 _CONSUMED = {
     "name", "host", "instance", "environment", "appname", "RTIME", "METRIC", "rowkey"
 }
@@ -75,16 +106,16 @@ _CONSUMED = {
 def as_rows(rows: DataFrame) -> DataFrame:
     """Exactly the declared row schema, with its non-null columns.
 
-    Rows that lack a non-null column are dropped: they have no place in the table.
+    A row that lacks one of them has no place in the table: the job fails there, rather
+    than drop it unseen. Jobs that keep rows without a place do not use this schema.
     """
-    needed = [f for f in ROW.fields if not f.nullable]
-    kept = rows.where(" AND ".join(f"{f.name} IS NOT NULL" for f in needed))
     typed = []
     for field in ROW.fields:
         column = F.col(field.name).cast(field.dataType)
         if not field.nullable:
-            # The filter above leaves no NULL; the literal only tells the schema so.
+            missing = F.raise_error(F.lit(f"a row without {field.name}")).cast(field.dataType)
+            # The literal only tells the schema that no NULL is left.
             never = F.lit("") if field.dataType == STRING else F.lit(0).cast(field.dataType)
-            column = F.coalesce(column, never)
+            column = F.coalesce(F.when(column.isNull(), missing).otherwise(column), never)
         typed.append(column.alias(field.name))
-    return kept.select(*typed)
+    return rows.select(*typed)

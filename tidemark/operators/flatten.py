@@ -7,11 +7,14 @@ with a ``reason``, so one write can hold the good rows and the quarantine.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions import cell, rowkey, text, time
+from tidemark.functions import cell, rowkey, time, whole
+from tidemark.functions import text as texts
 from tidemark.schemas import CORRUPT, STRING, WIRE_METRIC, wire_event
 
 # Reasons a record is set aside, by the unit that failed.
@@ -21,6 +24,8 @@ BAD_EVENT = "bad_event"  # event: not an object of the wire schema
 BAD_ROWKEY = "bad_rowkey"  # bucket: no time prefix, or too few parts
 BAD_TIME = "bad_time"  # bucket: the prefix is no valid minute
 BAD_METRIC = "bad_metric"  # metric: no value under its name
+BAD_ITEM = "bad_item"  # datasource bucket: an item that is no object
+TOO_LARGE = "too_large"  # message: longer than a text can be
 
 # Fixed value: the dictionary name all datasource rows are stored under.
 DATASOURCE_NAME = "dsmetrics"
@@ -39,19 +44,12 @@ _BUCKETS = T.ArrayType(
 )
 
 
-def _event_array(message: Column, schema: T.StructType) -> tuple[Column, Column]:
-    """(parsed message, its events) for a JSON array text.
-
-    The array is parsed inside an object, because Spark reports records that do
-    not fit only for an object. Just the messages that report one are split and
-    parsed again event by event, so one bad event does not cost its neighbours.
-    """
-    wrapper = T.StructType(
-        [T.StructField("events", T.ArrayType(schema)), T.StructField(CORRUPT, STRING)]
-    )
-    parsed = F.from_json(F.concat(F.lit('{"events":'), message, F.lit("}")), wrapper)
-    pieces = F.from_json(message, T.ArrayType(STRING))
-    return parsed, F.transform(pieces, lambda piece: F.from_json(piece, schema))
+def _last_of_each(held: Column) -> Column:
+    """Entries of a map read from JSON. Of a key that comes twice the last counts."""
+    keys = F.map_keys(held)
+    behind = lambda e, i: F.size(keys) - F.array_position(F.reverse(keys), e["key"]) == i
+    entries = F.map_entries(held)
+    return F.when(F.size(F.array_distinct(keys)) == F.size(keys), entries).otherwise(F.filter(entries, behind))
 
 
 def explode_events(
@@ -60,21 +58,35 @@ def explode_events(
     datasources: bool = True,
     env_key: str = "environment",
     app_key: str = "appname",
+    carry: Sequence[tuple[str, str]] = (),
 ) -> DataFrame:
     """One row per event of each decoded message; null array elements are skipped.
 
     Adds ``event_pos``, ``event``, ``reason`` and ``raw`` in place of ``text`` and
-    ``rejected``. An unreadable message or event stays as one row with a reason.
+    ``rejected``. An unreadable message or event stays as one row with a reason. A message
+    is one array and nothing else: two arrays, also of two compressed members, or text
+    after the array make it unreadable, and it is kept whole. ``carry`` names fields of
+    an event to take along, with their types.
     """
-    ids = [c for c in decoded.columns if c not in ("text", "rejected")]
-    schema = wire_event(metrics, datasources, env_key, app_key)
-    parsed, split = _event_array(F.col("text"), schema)
-    message = decoded.select(*ids, "text", "rejected", parsed.alias("_message"))
-    events = F.when(F.col("_message")[CORRUPT].isNull(), F.col("_message.events")).otherwise(split)
-    listed = message.select(*ids, "text", "rejected", events.alias("_events"))
-    reason = F.when(F.col("text").isNull(), F.lit(BAD_PAYLOAD)).when(
-        F.col("_events").isNull(), F.lit(BAD_JSON)
+    ids = [c for c in decoded.columns if c not in ("text", "rejected", "too_large")]
+    schema = wire_event(metrics, datasources, env_key, app_key, carry)
+    size = [F.col("too_large")] if "too_large" in decoded.columns else []
+    text = F.col("text")
+    message = decoded.select(*ids, "text", "rejected", *size, whole.parse(text, T.ArrayType(schema)).alias("_message"))
+    # One event that does not fit must not cost its neighbours: just the messages that hold
+    # one are split, and parsed event by event.
+    fine = whole.fits(F.col("_message"), text, array=True)
+    again = F.when(~fine, whole.parse(text, T.ArrayType(STRING)))
+    message = message.select("*", fine.alias("_fine"), again.alias("_split"))
+    apart = F.transform(whole.value(F.col("_split")), lambda piece: F.from_json(piece, schema))
+    events = F.when(F.col("_fine"), whole.value(F.col("_message"))).when(
+        whole.fits(F.col("_split"), text, array=True), apart
     )
+    listed = message.select(*ids, "text", "rejected", *size, events.alias("_events"))
+    unread = F.lit(BAD_PAYLOAD)
+    if size:
+        unread = F.when(F.col("too_large"), F.lit(TOO_LARGE)).otherwise(unread)
+    reason = F.when(F.col("text").isNull(), unread).when(F.col("_events").isNull(), F.lit(BAD_JSON))
     raw = F.when(F.col("_events").isNull(), F.coalesce("rejected", "text"))
     # The outer form keeps unreadable messages. It also keeps Spark from adding a
     # filter below that would parse every message a second time.
@@ -82,7 +94,7 @@ def explode_events(
         *ids, "_bad", "_raw", F.posexplode_outer("_events").alias("event_pos", "_event")
     )
     broken = F.col("_event")[CORRUPT]
-    fields = [F.col("_event")["event_id"].alias("event_id")]
+    fields = [F.col("_event")[name].alias(name) for name, _ in carry]
     fields += [F.col("_event")[env_key].alias("environment")]
     fields += [F.col("_event")[app_key].alias("appname")]
     fields += [
@@ -102,12 +114,21 @@ def explode_events(
 def collect_items(collection: Column) -> Column:
     """All datasource metrics of a bucket as one JSON array text, in sorted order.
 
-    The sort makes the text independent of the order of the map. It stays inside
+    Items are JSON objects, written as Spark reads their text: numbers keep their value,
+    not always their spelling. The sort makes the text independent of the order of the map. It stays inside
     one event, whose lists came in one message.
     """
-    lists = F.filter(F.map_values(collection), lambda items: items.isNotNull())
-    listed = F.array_join(F.sort_array(F.flatten(lists)), ",", "null")
-    return F.concat(F.lit("["), listed, F.lit("]"))
+    return F.concat(F.lit("["), F.array_join(F.sort_array(_items(collection)), ","), F.lit("]"))
+
+
+def _items(collection: Column) -> Column:
+    lists = F.transform(_last_of_each(collection), lambda e: e["value"])
+    return F.flatten(F.filter(lists, lambda items: items.isNotNull()))
+
+
+def items_are_objects(collection: Column) -> Column:
+    """Whether every item of a datasource bucket is a JSON object."""
+    return F.forall(_items(collection), lambda item: F.coalesce(F.json_object_keys(item).isNotNull(), F.lit(False)))
 
 
 def unpivot_metrics(events: DataFrame, zone: str = "UTC") -> DataFrame:
@@ -119,7 +140,7 @@ def unpivot_metrics(events: DataFrame, zone: str = "UTC") -> DataFrame:
     """
     has_metrics, has_datasources = ("metrics" in events.columns), ("datasources" in events.columns)
     ids = [c for c in events.columns if c not in ("metrics", "datasources", "reason", "raw")]
-    whole = F.col("reason").isNull()
+    readable = F.col("reason").isNull()
 
     # Both kinds of bucket as one list: (rowkey, values of a metric bucket, lists of a
     # datasource bucket), so that a single pass over the message yields both.
@@ -127,7 +148,7 @@ def unpivot_metrics(events: DataFrame, zone: str = "UTC") -> DataFrame:
     if has_metrics:
         arms.append(
             F.transform(
-                F.map_entries("metrics"),
+                _last_of_each(F.col("metrics")),
                 lambda e: F.struct(
                     e["key"].alias("rowkey"),
                     e["value"].alias("values"),
@@ -138,7 +159,7 @@ def unpivot_metrics(events: DataFrame, zone: str = "UTC") -> DataFrame:
     if has_datasources:
         arms.append(
             F.transform(
-                F.map_entries("datasources"),
+                _last_of_each(F.col("datasources")),
                 lambda e: F.struct(
                     e["key"].alias("rowkey"),
                     F.lit(None).cast(_VALUES).alias("values"),
@@ -147,7 +168,7 @@ def unpivot_metrics(events: DataFrame, zone: str = "UTC") -> DataFrame:
             )
         )
     filled = [F.coalesce(arm, F.array().cast(_BUCKETS)) for arm in arms]
-    buckets = F.when(whole, F.concat(*filled) if len(filled) > 1 else filled[0])
+    buckets = F.when(readable, F.concat(*filled) if len(filled) > 1 else filled[0])
 
     bucketed = events.select(*ids, "reason", "raw", F.explode_outer(buckets).alias("_bucket"))
     filled_bucket = (F.size("_bucket.values") > 0) | (F.size("_bucket.lists") > 0)
@@ -158,6 +179,7 @@ def unpivot_metrics(events: DataFrame, zone: str = "UTC") -> DataFrame:
         F.col("_bucket.rowkey").alias("rowkey"),
         F.col("_bucket.values").alias("_values"),
         collect_items(F.col("_bucket.lists")).alias("_items"),
+        items_are_objects(F.col("_bucket.lists")).alias("_objects"),
         F.when(F.col("_bucket.lists").isNotNull(), rowkey.parts(F.col("_bucket.rowkey"))).alias(
             "_parts"
         ),
@@ -172,7 +194,7 @@ def unpivot_metrics(events: DataFrame, zone: str = "UTC") -> DataFrame:
         "reason",
         F.when(F.col("_prefix").isNull(), F.lit(BAD_ROWKEY)).when(
             F.col("RTIME").isNull(), F.lit(BAD_TIME)
-        ),
+        ).when(~F.col("_objects"), F.lit(BAD_ITEM)),
     )
     checked = keyed.withColumn("reason", reason).select(
         *ids,
@@ -192,14 +214,14 @@ def unpivot_metrics(events: DataFrame, zone: str = "UTC") -> DataFrame:
         "RTIME",
         "_items",
         "_parts",
-        F.explode_outer("_values").alias("name", "_value"),
+        F.inline_outer(_last_of_each(F.col("_values"))).alias("name", "_value"),
     )
     ordinary = F.col("_items").isNull()
     lost = F.col("reason").isNull() & ordinary & F.col("_value").isNull()
     value = F.col("_value")
 
     def place(field: str, part: int) -> Column:
-        return text.clean(F.when(ordinary, value[field]).otherwise(F.get("_parts", part)))
+        return texts.clean(F.when(ordinary, value[field]).otherwise(F.get("_parts", part)))
 
     return entries.select(
         *ids,
@@ -224,7 +246,7 @@ def good(entries: DataFrame) -> DataFrame:
 def quarantine(entries: DataFrame) -> DataFrame:
     """Records set aside, one row per failing message, event, bucket or metric."""
     unit = (
-        F.when(F.col("reason").isin(BAD_PAYLOAD, BAD_JSON), F.lit("message"))
+        F.when(F.col("reason").isin(BAD_PAYLOAD, BAD_JSON, TOO_LARGE), F.lit("message"))
         .when(F.col("reason") == BAD_EVENT, F.lit("event"))
         .when(F.col("reason") == BAD_METRIC, F.lit("metric"))
         .otherwise(F.lit("bucket"))

@@ -1,7 +1,7 @@
 """Joining rows to a dictionary.
 
 A dictionary is broadcast only after its size has been measured. One that is
-larger is joined by a shuffle in which every hot key is spread over salts.
+larger is joined by a shuffle.
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 << 20
-SALTS = 32
 
 
 @dataclass(frozen=True)
@@ -38,26 +37,15 @@ def measured(
     return Dictionary(df, key, count, count <= max_rows and size <= max_bytes)
 
 
-def lookup(
-    rows: DataFrame, dictionary: Dictionary, key: str, how: str = "inner", salts: int = SALTS
-) -> DataFrame:
+def lookup(rows: DataFrame, dictionary: Dictionary, key: str, how: str = "inner") -> DataFrame:
     """Join ``rows`` to a dictionary on ``rows[key] = dictionary.key``.
 
-    The dictionary's key column is dropped; its other columns are added. With a
-    small dictionary the join is narrow. Otherwise both sides are shuffled. The
-    dictionary is repeated once per salt, and each row picks a salt from its own
-    content, so that a key held by a third of the rows is shared by ``salts`` tasks
-    and a rerun task picks the same. What is still too large for one task is split
-    further by the adaptive skew join, which batch jobs have and streams do not;
-    there a micro-batch bounds the rows.
+    The dictionary's key column is dropped; its other columns are added. With a small
+    dictionary the join is narrow. Otherwise it is a sort-merge join of both sides, each
+    moved once. A key held by a third of the rows is one row of the dictionary, and the
+    adaptive skew join cuts its rows over several tasks; in a stream, which has no adaptive
+    plan, a micro-batch bounds them.
     """
     match = dictionary.rows.withColumnRenamed(dictionary.key, "_key")
-    if dictionary.small:
-        joined = rows.join(F.broadcast(match), rows[key] == match["_key"], how)
-        return joined.drop("_key")
-    every = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    repeated = match.select("*", every.alias("_match_salt"))
-    hashable = [c for c, kind in rows.dtypes if not kind.startswith(("map", "variant"))]
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*hashable), F.lit(salts)).cast("int"))
-    on = (salted[key] == repeated["_key"]) & (salted["_salt"] == repeated["_match_salt"])
-    return salted.join(repeated, on, how).drop("_key", "_match_salt", "_salt")
+    match = F.broadcast(match) if dictionary.small else match.hint("merge")
+    return rows.join(match, rows[key] == match["_key"], how).drop("_key")

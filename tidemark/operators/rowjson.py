@@ -4,11 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tidemark.schemas import CORRUPT, ROW_JSON, ROW_KEY, STRING
-
-_READ = T.StructType(ROW_JSON.fields + [T.StructField(CORRUPT, STRING)])
+from tidemark.functions import whole
+from tidemark.schemas import ROW_JSON, ROW_KEY
 
 
 def to_row_json(rows: DataFrame) -> DataFrame:
@@ -21,14 +19,14 @@ def to_row_json(rows: DataFrame) -> DataFrame:
 def from_row_json(texts: DataFrame, value: str = "value") -> DataFrame:
     """Typed rows from JSON texts by the declared schema.
 
-    Adds ``corrupt``: the text of a record that does not fit (not JSON, a wrong
+    Adds ``corrupt``: the text of a record that does not fit (not one JSON object, a wrong
     type, or a key column missing), whose row columns are then not to be used.
     """
     rest = [c for c in texts.columns if c != value]
-    parsed = texts.select(*rest, value, F.from_json(value, _READ).alias("_row"))
-    row = F.col("_row")
+    parsed = texts.select(*rest, value, whole.parse(F.col(value), ROW_JSON).alias("_read"))
+    row = whole.value(F.col("_read"))
     lacking = [row[f.name].isNull() for f in ROW_JSON.fields if not f.nullable]
-    misfit = row.isNull() | row[CORRUPT].isNotNull()
+    misfit = row.isNull() | ~whole.fits(F.col("_read"), F.col(value))
     for lack in lacking:
         misfit = misfit | lack
     text = F.coalesce(F.col(value), F.lit(""))

@@ -16,6 +16,7 @@ from tidemark.operators import dictionary
 from tidemark.operators.dictionary import Dictionaries
 from tidemark.plans import rows
 from tidemark.session import new_dir, prepare
+from tidemark.sinks import stores
 from tidemark.sources import messages, metadata
 from tidemark.streaming import jobs
 
@@ -26,6 +27,7 @@ MODES = {
     "windows": "rows once per sliding window",
     "rollup": "metrics merged over sliding windows",
     "batches": "rows batch by batch, with dictionaries read anew",
+    "store": "the last row per key of each batch, upserted into a keyed store",
 }
 
 
@@ -33,7 +35,8 @@ def parser() -> argparse.ArgumentParser:
     out = argparse.ArgumentParser(description=__doc__)
     out.add_argument("mode", choices=MODES)
     out.add_argument("--name", default="Default Handler")
-    out.add_argument("--path", required=True, help="folder the output is appended to")
+    out.add_argument("--path", help="folder the output is appended to")
+    out.add_argument("--bad", help="folder for records set aside, in modes that do not keep them")
     out.add_argument("--checkpoint", required=True, help="folder all executors share")
     out.add_argument("--interval", default=jobs.INTERVAL, help="'once' takes in what is there")
     source = out.add_argument_group("messages")
@@ -52,13 +55,34 @@ def parser() -> argparse.ArgumentParser:
     meaning.add_argument("--zone", default="UTC", help="zone of the time buckets")
     meaning.add_argument("--env-key", default="environment")
     meaning.add_argument("--app-key", default="appname")
+    meaning.add_argument("--default-env", help="environment of rows that have none")
+    meaning.add_argument("--carry", action="append", default=[], metavar="NAME[:TYPE]", help="field of an event to take along")
     meaning.add_argument("--delay", default="10 minutes", help="how late a row may be for a rollup")
     names = out.add_argument_group("dictionaries")
     names.add_argument("--metric-ids", help="files of (ID, NAME) rows")
     names.add_argument("--jdbc-url", help="database with the metric table, instead of files")
     names.add_argument("--metric-table", default=metadata.METRIC_TABLE)
     names.add_argument("--hierarchy", required=True, help="files of (rowkey, qualifier) rows")
-    out.add_argument("--show", type=int, default=0, help="print the first rows of each batch")
+    names.add_argument("--hierarchy-format", default="parquet")
+    names.add_argument("--hierarchy-option", action="append", default=[], metavar="KEY=VALUE")
+    store = out.add_argument_group("keyed store")
+    store.add_argument("--format", default=stores.KEYED_FORMAT)
+    store.add_argument("--option", action="append", default=[], metavar="KEY=VALUE", help="such as table=...")
+    store.add_argument("--write-mode", default="overwrite", help="what the format takes to mean upsert")
+    store.add_argument("--order", action="append", default=[], help="columns by which the last row of a key is known")
+    store.add_argument("--as-json", action="store_true", help="pass rows through JSON texts, without METRIC")
+    out.add_argument("--show", type=int, default=0, help="print the first rows of each batch (modes batches, store)")
+    return out
+
+
+def _pairs(given: Sequence[str], mark: str = "=", other: str | None = None) -> dict[str, str]:
+    """KEY=VALUE arguments; without a value they take ``other``, where there is one."""
+    out = {}
+    for text in given:
+        key, found, value = text.partition(mark)
+        if not found and other is None:
+            raise SystemExit(f"{text!r} is not of the form KEY{mark}VALUE")
+        out[key] = value if found else other
     return out
 
 
@@ -85,21 +109,30 @@ def _dictionaries(spark: SparkSession, args: argparse.Namespace) -> Dictionaries
         ids = metadata.metric_ids_from_files(spark, args.metric_ids)
     else:
         raise SystemExit("give --metric-ids or --jdbc-url")
-    hierarchy = metadata.hierarchy_from_files(spark, args.hierarchy)
+    hierarchy = metadata.hierarchy_from_files(
+        spark, args.hierarchy, args.hierarchy_format, **_pairs(args.hierarchy_option)
+    )
     return dictionary.resolve(ids, hierarchy, new_dir(spark, "dictionaries"))
 
 
 def start(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
     """Start the query that the arguments describe."""
-    base = rows.KEEP_ALL if args.mode == "keep-all" else rows.Options()
+    by_batch = args.mode in ("batches", "store")
+    if args.show and not by_batch:
+        raise SystemExit("--show works in the modes batches and store")
+    if not args.path and args.mode != "store":
+        raise SystemExit("give --path")
+    if args.mode == "store" and not args.order:
+        raise SystemExit("give --order, to know the last row of a key")
     options = rows.Options(
         codec=args.codec,
         zone=args.zone,
         env_key=args.env_key,
         app_key=args.app_key,
         datasources=args.mode != "rollup",
-        default_env=base.default_env,
-        require_place=base.require_place,
+        default_env=args.default_env,
+        require_place=args.mode != "keep-all",
+        carry=tuple(_pairs(args.carry, ":", "string").items()),
     )
     source = _messages(spark, args)
     interval = None if args.interval == "once" else args.interval
@@ -108,11 +141,19 @@ def start(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
             lambda: _dictionaries(spark, args), args.path, options, args.show
         )
         return jobs.start_batches(source, write, args.checkpoint, interval)
+    if args.mode == "store":
+        write = jobs.store_writer(
+            lambda: _dictionaries(spark, args), args.order, options, args.as_json,
+            args.format, args.write_mode, args.show, **_pairs(args.option),
+        )
+        return jobs.start_batches(source, write, args.checkpoint, interval)
     begin = {
         "json": jobs.start_row_json,
         "windows": jobs.start_window_rows,
         "rollup": jobs.start_rollup,
     }.get(args.mode, jobs.start_rows)
+    if args.bad:
+        jobs.start_quarantine(source, args.bad, f"{args.checkpoint}-bad", interval, options)
     late = {"delay": args.delay} if args.mode == "rollup" else {}
     found = _dictionaries(spark, args)
     return begin(source, found, args.path, args.checkpoint, interval, options, **late)
@@ -121,7 +162,9 @@ def start(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
 def main(argv: Sequence[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = prepare(SparkSession.builder.appName(args.name).getOrCreate())
-    start(spark, args).awaitTermination()
+    start(spark, args)
+    for query in spark.streams.active:
+        query.awaitTermination()
 
 
 if __name__ == "__main__":

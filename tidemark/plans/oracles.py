@@ -84,7 +84,7 @@ MEASURES = "metric_count, metric_sum, metric_min, metric_max"
 
 DAMAGE = """
 found AS (
-  SELECT event_id AS message_id, unnest(CASE event_id % 12
+  SELECT event_id AS message_id, unnest(CASE event_id % 16
       WHEN 0 THEN [('message', 'bad_payload')] WHEN 1 THEN [('message', 'bad_payload')]
       WHEN 2 THEN [('message', 'bad_payload')] WHEN 3 THEN [('message', 'bad_payload')]
       WHEN 4 THEN [('message', 'bad_json')]
@@ -92,6 +92,8 @@ found AS (
       WHEN 7 THEN [('bucket', 'bad_rowkey')]
       WHEN 8 THEN [('bucket', 'bad_time'), ('bucket', 'bad_time')]
       WHEN 9 THEN [('event', 'bad_event')] WHEN 10 THEN [('metric', 'bad_metric')]
+      WHEN 12 THEN [('message', 'bad_json')] WHEN 13 THEN [('message', 'bad_json')]
+      WHEN 14 THEN [('message', 'bad_json')] WHEN 15 THEN [('bucket', 'bad_item')]
       ELSE [] END) AS found
   FROM events)"""
 
@@ -125,7 +127,9 @@ def oracles() -> dict[str, str]:
     return {
         "decode_payload": _with(
             [EVENTS],
-            "\nSELECT message_id, event_id, environment, appname, k AS pool_k, user_id AS queue_n FROM ev",
+            """
+SELECT message_id, event_id, environment, appname, bucket || '|' || host || '|' || instance AS rowkey,
+       name, host, instance, CAST(1 AS BIGINT) AS n, value, k AS pool_k, user_id AS queue_n FROM ev""",
         ),
         "explode_events": _with(
             [EVENTS],
@@ -174,7 +178,7 @@ WHERE NOT EXISTS (SELECT 1 FROM mids WHERE mids.name = ev.name) GROUP BY name"""
         "metric_rows_default_env": _with(
             base,
             f"""
-SELECT event_id, "MID", "RTIME", coalesce("ENV", 'MCOM') AS "ENV", "APP", "HOST", "INSTANCE", {MEASURES}
+SELECT event_id, "MID", "RTIME", coalesce("ENV", 'unplaced') AS "ENV", "APP", "HOST", "INSTANCE", {MEASURES}
 FROM ordinary""",
         ),
         "datasource_rows": _with(base, f"\nSELECT event_id, {KEY}, metric_items FROM datasource"),
@@ -187,12 +191,12 @@ FROM ordinary""",
             [EVENTS],
             """
 SELECT event_id AS message_id, event_id,
-       CASE WHEN event_id % 12 = 7 THEN bucket || '|' || host
+       CASE WHEN event_id % 16 = 7 THEN bucket || '|' || host
             ELSE bucket || '|' || host || '|' || instance END AS rowkey, name
-FROM ev WHERE event_id % 12 IN (5, 7, 9, 11)
+FROM ev WHERE event_id % 16 IN (5, 7, 9, 11, 15)
 UNION ALL
 SELECT event_id, event_id, bucket || '|' || host || '|' || instance, 'dsmetrics'
-FROM ev WHERE event_id % 12 IN (5, 9, 11)""",
+FROM ev WHERE event_id % 16 IN (5, 9, 11)""",
         ),
         "row_json": _with(
             base,
@@ -206,6 +210,18 @@ SELECT event_id, CAST(json_object('MID', "MID", 'RTIME', "RTIME", 'ENV', "ENV",
             f"""
 SELECT event_id, "MID", {MEASURES}, metric_items, metric_sum / metric_count AS average
 FROM everything""",
+        ),
+        "drop_counts": _with(
+            [*base, DAMAGE],
+            """,
+read AS (
+  SELECT placed.name, placed.env, placed.host FROM placed WHERE event_id % 16 IN (5, 7, 9, 11, 15)
+  UNION ALL SELECT 'dsmetrics', env, host FROM placed WHERE event_id % 16 IN (5, 9, 11)),
+fates AS (
+  SELECT CASE WHEN mid IS NULL THEN 'unknown_name' WHEN coalesce(env, '') = '' OR coalesce(host, '') = '' THEN 'no_place'
+              ELSE 'kept' END AS fate FROM read LEFT JOIN mids ON read.name = mids.name
+  UNION ALL SELECT found[2] FROM found)
+SELECT fate, count(*) AS records FROM fates GROUP BY fate""",
         ),
         "row_schema": _with(base, f"\nSELECT {KEY}, {MEASURES}, metric_items FROM everything"),
         "upsert_latest": _with(
@@ -224,6 +240,20 @@ SELECT {KEY}, seq, {MEASURES} FROM (
             f"""
 SELECT {KEY}, event_id, {MEASURES}, metric_items FROM (
   SELECT *, row_number() OVER (PARTITION BY {KEY} ORDER BY event_id DESC) AS pick FROM everything)
+WHERE pick = 1""",
+        ),
+        "compacted_dates": _with(
+            base,
+            f"""
+SELECT {KEY}, event_id, CASE WHEN "MID" = 3 THEN round(metric_sum + 1, 4) ELSE metric_sum END AS metric_sum, metric_items
+FROM (SELECT *, row_number() OVER (PARTITION BY {KEY} ORDER BY event_id DESC) AS pick FROM everything)
+WHERE pick = 1""",
+        ),
+        "store_rows": _with(
+            base,
+            f"""
+SELECT {KEY}, {MEASURES}, metric_items FROM (
+  SELECT *, row_number() OVER (PARTITION BY {KEY} ORDER BY event_id DESC) AS pick FROM everything)
 WHERE pick = 1""",
         ),
         "batch_peek": _with(

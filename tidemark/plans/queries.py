@@ -24,8 +24,10 @@ from tidemark.sources import fixtures
 from tidemark.sources.messages import file_messages
 from tidemark.streaming import jobs as streams
 
-ORDINARY = jobs.Options(datasources=False)
-DATASOURCES = jobs.Options(metrics=False)
+# The derived events carry their identifier, so that results can be compared row by row.
+WIRE = jobs.Options(carry=(("event_id", "bigint"),))
+ORDINARY = replace(WIRE, datasources=False)
+DATASOURCES = replace(WIRE, metrics=False)
 PEEK_ROWS = 20
 
 
@@ -68,25 +70,37 @@ def millis(ts: str) -> Column:
 
 
 def decode_payload(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole text of every message, laid out value by value."""
     decoded = decode.decode_payload(messages(spark, sf))
     wire = (
         "array<struct<event_id:bigint,environment:string,appname:string,"
+        "metrics:map<string,map<string,struct<host:string,instance:string,count:bigint,sum:double>>>,"
         "datasources:map<string,struct<pool:array<struct<k:bigint>>,queue:array<struct<n:bigint>>>>>>"
     )
     event = decoded.select("message_id", F.explode_outer(F.from_json("text", wire)).alias("e"))
-    held = F.element_at(F.map_values("e.datasources"), 1)
-    return event.select(
+    bucket = event.select("message_id", "e", F.explode_outer("e.metrics").alias("rowkey", "named"))
+    metric = bucket.select("message_id", "e", "rowkey", F.explode_outer("named").alias("name", "m"))
+    held = metric.select("*", F.explode_outer("e.datasources").alias("_key", "lists"))
+    pooled = held.select("*", F.explode_outer("lists.pool").alias("pool"))
+    queued = pooled.select("*", F.explode_outer("lists.queue").alias("queue"))
+    return queued.select(
         "message_id",
         "e.event_id",
         "e.environment",
         "e.appname",
-        held["pool"][0]["k"].alias("pool_k"),
-        held["queue"][0]["n"].alias("queue_n"),
+        "rowkey",
+        "name",
+        "m.host",
+        "m.instance",
+        F.col("m.count").alias("n"),
+        F.col("m.sum").alias("value"),
+        F.col("pool.k").alias("pool_k"),
+        F.col("queue.n").alias("queue_n"),
     )
 
 
 def explode_events(spark: SparkSession, sf: str) -> DataFrame:
-    return jobs.events(messages(spark, sf)).select(
+    return jobs.events(messages(spark, sf), WIRE).select(
         "message_id",
         "event_id",
         "environment",
@@ -143,7 +157,7 @@ def host_hierarchy(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def known_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    entries = flatten.good(jobs.entries(messages(spark, sf)))
+    entries = flatten.good(jobs.entries(messages(spark, sf), WIRE))
     named = enrich.known_metrics(entries, dictionaries(spark, sf).metrics)
     return named.select("event_id", "name", "MID")
 
@@ -173,7 +187,7 @@ def metric_rows_large_dictionary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def metric_rows_default_env(spark: SparkSession, sf: str) -> DataFrame:
-    options = replace(jobs.KEEP_ALL, datasources=False)
+    options = replace(jobs.KEEP_ALL, datasources=False, carry=WIRE.carry, default_env="unplaced")
     rows = jobs.metric_rows(messages(spark, sf), dictionaries(spark, sf), options)
     return rows.select(*row_columns(*MEASURES))
 
@@ -188,7 +202,7 @@ def all_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _all_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return jobs.metric_rows(messages(spark, sf), dictionaries(spark, sf))
+    return jobs.metric_rows(messages(spark, sf), dictionaries(spark, sf), WIRE)
 
 
 def union_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -209,10 +223,16 @@ def quarantine(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def recovered_entries(spark: SparkSession, sf: str) -> DataFrame:
-    kept = flatten.good(jobs.entries(fixtures.table(spark, sf, "damaged")))
+    kept = flatten.good(jobs.entries(fixtures.table(spark, sf, "damaged"), WIRE))
     return kept.select("message_id", "event_id", "rowkey", "name")
 
 
+def drop_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """What becomes of every record: kept, dropped for which cause, or set aside."""
+    found = jobs.fates(fixtures.table(spark, sf, "damaged"), dictionaries(spark, sf), WIRE)
+    return found.groupBy("fate").agg(F.count("*").alias("records"))
+
+
 # Stored forms
 
 
@@ -252,7 +272,7 @@ def upsert_latest(spark: SparkSession, sf: str) -> DataFrame:
 def compacted_log(spark: SparkSession, sf: str) -> DataFrame:
     """Write the log twice, as after a failed batch, compact it, and read the table."""
     first, again, kept = (new_dir(spark, name) for name in ("log", "log", "table"))
-    tagged = jobs.tagged_rows(messages(spark, sf), dictionaries(spark, sf))
+    tagged = jobs.tagged_rows(messages(spark, sf), dictionaries(spark, sf), WIRE)
     table.write_log(tagged, first)
     table.write_log(table.read_log(spark, first).drop("event_date"), again)
     table.compact(spark, [first, again], kept, ["event_id"])
@@ -260,6 +280,28 @@ def compacted_log(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select(*ROW_KEY, "event_id", *flat_cell())
 
 
+def compacted_dates(spark: SparkSession, sf: str) -> DataFrame:
+    """A keyed table, and a later log with corrected purchases: only its dates are redone."""
+    log, base, later, changed = (new_dir(spark, name) for name in ("log", "base", "log", "changed"))
+    rows = _all_rows(spark, sf)
+    table.write_log(rows.withColumn("seq", F.col("event_id")), log)
+    table.compact(spark, [log], base, ["seq"])
+    sent = fixtures.derive_replayed(rows).where(F.col("seq") != F.col("event_id"))
+    table.write_log(sent, later)
+    table.compact_changed(spark, base, [later], changed, ["seq"])
+    kept = table.read_layers(spark, base, changed)
+    return kept.select(*ROW_KEY, "event_id", *flat_cell("METRIC", "sum", "items"))
+
+
+def store_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """One batch of messages upserted into a store, here a folder of files, and read back."""
+    path = new_dir(spark, "store")
+    write = streams.store_writer(dictionaries(spark, sf), ["event_id"], WIRE, fmt="parquet", path=path)
+    write(messages(spark, sf), 0)
+    held = spark.read.parquet(path).withColumn("METRIC", cell.load(F.col("METRIC"), binary=True))
+    return held.select(*ROW_KEY, *flat_cell())
+
+
 def batch_peek(spark: SparkSession, sf: str) -> DataFrame:
     order = ["RTIME", "MID", "ENV", "HOST", "INSTANCE", "event_id"]
     return stores.peek(metric_rows(spark, sf), PEEK_ROWS, order)
@@ -321,6 +363,7 @@ def stream_quarantine(spark: SparkSession, sf: str) -> DataFrame:
         path,
         checkpoint,
         None,
+        WIRE,
     ).awaitTermination()
     return table.read_log(spark, path, outcome=table.BAD).select("message_id", "reason")
 
@@ -345,7 +388,7 @@ def stream_window_rows(spark: SparkSession, sf: str) -> DataFrame:
 def stream_rollup_5m(spark: SparkSession, sf: str) -> DataFrame:
     path, checkpoint = new_dir(spark, "stream-rollup"), new_dir(spark, "checkpoint")
     streams.start_rollup(
-        _message_stream(spark, sf), dictionaries(spark, sf), path, checkpoint, None
+        _message_stream(spark, sf), dictionaries(spark, sf), path, checkpoint, None, ORDINARY
     ).awaitTermination()
     return _windows(spark.read.parquet(path), SERIES_KEY)
 
@@ -371,12 +414,15 @@ QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     union_rows,
     quarantine,
     recovered_entries,
+    drop_counts,
     row_json,
     json_typed_rows,
     stored_metric_decode,
     row_schema,
     upsert_latest,
     compacted_log,
+    compacted_dates,
+    store_rows,
     batch_peek,
     sliding_window_rows,
     rollup_5m,

@@ -5,9 +5,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidemark.operators import decode, enrich, flatten
 from tidemark.operators.dictionary import Dictionaries
+from tidemark.session import new_dir
 
 
 @dataclass(frozen=True)
@@ -22,16 +24,18 @@ class Options:
     datasources: bool = True
     default_env: str | None = None
     require_place: bool = True
+    # Fields of an event to carry along, such as its identifier, with their types.
+    carry: tuple[tuple[str, str], ...] = ()
 
 
-# Rows are kept without a place, under a default environment.
-KEEP_ALL = Options(default_env=enrich.DEFAULT_ENV, require_place=False)
+# Rows are kept without a place; give ``default_env`` for a default environment.
+KEEP_ALL = Options(require_place=False)
 
 
 def events(messages: DataFrame, options: Options = Options()) -> DataFrame:
     decoded = decode.decode_payload(messages, options.codec)
     return flatten.explode_events(
-        decoded, options.metrics, options.datasources, options.env_key, options.app_key
+        decoded, options.metrics, options.datasources, options.env_key, options.app_key, options.carry
     )
 
 
@@ -41,22 +45,48 @@ def entries(messages: DataFrame, options: Options = Options()) -> DataFrame:
 
 
 def metric_rows(
-    messages: DataFrame, dictionaries: Dictionaries, options: Options = Options()
+    messages: DataFrame,
+    dictionaries: Dictionaries,
+    options: Options = Options(),
+    observe: str | None = None,
 ) -> DataFrame:
     """The metric rows of messages: ``MID RTIME ENV APP HOST INSTANCE METRIC`` first.
 
-    Columns of the message, ``event_pos`` and ``event_id`` follow; they order writes.
+    Columns of the message, ``event_pos`` and carried fields follow; they order writes.
+    ``observe`` names counts of what is kept, dropped and set aside.
     """
+    if observe:
+        return flatten.good(tagged_rows(messages, dictionaries, options, observe))
     read = flatten.good(entries(messages, options))
     return enrich.enrich(read, dictionaries, options.default_env, options.require_place)
 
 
 def tagged_rows(
-    messages: DataFrame, dictionaries: Dictionaries, options: Options = Options()
+    messages: DataFrame,
+    dictionaries: Dictionaries,
+    options: Options = Options(),
+    observe: str | None = None,
 ) -> DataFrame:
-    """Metric rows and the records set aside together, for a single write."""
+    """Metric rows and the records set aside together, for a single write.
+
+    With small dictionaries this is one pass. If one is large, entries are stored once:
+    those set aside, with their texts, then stay out of the shuffles. A stream cannot be
+    stored on the way; there they only pass by the joins as well.
+    """
     read = entries(messages, options)
-    return enrich.enrich(read, dictionaries, options.default_env, options.require_place)
+    if messages.isStreaming or (dictionaries.metrics.small and dictionaries.hosts.small):
+        return enrich.enrich(read, dictionaries, options.default_env, options.require_place, observe)
+    spark, path = messages.sparkSession, new_dir(messages.sparkSession, "entries")
+    read.write.parquet(path)
+    held = spark.read.schema(read.schema).parquet(path)
+    bad = held.where(F.col("reason").isNotNull())
+    rows = enrich.enrich(flatten.good(held), dictionaries, options.default_env, options.require_place, observe)
+    return rows.unionByName(bad.drop(*enrich.READ_ONLY), allowMissingColumns=True)
+
+
+def fates(messages: DataFrame, dictionaries: Dictionaries, options: Options = Options()) -> DataFrame:
+    """Every record of the messages with its ``fate``: kept, dropped or set aside, and why."""
+    return enrich.judged(entries(messages, options), dictionaries, options.default_env, options.require_place)
 
 
 def quarantine(messages: DataFrame, options: Options = Options()) -> DataFrame:

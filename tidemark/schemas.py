@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import types as T
 
 STRING, LONG, INT, DOUBLE = T.StringType(), T.LongType(), T.IntegerType(), T.DoubleType()
 
+# Types a carried field can have. Text fits every value.
+KINDS = {"string": STRING, "bigint": LONG, "int": INT, "double": DOUBLE}
+
 # One measured value, as it arrives on the wire.
 WIRE_METRIC = T.StructType(
     [
@@ -59,14 +64,16 @@ def wire_event(
     datasources: bool = True,
     env_key: str = "environment",
     app_key: str = "appname",
+    carry: Sequence[tuple[str, str]] = (),
 ) -> T.StructType:
     """Schema of one JSON event, holding only the parts a job will read.
 
     Leaving out a part keeps the JSON parser from building its maps: columns
-    are not pruned through the explodes that follow, so the schema says it.
+    are not pruned through the explodes that follow, so the schema says it. A carried
+    field whose value is not of its type makes the event unreadable.
     """
     fields = [
-        T.StructField("event_id", LONG),
+        *(T.StructField(name, KINDS[kind]) for name, kind in carry),
         T.StructField(env_key, STRING),
         T.StructField(app_key, STRING),
     ]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 _LOCAL_DIR: dict[str, str] = {}
 
@@ -46,15 +46,3 @@ def shared_dir(spark: SparkSession) -> str:
 def new_dir(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other run uses."""
     return f"{shared_dir(spark)}/tidemark/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-
-
-def spread(df: DataFrame, *by: str) -> DataFrame:
-    """Give a small input one partition per core.
-
-    An input with fewer splits than cores is by definition small, so moving it
-    is cheap; a large one is left exactly as its files are split.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartitionByRange(cores, *by).sortWithinPartitions(*by)

@@ -12,12 +12,14 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.time import from_reverse_time
 from tidemark.operators.upsert import latest_per_key
 
 ROW, BAD = "row", "bad"
 PARTITIONS = ["outcome", "event_date"]
+SCHEMA = "_schema"
 
 
 def log_layout(rows: DataFrame) -> DataFrame:
@@ -29,6 +31,15 @@ def log_layout(rows: DataFrame) -> DataFrame:
     return rows.withColumns({"outcome": outcome, "event_date": F.when(outcome == ROW, date)})
 
 
+def declare(rows: DataFrame, path: str) -> None:
+    """Note the log's schema beside its files, so that a log without rows can be read.
+
+    Readers of the folder skip names that begin with an underscore.
+    """
+    laid = log_layout(rows)
+    laid.sparkSession.createDataFrame([], laid.schema).write.mode("ignore").parquet(f"{path}/{SCHEMA}")
+
+
 def write_log(rows: DataFrame, path: str, mode: str = "append", even: bool = True) -> None:
     """Write rows as files of even size per date, newest rows first in each file.
 
@@ -41,13 +52,15 @@ def write_log(rows: DataFrame, path: str, mode: str = "append", even: bool = Tru
         laid = laid.hint("rebalance", *PARTITIONS)
     ordered = laid.sortWithinPartitions(*PARTITIONS, "RTIME")
     ordered.write.mode(mode).partitionBy(*PARTITIONS).parquet(path)
+    declare(rows, path)
 
 
 def read_log(spark: SparkSession, *paths: str, outcome: str = ROW) -> DataFrame:
-    """The log's rows, or its quarantine with ``outcome=BAD``."""
-    parts = [spark.read.parquet(path).where(F.col("outcome") == outcome) for path in paths]
-    unused = ["outcome", "reason", "raw"] if outcome == ROW else ["outcome"]
-    return reduce(DataFrame.unionByName, [part.drop(*unused) for part in parts])
+    """The log's rows, or its quarantine with ``outcome=BAD``: one scan of all paths."""
+    fields = {f.name: f for path in paths for f in spark.read.parquet(f"{path}/{SCHEMA}").schema}
+    declared = T.StructType(list(fields.values()))
+    kept = spark.read.schema(declared).parquet(*paths).where(F.col("outcome") == outcome)
+    return kept.drop(*(["outcome", "reason", "raw"] if outcome == ROW else ["outcome"]))
 
 
 def current(log: DataFrame, order: Sequence[str], dates: Sequence[str] | None = None) -> DataFrame:
@@ -70,3 +83,40 @@ def compact(
 ) -> None:
     """Write the keyed table of logs and earlier compactions to a new folder."""
     write_log(current(read_log(spark, *sources), order, dates), target, mode="errorifexists")
+
+
+def compact_changed(
+    spark: SparkSession, base: str, logs: Sequence[str], target: str, order: Sequence[str]
+) -> None:
+    """Write to ``target`` the keyed table of those dates that the logs have rows of.
+
+    The dates come from the logs' folders. Of ``base`` only these dates are read; with
+    :func:`read_layers` both make the whole table.
+    """
+    dates = _dates(read_log(spark, *logs))
+    rows = read_log(spark, base, *logs)
+    write_log(current(rows, order, dates), target, mode="errorifexists", even=bool(dates))
+
+
+def read_layers(spark: SparkSession, base: str, *layers: str) -> DataFrame:
+    """A keyed table of a base and later layers: each date as its newest layer has it."""
+    newest, taken, parts = list(reversed((base, *layers))), set(), []
+    for path in newest:
+        rows = read_log(spark, path)
+        parts.append(rows.where(~F.col("event_date").cast("string").isin(sorted(taken))) if taken else rows)
+        if path != base:
+            taken |= set(_dates(rows))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def _dates(rows: DataFrame) -> list[str]:
+    """The dates a log holds: as many as it has folders."""
+    return [str(r.event_date) for r in rows.select("event_date").distinct().collect()]
+
+
+def remove(spark: SparkSession, *paths: str) -> None:
+    """Delete logs that a compaction has replaced, in whatever store they lie."""
+    jvm = spark.sparkContext._jvm
+    for path in paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)

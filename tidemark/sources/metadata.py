@@ -30,6 +30,9 @@ def metric_ids_from_files(spark: SparkSession, path: str, fmt: str = "parquet")
     return spark.read.format(fmt).load(path).select(F.col("ID").cast("int").alias("ID"), "NAME")
 
 
-def hierarchy_from_files(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """(rowkey, qualifier) rows of the hierarchy table, exported one row per column."""
-    return spark.read.format(fmt).load(path).select("rowkey", "qualifier")
+def hierarchy_from_files(
+    spark: SparkSession, path: str, fmt: str = "parquet", **options: str
+) -> DataFrame:
+    """(rowkey, qualifier) rows of the hierarchy table, one row per column: an export in
+    files, or whatever a connector's format reads from ``path``."""
+    return spark.read.format(fmt).options(**options).load(path).select("rowkey", "qualifier")

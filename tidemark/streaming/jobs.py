@@ -17,15 +17,21 @@ from tidemark.operators.enrich import as_rows
 from tidemark.operators.rollup import LENGTH, SLIDE, sliding_window_rows, stream_rollup
 from tidemark.operators.rowjson import from_row_json, to_row_json
 from tidemark.operators.upsert import latest_per_key
-from tidemark.plans.rows import Options, metric_rows, tagged_rows
-from tidemark.schemas import SERIES_KEY
+from tidemark.plans.rows import Options, metric_rows, quarantine, tagged_rows
+from tidemark.schemas import ROW_KEY, SERIES_KEY
 from tidemark.sinks.stores import KEYED_FORMAT, peek, stored_rows, write_rows
-from tidemark.sinks.table import PARTITIONS, log_layout, write_log
+from tidemark.sinks.table import PARTITIONS, declare, log_layout, write_log
 
 # Fixed value: the time between micro-batches when none is given.
 INTERVAL = "500 seconds"
 
 
+# Name of the counts of rows kept, dropped and set aside in a query's progress.
+FATES = "fates"
+# Files of one outcome and date that a micro-batch writes at most.
+FILES_PER_DATE = 4
+
+
 def timed(writer: DataStreamWriter, interval: str | None = INTERVAL) -> DataStreamWriter:
     """Run every ``interval``; with None, take in what is there and stop."""
     if interval is None:
@@ -45,10 +51,29 @@ def start_rows(
     checkpoint: str,
     interval: str | None = INTERVAL,
     options: Options = Options(),
+    files: int = FILES_PER_DATE,
+) -> StreamingQuery:
+    """Append rows and quarantine to the log, once each, from one read of the source.
+
+    A batch writes up to ``files`` files per outcome and date, so that a date with most
+    rows is shared by as many tasks and no task writes a file for every date.
+    """
+    laid = log_layout(tagged_rows(messages, dictionaries, options, FATES))
+    declare(laid.drop(*PARTITIONS), path)
+    part = F.pmod(F.xxhash64(*ROW_KEY, F.col("raw")), F.lit(files))
+    dealt = laid.withColumn("_part", part).repartition(*PARTITIONS, "_part").drop("_part")
+    return _to_files(dealt, path, checkpoint, interval).partitionBy(*PARTITIONS).start()
+
+
+def start_quarantine(
+    messages: DataFrame,
+    path: str,
+    checkpoint: str,
+    interval: str | None = INTERVAL,
+    options: Options = Options(),
 ) -> StreamingQuery:
-    """Append rows and quarantine to the log, once each, from one read of the source."""
-    laid = log_layout(tagged_rows(messages, dictionaries, options))
-    return _to_files(laid, path, checkpoint, interval).partitionBy(*PARTITIONS).start()
+    """Append the records set aside, for jobs whose output has no place for them."""
+    return _to_files(quarantine(messages, options), path, checkpoint, interval).start()
 
 
 def start_row_json(
@@ -60,7 +85,7 @@ def start_row_json(
     options: Options = Options(),
 ) -> StreamingQuery:
     """Append the rows as JSON texts (without METRIC)."""
-    texts = to_row_json(metric_rows(messages, dictionaries, options))
+    texts = to_row_json(metric_rows(messages, dictionaries, options, FATES))
     return _to_files(texts, path, checkpoint, interval).start()
 
 
@@ -75,7 +100,7 @@ def start_window_rows(
     slide: str = SLIDE,
 ) -> StreamingQuery:
     """Append each row once per sliding window that contains it; keeps no state."""
-    rows = metric_rows(messages, dictionaries, options)
+    rows = metric_rows(messages, dictionaries, options, FATES)
     windows = sliding_window_rows(rows, length=length, slide=slide)
     return _to_files(windows, path, checkpoint, interval).start()
 
@@ -92,8 +117,12 @@ def start_rollup(
     length: str = LENGTH,
     slide: str = SLIDE,
 ) -> StreamingQuery:
-    """Append each sliding window's rollup once the watermark has passed its end."""
-    rows = as_rows(metric_rows(messages, dictionaries, options))
+    """Append each sliding window's rollup once the watermark has passed its end.
+
+    Rows behind the watermark are dropped; the query's progress counts them as
+    ``numRowsDroppedByWatermark``.
+    """
+    rows = as_rows(metric_rows(messages, dictionaries, options, FATES))
     windows = stream_rollup(rows, key or SERIES_KEY, delay, length, slide)
     return _to_files(windows, path, checkpoint, interval).start()
 
@@ -114,7 +143,9 @@ def batch_writer(
     def write(messages: DataFrame, batch_id: int) -> None:
         now = dictionaries() if callable(dictionaries) else dictionaries
         target = f"{path}/batch_id={batch_id}"
-        write_log(tagged_rows(messages, now, options), target, mode="overwrite")
+        rows = tagged_rows(messages, now, options)
+        declare(rows, path)
+        write_log(rows, target, mode="overwrite")
         if show:
             peek(messages.sparkSession.read.parquet(target), show).show(show, False)
 
@@ -128,6 +159,7 @@ def store_writer(
     as_json: bool = False,
     fmt: str = KEYED_FORMAT,
     mode: str = "overwrite",
+    show: int = 0,
     **settings: str,
 ) -> Callable[[DataFrame, int], None]:
     """What a per-batch query does to upsert a micro-batch into a keyed store.
@@ -142,6 +174,8 @@ def store_writer(
         if as_json:
             typed = from_row_json(to_row_json(rows))
             rows = typed.where(F.col("corrupt").isNull())
+        if show:
+            peek(rows, show).show(show, False)
         write_rows(stored_rows(rows), fmt, mode, **settings)
 
     return write
