@@ -22,14 +22,14 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 @dataclass(frozen=True)
 class Settings:
-    """``bits``: of the hashed feature space. ``rounds``: passes over the labelled rows,
-    each from the mean of the last. ``shard_rows``: labelled rows a trainer sees, about.
-    ``most_shards``: trainers at once; each sends 8 * 2**bits bytes to the driver."""
+    """``bits``: of the hashed feature space. ``most_rows``: labelled rows to learn from, about;
+    of more, those with the lowest hashes are taken. ``shard_rows``: rows a trainer holds,
+    about. ``epochs``: passes of a trainer over its rows."""
 
     bits: int = 18
-    rounds: int = 4
+    most_rows: int = 30_000
     shard_rows: int = 10_000
-    most_shards: int = 48
+    epochs: int = 4
     alpha: float = 0.5
     beta: float = 1.0
     l1: float = 0.02
@@ -56,10 +56,10 @@ def word_hashes() -> PieceCache:
 
 
 def features(hashes: PieceCache, text: str, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places and values: one and two words, one to three shapes; logarithmic counts, length one."""
+    """Places and counts of one and two words, and of one to three shapes."""
     words = _WORDS.findall(text)
     if not words:
-        return np.empty(0, np.int32), np.empty(0, np.float32)
+        return np.empty(0, np.int32), np.empty(0, np.int32)
     rows, _ = hashes.gather(words)
     word, shape = rows.view(np.uint32).astype(np.uint64).T
     grams = []
@@ -70,8 +70,13 @@ def features(hashes: PieceCache, text: str, bits: int) -> tuple[np.ndarray, np.n
             mixed ^= mixed >> np.uint64(29)
         grams.append((mixed * _MIX) >> np.uint64(64 - bits))
     places, counts = np.unique(np.concatenate(grams), return_counts=True)
+    return places.astype(np.int32), counts.astype(np.int32)
+
+
+def amounts(counts: np.ndarray) -> np.ndarray:
+    """Logarithmic counts, as a vector of length one."""
     values = np.log1p(counts)
-    return places.astype(np.int32), (values / np.sqrt(values @ values)).astype(np.float32)
+    return values / np.sqrt(max(1e-12, values @ values))
 
 
 class Ftrl:
@@ -97,65 +102,60 @@ def is_held_out() -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
-def labelled(docs: DataFrame, labels: DataFrame, settings: Settings, shards: int) -> DataFrame:
-    """Features of every row to learn from. Of several labels of a document the lower counts."""
+def chosen(labels: DataFrame, settings: Settings) -> DataFrame:
+    """doc_id, label and shard of the rows to learn from; of several labels the lower counts."""
+    rows = labels.where(~is_held_out() & F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
+    one = rows.groupBy(F.col("doc_id").alias("__id")).agg(F.min("quality").cast("double").alias("label"))
+    n = one.count()
+    # Hashes below this share of their range; the shards cut the rest evenly.
+    share = min(1.0, settings.most_rows / max(n, 1))
+    shards = max(1, round(n * share / settings.shard_rows))
+    place = F.pmod(F.xxhash64("__id"), F.lit(1 << 40)) / float(1 << 40)
+    return one.withColumn("__place", place).where(F.col("__place") < share).withColumn("shard", F.floor(F.col("__place") / share * shards).cast("int"))
+
+
+def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> np.ndarray:
+    """Weights learnt from labelled rows that are not held out; the constant comes last.
+
+    The labels are few by their bound and go to the texts. A shard's trainer holds the
+    features of its rows and passes over them in an order set by content; the mean of the
+    trainers' states is the model. No rows: all weights zero.
+    """
+    picked = stored(chosen(labels, settings), "labels")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = word_hashes()
         for batch in batches:
             found = [features(hashes, t, settings.bits) for t in texts_of(batch["text"])]
             yield pd.DataFrame(
-                {"shard": batch["shard"], "turn": batch["turn"], "label": batch["label"], "places": [p.tobytes() for p, _ in found], "amounts": [v.tobytes() for _, v in found]}
+                {"shard": batch["shard"], "turn": batch["turn"], "label": batch["label"], "places": [p.tobytes() for p, _ in found], "counts": [np.minimum(c, 65535).astype("<u2").tobytes() for _, c in found]}
             )
 
-    one = labels.where(~is_held_out() & F.col("quality").isNotNull()).groupBy(F.col("doc_id").alias("__id")).agg(F.min("quality").cast("double").alias("label"))
-    turn = F.xxhash64("doc_id", "text")
+    def train(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        shards: dict[int, list] = {}
+        for batch in batches:
+            for r in batch.itertuples():
+                shards.setdefault(r.shard, []).append((np.frombuffer(r.places, np.int32), np.frombuffer(r.counts, "<u2"), r.label))
+        size = (1 << settings.bits) + 1
+        for shard, rows in shards.items():
+            learner = Ftrl(settings, np.zeros(size), np.zeros(size))
+            for _ in range(settings.epochs):
+                for places, counts, label in rows:
+                    learner.learn(places, amounts(counts), label)
+            yield pd.DataFrame({"shard": [shard], "z": [learner.z.astype("<f4").tobytes()], "n": [learner.n.astype("<f4").tobytes()]})
+
     rows = (
         docs.select("doc_id", text_or_empty().alias("text"))
-        .join(one, F.col("doc_id") == F.col("__id"))
-        .select("text", "label", turn.alias("turn"), F.pmod(turn, F.lit(shards)).cast("int").alias("shard"))
+        .join(F.broadcast(picked), F.col("doc_id") == F.col("__id"))
+        .select("text", "label", "shard", F.xxhash64("doc_id", "text").alias("turn"))
+        .mapInPandas(run, "shard int, turn long, label double, places binary, counts binary")
     )
-    return rows.mapInPandas(run, "shard int, turn long, label double, places binary, amounts binary")
-
-
-def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> np.ndarray:
-    """Weights learnt from all labelled rows that are not held out; the constant comes last.
-
-    Rows fall into shards by content; each shard's trainer streams its rows in a fixed
-    order, and the means of their states start the next round. No rows: all weights zero.
-    """
-    n = labels.where(~is_held_out() & F.col("quality").isNotNull()).count()
-    shards = min(settings.most_shards, max(1, -(-n // settings.shard_rows)))
-    rows = stored(labelled(docs, labels, settings, shards).repartition(shards, "shard").sortWithinPartitions("shard", "turn"), "labelled")
-    size = (1 << settings.bits) + 1
-    z, n = np.zeros(size, np.float32), np.zeros(size, np.float32)
-    spark = docs.sparkSession
-
-    for _ in range(settings.rounds):
-        start = spark.sparkContext.broadcast((z, n))
-
-        def train(batches: Iterator[pd.DataFrame], start=start) -> Iterator[pd.DataFrame]:
-            def state():
-                return pd.DataFrame({"shard": [shard], "z": [learner.z.astype("<f4").tobytes()], "n": [learner.n.astype("<f4").tobytes()]})
-
-            learner = shard = None
-            for batch in batches:
-                for r in batch.itertuples():
-                    if learner is None or r.shard != shard:
-                        if learner is not None:
-                            yield state()
-                        learner, shard = Ftrl(settings, *start.value), r.shard
-                    learner.learn(np.frombuffer(r.places, np.int32), np.frombuffer(r.amounts, np.float32), r.label)
-            if learner is not None:
-                yield state()
-
-        # A stored shard may be read by several tasks, so it is brought together again.
-        ordered = rows.repartition(shards, "shard").sortWithinPartitions("shard", "turn")
-        states = sorted(ordered.mapInPandas(train, "shard int, z binary, n binary").collect(), key=lambda r: r.shard)
-        if states:
-            z = np.mean([np.frombuffer(r.z, "<f4") for r in states], 0)
-            n = np.mean([np.frombuffer(r.n, "<f4") for r in states], 0)
-        start.unpersist()
+    most = max(1, round(settings.most_rows / settings.shard_rows)) + 1
+    ordered = rows.repartition(most, "shard").sortWithinPartitions("shard", "turn")
+    states = sorted(ordered.mapInPandas(train, "shard int, z binary, n binary").collect(), key=lambda r: r.shard)
+    if not states:
+        return np.zeros((1 << settings.bits) + 1, np.float32)
+    z, n = (np.mean([np.frombuffer(r[k], "<f4") for r in states], 0) for k in ("z", "n"))
     return Ftrl(settings, z, n).weights(slice(None)).astype(np.float32)
 
 
@@ -168,8 +168,8 @@ def score(docs: DataFrame, weights: np.ndarray, settings: Settings = Settings())
         for batch in batches:
             sums = []
             for text in texts_of(batch["text"]):
-                places, values = features(hashes, text, settings.bits)
-                sums.append(float(w[places] @ values) + float(w[-1]))
+                places, counts = features(hashes, text, settings.bits)
+                sums.append(float(w[places] @ amounts(counts)) + float(w[-1]))
             yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "score": 1 / (1 + np.exp(-np.clip(sums, -35, 35)))})
 
     return docs.select("doc_id", text_or_empty().alias("text")).mapInPandas(run, "doc_id long, score double")
