@@ -1,0 +1,342 @@
+"""Operators against plain versions of themselves, and on planted cases."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+import sentencepiece
+from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from tidemark.llm import components, exact, forest, licenses, mixing, pieces, private, quality, rules, tokens, urls
+from tidemark.session import new_dir
+
+from .conftest import PIECES, WORDS, odd_texts
+
+
+def frame(spark, texts, **more):
+    return spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
+
+
+# Near copies
+
+
+def plain_groups(texts, width, percent):
+    def shingles(t):
+        w = (t or "").encode().lower().split()
+        return {tuple(w[k : k + width]) for k in range(max(1, len(w) - width + 1))} if w else set()
+
+    sets = [shingles(t) for t in texts]
+    root = list(range(len(texts)))
+    changed = True
+    while changed:
+        changed = False
+        for i in range(len(texts)):
+            for j in range(i):
+                shared = len(sets[i] & sets[j])
+                if shared and 100 * shared >= percent * len(sets[i] | sets[j]) and root[i] != root[j]:
+                    root[i] = root[j] = min(root[i], root[j])
+                    changed = True
+    return [(i, len(sets[i]), root[i]) for i in range(len(texts))]
+
+
+def edited(rng, words, n):
+    out = list(words)
+    for _ in range(n):
+        out[rng.randrange(len(out))] = f"w{rng.randrange(10**6)}"
+    return " ".join(out)
+
+
+def test_near_groups_against_all_pairs(spark):
+    rng = random.Random(5)
+    texts = []
+    for _ in range(25):
+        base = [f"w{rng.randrange(3000)}" for _ in range(rng.randrange(40, 300))]
+        texts += [edited(rng, base, k) for k in (0, 0, 1, 2, 3, 5)]
+    # A chain whose ends are unlike, and a passage that many share.
+    chain = [f"c{i}" for i in range(200)]
+    for k in range(12):
+        chain[k * 5 : k * 5 + 2] = [f"n{k}", f"m{k}"]
+        texts.append(" ".join(chain))
+    passage = " ".join(f"p{i}" for i in range(60))
+    texts += [passage + " " + " ".join(f"q{rng.randrange(10**6)}" for _ in range(150)) for _ in range(40)]
+    texts += odd_texts()
+    want = plain_groups(texts, 3, 85)
+    got = forest.near_groups(frame(spark, texts), forest.Settings(width=3, percent=85)).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == want
+
+
+def test_a_large_group_is_found_whole_without_all_its_pairs(spark):
+    rng = random.Random(6)
+    base = [f"w{i}" for i in range(150)]
+    texts = [edited(rng, base, 1) for _ in range(1500)] + [edited(rng, [f"v{i}" for i in range(150)], 60) for _ in range(30)]
+    docs = frame(spark, texts)
+    s = forest.Settings()
+    found = {r.doc_id: r.component_id for r in forest.near_groups(docs, s).collect()}
+    assert {found[i] for i in range(1500)} == {0} and [found[i] for i in range(1500, 1530)] == list(range(1500, 1530))
+    reps = forest.signatures(docs, s).select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "labels")
+    assert forest.candidates(reps, s).count() < 1500 * s.trees * s.dense / 2
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_regions_are_whole_across_tasks(spark, parts):
+    rng = random.Random(7)
+    texts = [edited(rng, [f"a{k}b{i}" for i in range(80)], 1) for k in range(40) for _ in range(3)]
+    reps = forest.signatures(frame(spark, texts), forest.Settings()).select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "labels")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        pairs = {(r.a, r.b) for r in forest.candidates(reps, forest.Settings()).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert {(3 * k + i, 3 * k + j) for k in range(40) for i, j in ((0, 1), (0, 2), (1, 2))} <= pairs
+
+
+def test_components_of_a_long_chain(spark):
+    order = list(range(300))
+    random.Random(1).shuffle(order)
+    links = [(a, b) for a, b in zip(order, order[1:])] + [(1000, 1001), (1002, 1001), (5, 5)]
+    got = {r.id: r.component for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {**dict.fromkeys(range(300), 0), 1000: 1000, 1001: 1000, 1002: 1000}
+
+
+# Exact copies
+
+
+def test_merging_does_not_depend_on_runs(spark):
+    rng = random.Random(2)
+    docs = frame(spark, [f"t{rng.randrange(40)} {'x' * rng.randrange(3)}" for _ in range(300)])
+    wants = None
+    for parts, fan_in in ((1, 2), (9, 2), (9, 3), (30, 8)):
+        runs = exact.digest_runs(docs.repartition(parts))
+        got = sorted((r.text_sha256, r.keep_id, r.group_size) for r in exact.tree_merge(runs, fan_in).collect())
+        wants = wants or got
+        assert got == wants
+    assert sum(n for *_, n in wants) == 300
+
+
+# Token ids
+
+
+@given(st.lists(st.integers(0, 2**32 - 1), max_size=3000))
+@settings(max_examples=60, deadline=None)
+def test_blocks_come_back(values):
+    ids = np.array(values, np.uint32)
+    assert tokens.unpack(*tokens.pack(ids, 256)).tolist() == values
+
+
+def test_exceptions_do_not_widen_a_block():
+    values = np.array([3, 5, 2, 7] * 256, np.uint32)
+    values[100] = 49_000
+    assert len(tokens.pack_block(values)) < 1024 * 3 // 8 + 40
+
+
+def test_token_files_against_the_library(spark, texts):
+    held = [texts[i] for i in sorted(texts)] + [t or "" for t in odd_texts()] + ["<|endoftext|>x", "a<|endoftext|>", "It's DON'T İstanbul ΣΑΣ", "x.,;y"]
+    path = new_dir(spark, "ids")
+    tokens.write_ids(frame(spark, held).repartition(5), path, WORDS, chunk=5000)
+    library, start = Tokenizer.from_file(WORDS), 0
+    rows = tokens.read_ids(spark, path).orderBy("doc_id").collect()
+    assert len(rows) == len(held) and spark.read.parquet(f"{path}/blocks").count() > 5
+    for r, e in zip(rows, library.encode_batch(held, add_special_tokens=False)):
+        assert np.frombuffer(r.ids, "<u4").tolist() == e.ids + [1] and r.start == start
+        start += r.n_tokens
+
+
+# Pieces
+
+
+def test_pieces_and_spans_against_the_library(spark, texts):
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    held = [texts[i] for i in sorted(texts)] + odd_texts() + [" a  b ", "\n\n", "▁▁", "a\x00b", "ﬁ½"]
+    rows = pieces.encode(frame(spark, held), PIECES).orderBy("doc_id").collect()
+    for r, text in zip(rows, held):
+        data = (text or "").encode()
+        ids, begins, ends = (np.frombuffer(x, "<u4").tolist() for x in (r.ids, r.begins, r.ends))
+        assert ids == library.encode(text or "", add_bos=True, add_eos=True) and r.decoded == library.decode(ids)
+        assert [*begins[1:], ends[-1]] == ends and begins[0] == 0 and ends[-1] == len(data)
+    for text in held[:20] + held[-5:]:
+        proto = library.encode(text, return_type="proto")
+        _, ends = pieces.codec(PIECES).encode([text])[0]
+        assert [p.end for p in proto.pieces] == ends.tolist()
+        walked = pieces.codec(PIECES)._walk(text, np.array(library.encode(text), np.int64))[1]
+        assert walked.tolist() == ends.tolist()
+
+
+def test_the_character_map_takes_the_longest_prefix():
+    # A trie of "a" -> "x" and "ab" -> "yz", laid out by hand.
+    units = [0] * 1024
+
+    def node(at, offset, label, leaf=False):
+        units[at] = offset << 10 | leaf << 8 | label
+
+    node(0, 256, 0)
+    a = 256 ^ ord("a")
+    node(a, 512 ^ a, ord("a"), leaf=True)
+    units[512] = 1 << 31 | 0
+    b = 512 ^ ord("b")
+    node(b, 768 ^ b, ord("b"), leaf=True)
+    units[768] = 1 << 31 | 2
+    blob = np.array(units, "<u4").tobytes()
+    mapping = pieces.CharacterMap(len(blob).to_bytes(4, "little") + blob + b"x\0yz\0")
+    assert mapping.longest(b"abc", 0) == (2, b"yz") and mapping.longest(b"ac", 0) == (1, b"x") and mapping.longest(b"c", 0) is None
+    normal, source = pieces.normalise(b"ab  ca ", mapping, dummy_prefix=True, squeeze=True)
+    mark = "▁".encode()
+    assert normal == mark + b"yz" + mark + b"cx" and source.tolist() == [0, 0, 0, 0, 0, 2, 2, 2, 4, 5, 6]
+
+
+# Personal data
+
+PLAIN = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def plain_spans(text):
+    def holds(kind, hit):
+        digits = re.sub("[^0-9]", "", hit)
+        if kind == "ip":
+            return all(int(p) <= 255 for p in hit.split("."))
+        if kind == "card":
+            doubled = [int(d) * (1 + i % 2) for i, d in enumerate(reversed(digits))]
+            return 14 <= len(digits) <= 19 and sum(d - 9 if d > 9 else d for d in doubled) % 10 == 0
+        return kind != "phone" or 10 <= len(digits) <= 15
+
+    return sorted((m.start(), rank, m.end()) for rank, (kind, p) in enumerate(PLAIN.items()) for m in re.finditer(p, text or "") if holds(kind, m.group()))
+
+
+def test_base_spans_against_plain_patterns(spark, texts):
+    rng = random.Random(3)
+    held = ["".join(rng.choice("a1@.-+ ()_%é4") for _ in range(rng.randrange(60))) for _ in range(1500)]
+    held += ["4111 1111 1111 1111 é😀 a@b.c_x@d.e 001.2.3.4", "1" * 30_000, "a." * 20_000 + "@b.c", "x@" + "a.b." * 20_000, "a@" * 9_000, "1 " * 9_000, "1.2.3.4 " * 800]
+    held += [texts[i] for i in sorted(texts)] + odd_texts()
+    got = {r.doc_id: [tuple(s) for s in r.base] for r in private.find(frame(spark, held)).collect()}
+    assert all(got[i] == plain_spans(t) for i, t in enumerate(held))
+
+
+def test_contexts_find_more(spark):
+    rng = random.Random(4)
+    phone = lambda: f"+1 ({rng.randrange(200, 999)}) 555-{rng.randrange(1000, 9999)}"
+    held = [f"word{i} please call Anna {phone()} soon" for i in range(60)]
+    held += [f"word{i} please call Anna 555-{1000 + i % 3} soon" for i in range(6)]
+    held += [f"the year was {1900 + i} and Anna 12 left" for i in range(60)]
+    rows = {r.doc_id: r for r in private.find(frame(spark, held)).collect()}
+    for i in range(60, 66):
+        assert not rows[i].base and [held[i][s.start : s.end] for s in rows[i].spans] == [f"555-{1000 + (i - 60) % 3}"]
+        assert rows[i].spans[0]["rank"] == 3
+    assert all(not rows[i].spans for i in range(66, 126))
+    assert all(rows[i].base == rows[i].spans for i in range(60))
+
+
+# Rules, classifier, mix, licenses, urls
+
+
+def test_statistics_against_plain_counts(spark, texts):
+    held = [texts[i] for i in sorted(texts)] + odd_texts() + ["a b c a b c", "x\nx \nx\n\n", "a b a b a"]
+    for r in rules.statistics(frame(spark, held)).collect():
+        text = held[r.doc_id] or ""
+        w = re.findall(r"[^\x20\x09-\x0D]+", text)
+        runs = Counter(zip(w, w[1:], w[2:]))
+        inside = {k for i, t in enumerate(zip(w, w[1:], w[2:])) if runs[t] > 1 for k in (i, i + 1, i + 2)}
+        lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == (
+            len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(inside),
+        )
+
+
+def test_outliers_go_and_clean_documents_stay(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("etaoinshr") for _ in range(rng.randrange(2, 9)))
+    clean = [" ".join(word() for _ in range(rng.randrange(60, 200))) for _ in range(900)]
+    junk = [" ".join(word() + "###" for _ in range(100)) for _ in range(200)]
+    rows = {r.doc_id: r for r in rules.verdicts(frame(spark, clean + junk)).collect()}
+    assert all(rows[i].kept for i in range(900)) and not any(rows[i].kept for i in range(900, 1100))
+    again = {r.doc_id: r.distance for r in rules.verdicts(frame(spark, clean + junk).repartition(7)).collect()}
+    assert again == {i: r.distance for i, r in rows.items()}
+
+
+def test_a_small_group_rejects_nothing(spark):
+    rows = rules.verdicts(frame(spark, [" ".join(f"w{i}{k}" for i in range(60)) for k in range(20)] + ["### " * 5 + " ".join(f"x{i}" for i in range(60))]))
+    assert rows.where("NOT kept").count() == 0
+
+
+def test_chi_square():
+    assert rules.limit(5, 20) == pytest.approx(11.0705, abs=1e-3) and rules.limit(5, 1000) == pytest.approx(20.515, abs=1e-2)
+
+
+def test_classifier_on_held_out_rows(spark, documents, sf):
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    weights = quality.fit(documents, labels)
+    found = quality.score(documents, weights).withColumn("held", quality.is_held_out()).join(labels, "doc_id").where("held").collect()
+    assert len(found) > 10
+    assert sum((r.score >= 0.7) == (r.quality == 1) for r in found) >= 0.85 * len(found)
+    ours = {r.doc_id for r in documents.where(quality.is_held_out()).select("doc_id").collect()}
+    assert ours == {r.doc_id for r in documents.collect() if zlib.crc32(str(r.doc_id).encode()) % 4 == 2}
+    # Labels of held-out rows are never read.
+    flipped = labels.withColumn("quality", F.when(quality.is_held_out(), 1 - F.col("quality")).otherwise(F.col("quality")))
+    assert (quality.fit(documents, flipped) == weights).all()
+
+
+def test_targets_are_met_and_capped(spark):
+    rng = random.Random(9)
+    rows = [(i, "w " * rng.randrange(1, 60), None, f"s{int(rng.random() ** 2 * 7)}" if i % 11 else None) for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    plan = mixing.plan(docs).collect()
+    taken, size, target = Counter(), Counter(), {}
+    for r in plan:
+        taken[r.source] += r.taken
+        size[r.source] += r.size
+        target[r.source] = r.target
+        assert r.taken <= 2 * r.size and len(r.positions) == r.copies and all(0 <= p <= 1 for p in r.positions)
+    assert sum(target.values()) == pytest.approx(1.5 * sum(size.values()))
+    assert all(abs(taken[s] - target[s]) <= 60 and target[s] <= 2 * size[s] for s in size)
+    again = {(r.doc_id, r.taken, tuple(r.positions)) for r in mixing.plan(docs.repartition(6)).collect()}
+    assert again == {(r.doc_id, r.taken, tuple(r.positions)) for r in plan}
+
+
+def test_heavy_sources_come_early(spark):
+    rows = [(i, "a b c", None, f"s{i % 3}") for i in range(3000)]
+    plan = mixing.plan(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"))
+    mean = {r.source: r.m for r in plan.select("source", F.explode("positions").alias("p")).groupBy("source").agg(F.mean("p").alias("m")).collect()}
+    assert mean["s0"] < 0.45 < mean["s1"] < 0.55 < mean["s2"]
+    # Half of a steadily slowing source is given out before half time.
+    half = spark.range(1).select(mixing.place_in_time(F.lit(0.5), F.lit(0)).alias("t")).first().t
+    assert half == pytest.approx((-1.5 + (1.5**2 - 1) ** 0.5) / -1, abs=1e-9)
+
+
+def test_notices(spark):
+    held = [
+        "Some prose.\nLicensed under the Apache License, Version 2.0.\nMore.", "Licensed under CC BY-NC 4.0.", "Released under the MIT License. And then some.",
+        "This work is licensed under the GNU General Public License, version 2.", "a driving license is needed", "Licensed under the Apache Licence, Version 2.0.",
+        "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by the\nFree Software Foundation, either version 3 of the License, or (at your option)\nany later version.", "",
+    ]
+    got = [(r.doc_id, r.license, held[r.doc_id][r.start : r.end].split()[0], r.differing) for r in licenses.scan(frame(spark, held)).orderBy("doc_id").collect()]
+    assert got == [(0, "Apache-2.0", "Licensed", 0), (1, "CC-BY-NC-4.0", "Licensed", 0), (2, "MIT", "Released", 0), (3, "GPL-2.0", "This", 0), (5, "Apache-2.0", "Licensed", 1), (6, "GPL-3.0", "This", 0)]
+
+
+def test_notices_against_a_search_for_their_words(spark, documents, texts):
+    wanted = {
+        (i, name) for i, t in texts.items() for name, forms in licenses.TEMPLATES.items() if any(form in t for form in forms)
+    }
+    assert wanted and {(r.doc_id, r.license) for r in licenses.scan(documents).collect()} == wanted
+
+
+def test_many_rules_in_blocks(spark):
+    rng = random.Random(10)
+    names = ["a", "b", "co", "x-y", "z1"]
+    host = lambda n: ".".join(rng.choice(names) for _ in range(n))
+    given_rules = list({(host(rng.randrange(1, 4)), rng.choice(["/", "/a", "/a/b", "/c/"])): 1 for _ in range(120)})
+    ruled = [(h, p, rng.choice(["allow", "block"])) for h, p in given_rules]
+    pages = [(i, f"http://{host(rng.randrange(1, 5))}{rng.choice(['', '/', '/a', '/a/b/c', '/c', '/c/d?x'])}") for i in range(800)]
+    got = {r.page_id: (r.rule, r.verdict) for r in urls.judge(spark.createDataFrame(pages, "page_id long, url string"), ruled, "block", block=16).collect()}
+    for i, url in pages:
+        h, path = re.match(r"http://([^/?#]*)([^?#]*)", url).groups()
+        fits = [(len(rh + rp), len(rh), rh + rp, v) for rh, rp, v in ruled if (h == rh or h.endswith("." + rh)) and path.startswith(rp)]
+        fits.sort(key=lambda f: (-f[0], -f[1], f[2]))
+        assert got[i] == ((fits[0][2], fits[0][3]) if fits else (None, "block"))

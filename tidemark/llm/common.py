@@ -118,7 +118,10 @@ def gather_words(cache: PieceCache, texts: pa.Array) -> tuple[np.ndarray, np.nda
     """The rows of the ASCII-separated words of all texts, and how many rows each text has."""
     split = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
     words = split.flatten().dictionary_encode()
-    at, lengths = cache.places(words.dictionary.to_numpy(zero_copy_only=False).tolist())
+    distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+    at, lengths = cache.places(distinct)
+    if "" in distinct:  # what lies between white space and the end of a text
+        lengths[distinct.index("")] = 0
     which = words.indices.to_numpy(zero_copy_only=False)
     rows = cache.rows(at[which], lengths[which])
     upto = np.concatenate([[0], np.cumsum(lengths[which])])[np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))])]

@@ -102,10 +102,15 @@ def _ranked(rank: int):
     return lambda m: F.struct(m["start"].alias("start"), F.lit(rank).alias("rank"), m["end"].alias("end"))
 
 
+def _seed(rank: int):
+    return lambda m: F.struct(m["start"].alias("start"), F.lit(rank).alias("rank"), m["hit"].alias("hit"))
+
+
 def _of_rank(rank: int):
     return lambda s: s["rank"] == rank
 
 
+SEEDS = "array<struct<start:bigint,rank:int,hit:string>>"
 SPANS = "array<struct<start:bigint,rank:int,end:bigint>>"
 
 
@@ -127,13 +132,14 @@ def scanned(docs: DataFrame) -> DataFrame:
     wanted = {k: F.size("h_word") > 0 if k == "word" else F.exists(f"h_{k}", _holds(k)) for k in kinds}
     rows = rows.withColumns({f"g_{k}": F.when(wanted[k], F.split("text", patterns[k], -1)) for k in kinds})
     rows = rows.withColumns({f"m_{k}": F.when(F.col(f"g_{k}").isNotNull(), placed(F.col(f"h_{k}"), F.col(f"g_{k}"))) for k in kinds})
-    spans = []
+    spans, seeds = [], []
     for rank, kind in enumerate(KINDS):
         good = F.filter(f"m_{kind}", _holds(kind, "hit"))
         spans.append(F.coalesce(F.transform(good, _ranked(rank)), F.array().cast(SPANS)))
+        seeds.append(F.coalesce(F.transform(good, _seed(rank)), F.array().cast(SEEDS)))
     context = r"((?:[^\x20\x09-\x0D]{1,40}[\x20\x09-\x0D]{1,3}){1,2})$"
     words = F.transform("m_word", lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), m["hit"].alias("hit"), F.regexp_extract(m["gap"], context, 1).alias("before")))
-    return rows.select("doc_id", F.xxhash64("text").alias("hash"), F.array_sort(F.concat(*spans)).alias("base"), words.alias("words"))
+    return rows.select("doc_id", F.xxhash64("text").alias("hash"), F.array_sort(F.concat(*spans)).alias("base"), F.concat(*seeds).alias("seeds"), words.alias("words"))
 
 
 def as_text(spans: Column) -> Column:
@@ -146,20 +152,22 @@ def occurrences(found: DataFrame) -> DataFrame:
 
     Words inside a span, but not at its start, are left out.
     """
-    rows = found.select("doc_id", "hash", "base", F.explode("words").alias("w"))
-    began = F.filter("base", lambda s: (s["start"] >= F.col("w.start")) & (s["start"] < F.col("w.end")))
+    rows = found.select("doc_id", "hash", "base", "seeds", F.explode("words").alias("w"))
+    began = F.filter("seeds", lambda s: (s["start"] >= F.col("w.start")) & (s["start"] < F.col("w.end")))
     inside = F.exists("base", lambda s: (s["start"] < F.col("w.start")) & (s["end"] > F.col("w.start")))
     near = F.array_remove(F.split(ascii_lower(F.col("w.before")), f"{SPACE}+"), "")
     return (
         rows.where(~inside)
-        .select("doc_id", "hash", F.col("w.start").alias("start"), F.col("w.end").alias("end"), ascii_lower(F.col("w.hit")).alias("instance"), F.get(began, F.lit(0))["rank"].alias("seed"), near.alias("near"))
+        .select("doc_id", "hash", F.col("w.start").alias("start"), F.col("w.end").alias("end"), F.get(began, F.lit(0)).alias("__seed"), F.col("w.hit").alias("__hit"), near.alias("near"))
         .withColumn(
             "patterns",
             F.when(F.size("near") == 0, F.array().cast("array<string>"))
             .when(F.size("near") == 1, F.array(F.concat(F.lit("1 "), F.element_at("near", -1))))
             .otherwise(F.array(F.concat(F.lit("1 "), F.element_at("near", -1)), F.concat(F.lit("2 "), F.array_join("near", " ")))),
         )
-        .drop("near")
+        .withColumn("instance", ascii_lower(F.coalesce("__seed.hit", "__hit")))
+        .withColumn("seed", F.col("__seed.rank"))
+        .drop("near", "__seed", "__hit")
     )
 
 
@@ -172,8 +180,9 @@ def discovered(seen: DataFrame, s: Settings) -> DataFrame:
     """Occurrences that are no seeds, but stand in good patterns and look like their kind.
 
     Patterns are the one and two words before. Each round scores a pattern, per kind, by
-    the scores of the instances it is seen with, and an instance that is no seed by the
-    patterns it is seen in; both are sums over the links of the graph, added up in the
+    the scores of the instances it is seen with, against all it is seen with, and an
+    instance that is no seed by its best pattern. Only what reaches ``accept`` counts in
+    the next round, so that weak beliefs do not feed each other. Both scores are sums over the links of the graph, added up in the
     tasks first, so a pattern of a third of all rows is one row per task.
     """
     link = stored(
@@ -195,12 +204,13 @@ def discovered(seen: DataFrame, s: Settings) -> DataFrame:
             scored.groupBy("pattern", "kind").agg((F.sum(F.col("n") * F.col("score")) / (F.sum("n") + s.prior)).alias("belief")), "patterns"
         )
         unseen = (
-            graph.where("seed IS NULL").join(patterns, ["pattern", "kind"]).groupBy("instance", "kind").agg((F.sum(F.col("n") * F.col("belief")) / F.sum("n")).alias("worth"))
+            graph.where("seed IS NULL").join(patterns, ["pattern", "kind"]).groupBy("instance", "kind").agg(F.max("belief").alias("worth")).where(F.col("worth") >= s.accept)
         )
-        scored = graph.join(stored(unseen, "instances"), ["instance", "kind"], "left").withColumn("score", F.coalesce(sure, F.col("worth"), F.lit(0.0)))
+        unseen = stored(unseen, "instances")
+        scored = graph.join(unseen, ["instance", "kind"], "left").withColumn("score", F.coalesce(sure, F.col("worth"), F.lit(0.0)))
     good = patterns.where(F.col("belief") >= s.accept)
     fits = seen.where("seed IS NULL").where(_plausible()).select("doc_id", "hash", "start", "end", "instance", F.explode("patterns").alias("pattern"))
-    trusted = unseen.where(F.col("worth") >= s.accept).select("instance", "kind")
+    trusted = unseen.select("instance", "kind")
     return fits.join(good.select("pattern", "kind"), "pattern").join(trusted, ["instance", "kind"]).select("doc_id", "hash", "start", "end", "kind").distinct()
 
 
