@@ -12,7 +12,6 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.functions.time import from_reverse_time
 from tidemark.operators.upsert import latest_per_key
@@ -56,11 +55,18 @@ def write_log(rows: DataFrame, path: str, mode: str = "append", even: bool = Tru
 
 
 def read_log(spark: SparkSession, *paths: str, outcome: str = ROW) -> DataFrame:
-    """The log's rows, or its quarantine with ``outcome=BAD``: one scan of all paths."""
-    fields = {f.name: f for path in paths for f in spark.read.parquet(f"{path}/{SCHEMA}").schema}
-    declared = T.StructType(list(fields.values()))
-    kept = spark.read.schema(declared).parquet(*paths).where(F.col("outcome") == outcome)
-    return kept.drop(*(["outcome", "reason", "raw"] if outcome == ROW else ["outcome"]))
+    """The log's rows, or its quarantine with ``outcome=BAD``.
+
+    Each path is read by its declared schema. Spark reads partitioned folders without a
+    common root only one by one, so there is a scan for each.
+    """
+    unused = ["outcome", "reason", "raw"] if outcome == ROW else ["outcome"]
+    parts = []
+    for path in paths:
+        declared = spark.read.parquet(f"{path}/{SCHEMA}").schema
+        part = spark.read.schema(declared).parquet(path).where(F.col("outcome") == outcome)
+        parts.append(part.drop(*unused))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def current(log: DataFrame, order: Sequence[str], dates: Sequence[str] | None = None) -> DataFrame:
