@@ -134,6 +134,16 @@ def test_what_stores_get(spark):
     assert stores.stored_rows(keys.drop("seq")).columns == ROW_KEY
 
 
+def test_a_staging_table_gets_the_last_row_of_each_key(spark, monkeypatch):
+    sent = {}
+    monkeypatch.setattr(stores, "write_rows", lambda rows, fmt, mode, **o: sent.update(rows=rows, fmt=fmt, mode=mode, **o))
+    rows = written(spark, (1, "a", 1, 1.0), (1, "a", 2, 2.0), (2, "a", 1, 3.0))
+    stores.write_jdbc_stage(rows, ["seq"], "jdbc:x", "stage", connections=3, user="u")
+    got = sent.pop("rows")
+    assert sent == {"fmt": "jdbc", "mode": "append", "url": "jdbc:x", "dbtable": "stage", "batchsize": "10000", "numPartitions": "3", "user": "u"}
+    assert got.columns == [*ROW_KEY, "METRIC"] and got.count() == 2
+
+
 def test_peek(spark):
     rows = written(spark, *[(i, "a", i, 1.0) for i in range(30)])
     assert stores.peek(rows).count() == 10

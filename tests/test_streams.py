@@ -103,6 +103,33 @@ def test_files_per_date_are_bounded(spark, sf, files):
     assert made.groupBy("event_date").count().agg(F.max("count")).first()[0] <= 2 * batches
 
 
+def test_a_query_runs_at_its_interval(spark, sf, files):
+    asked = []
+
+    class Writer:
+        def trigger(self, **how):
+            asked.append(how)
+
+    streams.timed(Writer()), streams.timed(Writer(), "7 seconds"), streams.timed(Writer(), None)
+    assert asked == [{"processingTime": "500 seconds"}, {"processingTime": "7 seconds"}, {"availableNow": True}]
+    # Two ticks and more: one file for each, so four batches.
+    found, path = queries.dictionaries(spark, sf), new_dir(spark, "rows")
+    source = logs.file_messages(spark, files, fixtures.MESSAGES, max_files=1)
+    query = streams.start_rows(source, found, path, new_dir(spark, "checkpoint"), "1 second")
+    query.processAllAvailable()
+    query.stop()
+    assert len([p for p in query.recentProgress if p.numInputRows]) == 4
+
+
+def test_dictionaries_of_past_batches_are_removed(spark, sf):
+    given = ["batches", "--path", "p", "--checkpoint", "c", "--metric-ids", fixtures.table_path(spark, sf, "metric_ids"), "--hierarchy", fixtures.table_path(spark, sf, "hierarchy")]
+    fresh = job._fresh(spark, job.parser().parse_args(given))
+    first, second = fresh(), fresh()
+    assert second.metrics.rows.count() == 5
+    with pytest.raises(Exception):
+        first.metrics.rows.count()
+
+
 def test_an_empty_log_can_be_read(spark, sf, files):
     found, path = queries.dictionaries(spark, sf), new_dir(spark, "rows")
     none = spark.read.parquet(files).where("false")

@@ -7,7 +7,7 @@ in ``--packages`` where messages come from a topic.
 from __future__ import annotations
 
 import argparse
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -16,7 +16,7 @@ from tidemark.operators import dictionary
 from tidemark.operators.dictionary import Dictionaries
 from tidemark.plans import rows
 from tidemark.session import new_dir, prepare
-from tidemark.sinks import stores
+from tidemark.sinks import stores, table
 from tidemark.sources import messages, metadata
 from tidemark.streaming import jobs
 
@@ -102,7 +102,7 @@ def _messages(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     )
 
 
-def _dictionaries(spark: SparkSession, args: argparse.Namespace) -> Dictionaries:
+def _dictionaries(spark: SparkSession, args: argparse.Namespace, folder: str | None = None) -> Dictionaries:
     if args.jdbc_url:
         ids = metadata.metric_ids_from_jdbc(spark, args.jdbc_url, args.metric_table)
     elif args.metric_ids:
@@ -112,7 +112,22 @@ def _dictionaries(spark: SparkSession, args: argparse.Namespace) -> Dictionaries
     hierarchy = metadata.hierarchy_from_files(
         spark, args.hierarchy, args.hierarchy_format, **_pairs(args.hierarchy_option)
     )
-    return dictionary.resolve(ids, hierarchy, new_dir(spark, "dictionaries"))
+    return dictionary.resolve(ids, hierarchy, folder or new_dir(spark, "dictionaries"))
+
+
+def _fresh(spark: SparkSession, args: argparse.Namespace) -> Callable[[], Dictionaries]:
+    """Dictionaries read anew for each batch; those of the batch before, which is over, go."""
+    held: list[str] = []
+
+    def resolve() -> Dictionaries:
+        folder = new_dir(spark, "dictionaries")
+        found = _dictionaries(spark, args, folder)
+        if held:
+            table.remove(spark, held.pop())
+        held.append(folder)
+        return found
+
+    return resolve
 
 
 def start(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
@@ -138,12 +153,12 @@ def start(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
     interval = None if args.interval == "once" else args.interval
     if args.mode == "batches":
         write = jobs.batch_writer(
-            lambda: _dictionaries(spark, args), args.path, options, args.show
+            _fresh(spark, args), args.path, options, args.show
         )
         return jobs.start_batches(source, write, args.checkpoint, interval)
     if args.mode == "store":
         write = jobs.store_writer(
-            lambda: _dictionaries(spark, args), args.order, options, args.as_json,
+            _fresh(spark, args), args.order, options, args.as_json,
             args.format, args.write_mode, args.show, **_pairs(args.option),
         )
         return jobs.start_batches(source, write, args.checkpoint, interval)

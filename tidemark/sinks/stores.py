@@ -38,18 +38,22 @@ def write_rows(
     rows.write.format(fmt).mode(mode).options(**options).save()
 
 
-def write_jdbc_stage(
-    rows: DataFrame, url: str, stage: str, order: list[str], batch: int = 10_000, **options: str
-) -> None:
+def stage_options(
+    url: str, stage: str, batch: int = 10_000, connections: int = 16, **options: str
+) -> dict[str, str]:
+    """Options of a staging table's writer: rows go in by batches, over so many connections at most."""
+    return {
+        "url": url, "dbtable": stage, "batchsize": str(batch), "numPartitions": str(connections), **options
+    }
+
+
+def write_jdbc_stage(rows: DataFrame, order: list[str], url: str, stage: str, **options) -> None:
     """Append the last row per key to a staging table of a database.
 
-    Rows go in by batches over one connection per partition; the database then
-    merges the staging table into its own.
+    The database then merges the staging table into its own.
     """
     kept = stored_rows(latest_per_key(rows, order))
-    kept.write.format("jdbc").mode("append").options(
-        url=url, dbtable=stage, batchsize=str(batch), **options
-    ).save()
+    write_rows(kept, "jdbc", "append", **stage_options(url, stage, **options))
 
 
 def peek(rows: DataFrame, n: int = 10, order: list[str] | None = None) -> DataFrame:
