@@ -55,12 +55,12 @@ def is_empty(df: DataFrame) -> bool:
 class PieceCache:
     """Encodings of short pieces, found by piece; a batch is put together with numpy.
 
-    ``encode`` takes a list of pieces and gives for each an array of integers, of ``width``
-    columns. The memory is bounded: a full cache forgets its younger half, as what comes
+    ``encode`` takes a list of pieces and gives for each the bytes of 32-bit integers, in rows
+    of ``width``. The memory is bounded: a full cache forgets its younger half, as what comes
     often comes early.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[np.ndarray]], width: int = 1, limit: int = 500_000):
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], width: int = 1, limit: int = 500_000):
         self.encode, self.width, self.limit = encode, width, limit
         self.place: dict[str, int] = {}
         self.chars = 0
@@ -76,13 +76,12 @@ class PieceCache:
     def _learn(self, new: list[str]) -> None:
         rows = self.encode(new)
         at, used = len(self.place), int(self.ends[len(self.place)])
-        lengths = np.fromiter((np.size(r) // self.width for r in rows), np.int64, len(rows))
+        lengths = np.fromiter(map(len, rows), np.int64, len(rows)) // (4 * self.width)
         while at + len(new) + 1 > len(self.ends):
             self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
         while used + lengths.sum() > len(self.flat):
             self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
-        if lengths.sum():
-            self.flat[used : used + lengths.sum()] = np.concatenate([np.asarray(r).astype(np.int32, copy=False).reshape(-1, self.width) for r in rows])
+        self.flat[used : used + lengths.sum()] = np.frombuffer(b"".join(rows), np.int32).reshape(-1, self.width)
         self.ends[at + 1 : at + 1 + len(new)] = used + np.cumsum(lengths)
         self.place.update(zip(new, range(at, at + len(new))))
         self.chars += sum(map(len, new))

@@ -43,7 +43,7 @@ class Settings:
 
 @cache
 def _word_hashes() -> PieceCache:
-    return PieceCache(lambda new: [np.array([xxhash.xxh64_intdigest(w)], np.uint64).view(np.int32) for w in new], 2)
+    return PieceCache(lambda new: [xxhash.xxh64_digest(w) for w in new], 2)
 
 
 def _shingles(words: np.ndarray, width: int) -> np.ndarray:

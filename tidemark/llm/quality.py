@@ -49,8 +49,8 @@ def _shape(word: str) -> str:
 def word_hashes() -> PieceCache:
     """Two hashes per word, of its lower case and of its shape; kept while the worker lives."""
 
-    def learn(new: list[str]) -> list[np.ndarray]:
-        return [np.array([xxhash.xxh32_intdigest(w.lower()), xxhash.xxh32_intdigest("shape " + _shape(w))], np.uint32).view(np.int32) for w in new]
+    def learn(new: list[str]) -> list[bytes]:
+        return [xxhash.xxh32_digest(w.lower()) + xxhash.xxh32_digest("shape " + _shape(w)) for w in new]
 
     return PieceCache(learn, 2)
 

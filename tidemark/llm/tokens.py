@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -24,6 +25,10 @@ from tidemark.session import new_dir
 BLOCK, CHUNK = 1024, 1 << 16
 #: The width of a block holds this share of its values; the rest are exceptions.
 PERCENTILE = 95
+#: Words whose ids a worker remembers, some 200 bytes each.
+KEPT_WORDS = 800_000
+#: Letters before U+0130, where lowering knows no exceptions, and marks that are no apostrophe.
+_LETTERS_MARKS = re.compile("([A-Za-zÀ-ÖØ-öø-į]+)([.,;:!?*&%$#]*)")
 _HEAD = struct.Struct("<IHBH")  # minimum, values, width in bits, exceptions
 
 CHUNKS = (
@@ -90,22 +95,37 @@ def word_encoder(vocabulary: str) -> PieceCache:
     special = {t.content: i for i, t in tokenizer.get_added_tokens_decoder().items()}
     between, stop = next(iter(special.items()))
 
-    def alone(words: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.int32) for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+    def alone(words: list[str]) -> list[bytes]:
+        return [np.array(e.ids, np.int32).tobytes() for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
-    def learn(new: list[str]) -> list[np.ndarray]:
-        # A word that holds part of a special token could complete one at its border.
-        odd = [w for w in new if "<" in w or ">" in w or "|" in w]
-        found = dict(zip(odd, alone(odd)))
-        plain = [w for w in new if w not in found]
-        for some in (plain[i : i + 1000] for i in range(0, len(plain), 1000)):
+    def together(words: list[str]) -> list[bytes]:
+        found = []
+        for some in (words[i : i + 1000] for i in range(0, len(words), 1000)):
             ids = np.array(tokenizer.encode(between.join([*some, ""]), add_special_tokens=False).ids, np.int32)
-            stops = np.nonzero(ids == stop)[0]
-            begins = np.concatenate([[0], stops[:-1] + 1])
-            found.update((w, ids[i:j]) for w, i, j in zip(some, begins.tolist(), stops.tolist()))
-        return [found[w] for w in new]
+            ends = (np.nonzero(ids == stop)[0] * 4).tolist()
+            data = ids.tobytes()
+            found += [data[i:j] for i, j in zip([0, *(e + 4 for e in ends)], ends)]
+        return found
+
+    parts = {"": b""}
+
+    def learn(new: list[str]) -> list[bytes]:
+        # Letters, then marks: the tokenizer cuts between them and ignores case, so both
+        # are looked up alone. Letters are lowered here only where that is beyond doubt.
+        cut = map(_LETTERS_MARKS.fullmatch, new)
+        pieces = [(m[1].lower(), m[2]) if m else (w, "") for w, m in zip(new, cut)]
+        if len(parts) > KEPT_WORDS // 2:
+            parts.clear()
+            parts[""] = b""
+        missing = list(dict.fromkeys(p for both in pieces for p in both if p not in parts))
+        # A word that holds part of a special token could complete one at its border.
+        odd = [p for p in missing if "<" in p or ">" in p or "|" in p]
+        parts.update(zip(odd, alone(odd)))
+        plain = [p for p in missing if p not in parts]
+        parts.update(zip(plain, together(plain)))
+        return [parts[a] + parts[b] for a, b in pieces]
 
-    return PieceCache(learn)
+    return PieceCache(learn, limit=KEPT_WORDS)
 
 
 def encode_texts(words: PieceCache, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
@@ -154,7 +174,7 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str, end_id: int = 1, chun
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     ordered = rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
     ordered.mapInArrow(encode, CHUNKS).write.parquet(f"{path}/blocks")
-    blocks = docs.sparkSession.read.parquet(f"{path}/blocks")
+    blocks = docs.sparkSession.read.schema(CHUNKS).parquet(f"{path}/blocks")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     (
         blocks.groupBy("shard")
@@ -181,7 +201,7 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
                     }
                 )
 
-    shards = spark.read.parquet(f"{path}/shards").select("shard", "before")
+    shards = spark.read.schema("shard int, before long").parquet(f"{path}/shards")
     found = spark.read.schema(CHUNKS).parquet(f"{path}/blocks").join(shards, "shard")
     return found.mapInPandas(decode, "doc_id long, start long, n_tokens long, ids binary")
 
