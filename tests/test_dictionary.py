@@ -123,3 +123,19 @@ def test_a_hot_key_is_split_at_run_time(spark):
     finally:
         for key in settings:
             spark.conf.unset(key)
+
+
+def test_resolving_takes_few_jobs(spark, sf):
+    from tidemark.operators import dictionary
+    from tidemark.session import new_dir
+    from tidemark.sources import fixtures
+
+    raw = [fixtures.table(spark, sf, name) for name in ("metric_ids", "hierarchy")]
+    spark.sparkContext.setJobGroup("resolve", "")
+    try:
+        dictionary.resolve(*raw, new_dir(spark, "dictionaries"))
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("resolve")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    print(len(jobs))
+    assert len(jobs) < 25

@@ -15,6 +15,10 @@ ENVIRONMENTS = "environment"
 APPLICATIONS = "appname"
 HOSTS = "hosts"
 
+# Schemas of the stored dictionaries.
+METRICS = "NAME string, MID int"
+PLACES = "host string, env string, app string"
+
 
 @dataclass(frozen=True)
 class Dictionaries:
@@ -29,7 +33,7 @@ def metric_dictionary(meta: DataFrame) -> DataFrame:
 
     Repeats collapse; of conflicting ids the smallest is kept.
     """
-    pairs = meta.select("ID", "NAME").distinct().where(F.col("NAME").isNotNull())
+    pairs = meta.where(F.col("NAME").isNotNull())
     return pairs.groupBy("NAME").agg(F.min("ID").cast("int").alias("MID"))
 
 
@@ -59,10 +63,10 @@ def read_rows(table: DataFrame, keys: DataFrame, key: str = "rowkey") -> DataFra
     return found.join(match, F.col("_row") == F.col("_key")).drop("_row", "_key")
 
 
-def host_hierarchy(table: DataFrame) -> DataFrame:
-    """Distinct ``host, env, app`` rows, walking env -> applications -> hosts."""
-    env = read_row(table, ENVIRONMENTS).select(clean(F.col("qualifier")).alias("env"))
-    envs = env.where(filled(F.col("env"))).distinct()
+def _places(table: DataFrame) -> DataFrame:
+    """``host, env, app`` rows, walking env -> applications -> hosts; hosts may repeat."""
+    found = table.where(F.col("rowkey") == ENVIRONMENTS).select(clean(F.col("qualifier")).alias("env"))
+    envs = found.where(filled(F.col("env"))).distinct()
     app_keys = envs.select("env", F.concat("env", F.lit(f".{APPLICATIONS}")).alias("key"))
     apps = (
         read_rows(table, app_keys, "key")
@@ -73,15 +77,19 @@ def host_hierarchy(table: DataFrame) -> DataFrame:
     host_keys = apps.select(
         "env", "app", F.concat("env", F.lit("."), "app", F.lit(f".{HOSTS}")).alias("key")
     )
-    hosts = read_rows(table, host_keys, "key").select(
+    return read_rows(table, host_keys, "key").select(
         clean(F.col("qualifier")).alias("host"), "env", clean(F.col("app")).alias("app")
     )
-    return hosts.distinct()
+
+
+def host_hierarchy(table: DataFrame) -> DataFrame:
+    """Distinct ``host, env, app`` rows, walking env -> applications -> hosts."""
+    return _places(table).distinct()
 
 
 def host_dictionary(table: DataFrame) -> DataFrame:
     """``host, env, app`` with one row per host: the smallest (env, app) pair."""
-    places = host_hierarchy(table).groupBy("host").agg(F.min(F.struct("env", "app")).alias("place"))
+    places = _places(table).groupBy("host").agg(F.min(F.struct("env", "app")).alias("place"))
     return places.select("host", "place.env", "place.app")
 
 
@@ -106,10 +114,10 @@ def load(spark: SparkSession, folder: str) -> Dictionaries:
     An empty metric dictionary is refused: with it every row would be dropped without
     notice.
     """
-    names = measured(spark.read.parquet(f"{folder}/metrics"), "NAME")
+    names = measured(spark.read.schema(METRICS).parquet(f"{folder}/metrics"), "NAME")
     if names.count == 0:
         raise ValueError("the metric dictionary is empty")
-    return Dictionaries(names, measured(spark.read.parquet(f"{folder}/hosts"), "host"))
+    return Dictionaries(names, measured(spark.read.schema(PLACES).parquet(f"{folder}/hosts"), "host"))
 
 
 def resolve(meta: DataFrame, hierarchy: DataFrame, folder: str) -> Dictionaries:
