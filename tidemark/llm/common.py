@@ -48,6 +48,15 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+#: Rows of one or two numbers that are small enough to send to every task.
+SMALL_ROWS = 1_000_000
+
+
+def sent_if_small(held: DataFrame, most: int = SMALL_ROWS) -> DataFrame:
+    """A stored table of a few numbers per row, to be broadcast if its count allows."""
+    return F.broadcast(held) if held.count() <= most else held
+
+
 def is_empty(df: DataFrame) -> bool:
     return not df.limit(1).collect()
 

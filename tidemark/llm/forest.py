@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import PieceCache, gather_words, is_empty, stored, table
+from tidemark.llm.common import PieceCache, gather_words, is_empty, sent_if_small, stored, table
 from tidemark.llm.components import components
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -28,15 +28,16 @@ class Settings:
     ``trees`` orders of ``depth`` hashes each. Neighbours share ``least`` hashes or more; a
     region of more than ``dense`` rows is cut one hash deeper, and so on. Two documents of
     similarity s share a region of depth d in one of t trees at least with probability
-    1 - (1 - s**d)**t: for 20 trees and s = 0.85 that is 1 - 6e-9 at depth 3 and 0.998 at
-    depth 8.
+    1 - (1 - s**d)**t: for 24 trees and s = 0.85 that is 1 - 8e-7 at depth 5 and 0.9995 at
+    depth 8; for s = 0.8 it is 0.9999 at depth 5. Unlike documents share five hashes so
+    seldom that candidates grow with the documents and not with their square.
     """
 
     width: int = 5
     percent: int = 80
-    trees: int = 20
+    trees: int = 24
     depth: int = 8
-    least: int = 3
+    least: int = 5
     dense: int = 16
     window: int = 4
 
@@ -237,13 +238,13 @@ def _sets(docs: DataFrame, wanted: DataFrame, s: Settings) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), held.cast(pa.list_(pa.int64()))], ["id", "shingles"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return rows.join(wanted, F.col("doc_id") == F.col("__id"), "left_semi").mapInArrow(run, "id long, shingles array<bigint>")
+    return rows.join(sent_if_small(wanted), F.col("doc_id") == F.col("__id"), "left_semi").mapInArrow(run, "id long, shingles array<bigint>")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose whole sets are similar enough."""
+    """The pairs of a stored table whose whole sets are similar enough."""
     a, b = sets.toDF("__a", "__sa"), sets.toDF("__b", "__sb")
-    joined = pairs.join(a, F.col("a") == F.col("__a")).join(b, F.col("b") == F.col("__b"))
+    joined = a.join(sent_if_small(pairs), F.col("a") == F.col("__a")).join(b, F.col("b") == F.col("__b"))
     shared = F.size(F.array_intersect("__sa", "__sb"))
     return joined.where(100 * shared >= percent * (F.size("__sa") + F.size("__sb") - shared)).select("a", "b")
 
@@ -267,13 +268,13 @@ def near_groups(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     )
     pairs = stored(candidates(reps, s), "pairs")
     ids = pairs.select(F.col("a").alias("__id")).unionByName(pairs.select(F.col("b").alias("__id"))).distinct()
-    sets = stored(_sets(docs, ids, s), "sets")
+    sets = stored(_sets(docs, stored(ids, "ids"), s), "sets")
 
     first = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     second = pairs.groupBy("a").agg(F.min("b").alias("b")).select("a", "b")
-    links = stored(confirmed(first.unionByName(second).distinct(), sets, s.percent), "confirmed")
+    links = stored(confirmed(stored(first.unionByName(second).distinct(), "pairs"), sets, s.percent), "confirmed")
     met = components(links)
-    apart = _apart(pairs, met)
+    apart = stored(_apart(pairs, met), "pairs")
     if not is_empty(apart):
         links = links.unionByName(stored(confirmed(apart, sets, s.percent), "confirmed"))
         met = components(links)
