@@ -184,17 +184,18 @@ def verdicts(docs: DataFrame, support: float = SUPPORT, steps: int = STEPS, once
     sizes = named.where("NOT base_failed").groupBy("__l", "__s").agg(F.count("*").alias("n"))
     small = sizes.where(F.col("n") < least_rows)
     by_lang = small.groupBy(F.col("__l").alias("__ll")).agg(F.sum("n").alias("nl"))
-    rest = by_lang.where(F.col("nl") < least_rows).agg(F.coalesce(F.sum("nl"), F.lit(0)).alias("nr"))
+    rest = by_lang.where(F.col("nl") < least_rows).agg(F.coalesce(F.sum("nl"), F.lit(0))).first()[0]
     pool = (
         F.when(F.col("n") >= least_rows, F.concat_ws("\n", "__l", "__s"))
         .when(F.col("nl") >= least_rows, F.col("__l"))
-        .when(F.col("nr") >= least_rows, F.lit("all"))
+        .when(F.lit(rest >= least_rows), F.lit("all"))
     )
     pools = (
         sizes.join(by_lang, F.col("__l") == F.col("__ll"), "left")
-        .crossJoin(F.broadcast(rest))  # one row
         .select(F.col("__l").alias("__pl"), F.col("__s").alias("__ps"), pool.alias("pool"))
     )
+    # Stored, it has a known size: broadcast if small, else both sides are dealt for the join alone.
+    pools = stored(pools, "pools")
     joined = named.join(pools, (F.col("__l") == F.col("__pl")) & (F.col("__s") == F.col("__ps")), "left").drop("__l", "__s", "__pl", "__ps")
     vectors = stored(joined.select("*", *transformed()), "vectors")
     cloud = vectors.where("NOT base_failed AND pool IS NOT NULL").select("pool", *(f"v{i}" for i in range(len(VECTOR))))
@@ -204,7 +205,7 @@ def verdicts(docs: DataFrame, support: float = SUPPORT, steps: int = STEPS, once
     found = middle.select("pool", F.array(*(F.col(f"m{i}") / SCALE for i in range(len(VECTOR)))).alias("center"), F.array(*floors).alias("inverse"))
     for _ in range(steps):
         placed = cloud.join(stored(found, "estimates"), "pool").withColumn("far", _distance()).drop("center", "inverse")
-        nearest = placed.groupBy("pool").agg(F.percentile("far", F.lit(support)).alias("__upto"))
+        nearest = stored(placed.groupBy("pool").agg(F.percentile("far", F.lit(support)).alias("__upto")), "quantiles")
         found = _estimates(placed.join(nearest, "pool").where(F.col("far") <= F.col("__upto")), consistency(share=support))
     far = vectors.join(stored(found, "estimates"), "pool", "left").withColumn("far", _distance())
     outside = F.coalesce(F.col("far") > math.ceil(math.sqrt(limit(once_in=once_in)) * FINE), F.lit(False))
