@@ -146,6 +146,8 @@ def test_token_files_against_the_library(spark, texts):
     for r, e in zip(rows, library.encode_batch(held, add_special_tokens=False)):
         assert np.frombuffer(r.ids, "<u4").tolist() == e.ids + [1] and r.start == start
         start += r.n_tokens
+    sums = {r.doc_id: r.ids_crc32 for r in tokens.read_ids(spark, path, checksums=True).collect()}
+    assert sums == {r.doc_id: zlib.crc32(r.ids) for r in rows}
 
 
 # Pieces

@@ -8,6 +8,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import cache
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -28,7 +29,8 @@ PERCENTILE = 95
 #: Words whose ids a worker remembers, some 200 bytes each.
 KEPT_WORDS = 800_000
 #: Letters before U+0130, where lowering knows no exceptions, and marks that are no apostrophe.
-_LETTERS_MARKS = re.compile("([A-Za-zÀ-ÖØ-öø-į]+)([.,;:!?*&%$#]*)")
+_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-į]+")
+_LETTERS_MARKS = re.compile(f"({_LETTERS.pattern})([.,;:!?*&%$#]*)")
 _HEAD = struct.Struct("<IHBH")  # minimum, values, width in bits, exceptions
 
 CHUNKS = (
@@ -86,7 +88,8 @@ def word_encoder(vocabulary: str) -> PieceCache:
     """Ids by word, kept while the worker lives.
 
     The tokenizer drops white space and no piece crosses it, so a text's ids are its words'
-    ids in a line. New words are encoded many at a time, with a special token between.
+    ids in a line. New words are encoded many at a time, with a token between that none of
+    them holds.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
@@ -98,9 +101,11 @@ def word_encoder(vocabulary: str) -> PieceCache:
     def alone(words: list[str]) -> list[bytes]:
         return [np.array(e.ids, np.int32).tobytes() for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
-    def together(words: list[str]) -> list[bytes]:
+    comma = tokenizer.encode(",", add_special_tokens=False).ids
+
+    def together(words: list[str], between: str, stop: int) -> list[bytes]:
         found = []
-        for some in (words[i : i + 1000] for i in range(0, len(words), 1000)):
+        for some in (words[i : i + 500] for i in range(0, len(words), 500)):
             ids = np.array(tokenizer.encode(between.join([*some, ""]), add_special_tokens=False).ids, np.int32)
             ends = (np.nonzero(ids == stop)[0] * 4).tolist()
             data = ids.tobytes()
@@ -114,15 +119,20 @@ def word_encoder(vocabulary: str) -> PieceCache:
         # are looked up alone. Letters are lowered here only where that is beyond doubt.
         cut = map(_LETTERS_MARKS.fullmatch, new)
         pieces = [(m[1].lower(), m[2]) if m else (w, "") for w, m in zip(new, cut)]
-        if len(parts) > KEPT_WORDS // 2:
-            parts.clear()
-            parts[""] = b""
+        if len(parts) > KEPT_WORDS:
+            for young in list(islice(parts, KEPT_WORDS // 2, None)):
+                del parts[young]
         missing = list(dict.fromkeys(p for both in pieces for p in both if p not in parts))
+        # Between letters a comma parts as well, and is cheaper: it is a word of its own.
+        if len(comma) == 1:
+            stems = [p for p in missing if _LETTERS.fullmatch(p)]
+            parts.update(zip(stems, together(stems, ",", comma[0])))
+            missing = [p for p in missing if p not in parts]
         # A word that holds part of a special token could complete one at its border.
         odd = [p for p in missing if "<" in p or ">" in p or "|" in p]
         parts.update(zip(odd, alone(odd)))
         plain = [p for p in missing if p not in parts]
-        parts.update(zip(plain, together(plain)))
+        parts.update(zip(plain, together(plain, between, stop)))
         return [parts[a] + parts[b] for a, b in pieces]
 
     return PieceCache(learn, limit=KEPT_WORDS)
@@ -184,26 +194,32 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str, end_id: int = 1, chun
     )
 
 
-def read_ids(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id, start, n_tokens and ids (little-endian unsigned 32-bit) of every document."""
+def read_ids(spark: SparkSession, path: str, checksums: bool = False) -> DataFrame:
+    """doc_id, start, n_tokens and ids (little-endian unsigned 32-bit) of every document.
+
+    With ``checksums`` the ids' CRC-32 stands in their place, for checks that need not move
+    the ids out of the task.
+    """
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for r in batch.itertuples():
                 ids = unpack(r.block_starts, r.blocks)
                 ends = np.cumsum(r.lengths)
+                own = [ids[e - n : e].astype("<u4", copy=False).tobytes() for e, n in zip(ends.tolist(), r.lengths.tolist())]
                 yield pd.DataFrame(
                     {
                         "doc_id": pd.array(list(r.doc_ids), dtype="Int64"),
                         "start": r.before + r.start + ends - r.lengths,
                         "n_tokens": r.lengths,
-                        "ids": [ids[e - n : e].astype("<u4").tobytes() for e, n in zip(ends, r.lengths)],
+                        **({"ids_crc32": list(map(zlib.crc32, own))} if checksums else {"ids": own}),
                     }
                 )
 
     shards = spark.read.schema("shard int, before long").parquet(f"{path}/shards")
     found = spark.read.schema(CHUNKS).parquet(f"{path}/blocks").join(shards, "shard")
-    return found.mapInPandas(decode, "doc_id long, start long, n_tokens long, ids binary")
+    last = "ids_crc32 long" if checksums else "ids binary"
+    return found.mapInPandas(decode, f"doc_id long, start long, n_tokens long, {last}")
 
 
 def op4_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -211,4 +227,4 @@ def op4_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path = new_dir(spark, "token-ids")
     write_ids(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
-    return read_ids(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    return read_ids(spark, path, checksums=True)
