@@ -84,6 +84,29 @@ def test_a_large_group_is_found_whole_without_all_its_pairs(spark):
     assert forest.candidates(reps, s).count() < 1500 * s.trees * s.dense / 2
 
 
+@pytest.mark.parametrize("original, parts", [(0, 7), (300, 4), (599, 1)])
+def test_copies_that_are_like_their_original_only(spark, original, parts):
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(604)]
+    texts = [edited(rng, base, 6) for _ in range(600)]
+    texts[original] = " ".join(base)
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        found = [r.component_id for r in forest.near_groups(frame(spark, texts), forest.Settings(width=5, percent=85)).collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert found == [0] * 600
+
+
+def test_rare_shingles_join_all_that_is_similar(spark):
+    rng = random.Random(12)
+    base = [f"w{i}" for i in range(200)]
+    texts = [edited(rng, base, rng.choice((2, 9))) for _ in range(120)]
+    s = forest.Settings(width=3, percent=85, leaders=0)
+    got = forest.near_groups(frame(spark, texts), s).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == plain_groups(texts, 3, 85)
+
+
 @pytest.mark.parametrize("parts", [1, 7])
 def test_regions_are_whole_across_tasks(spark, parts):
     rng = random.Random(7)

@@ -11,7 +11,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import PieceCache, gather_words, is_empty, sent_if_small, stored, table
@@ -26,11 +26,11 @@ class Settings:
     """``width``: words of a shingle. ``percent``: similarity of a link, at least.
 
     ``trees`` orders of ``depth`` hashes each. Neighbours share ``least`` hashes or more; a
-    region of more than ``dense`` rows is cut one hash deeper, and so on. Two documents of
-    similarity s share a region of depth d in one of t trees at least with probability
-    1 - (1 - s**d)**t: for 24 trees and s = 0.85 that is 1 - 8e-7 at depth 5 and 0.9995 at
-    depth 8; for s = 0.8 it is 0.9999 at depth 5. Unlike documents share five hashes so
-    seldom that candidates grow with the documents and not with their square.
+    region of more than ``dense`` rows is cut one hash deeper, and so on, for a start; what
+    is still apart in it then meets ``leaders`` of its rows and is joined exactly. So every
+    pair of a region is linked if it is similar, dense or not. Two documents of similarity s
+    share a region of depth d in one of t trees at least with probability 1 - (1 - s**d)**t:
+    for 24 trees and depth 5 that is 1 - 8e-7 for s = 0.85 and 1 - 7e-5 for s = 0.8.
     """
 
     width: int = 5
@@ -40,6 +40,7 @@ class Settings:
     least: int = 5
     dense: int = 16
     window: int = 4
+    leaders: int = 3
 
 
 @cache
@@ -155,8 +156,9 @@ def neighbours(tree: np.ndarray, label: np.ndarray, s: Settings) -> tuple[np.nda
 
 
 def _paired(s: Settings, edges: bool):
-    """A task's part of an order. With ``edges`` it also hands out the rows at its ends,
-    whose regions go on in the neighbouring tasks."""
+    """A task's part of an order: pairs (kind 0) and the rows of dense regions (kind 2).
+    With ``edges`` it also hands out the rows at its ends (kind 1), whose regions go on in
+    the neighbouring tasks."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: pd.DataFrame | None = None
@@ -182,6 +184,11 @@ def _paired(s: Settings, edges: bool):
         def edge(rows: pd.DataFrame) -> pd.DataFrame:
             return rows.assign(kind=1)[["kind", "rep", "n", "tree", "label"]]
 
+        def crowd(rows: pd.DataFrame) -> pd.DataFrame:
+            sizes = np.diff([0, *breaks(rows), len(rows)])
+            inside = rows[np.repeat(sizes > s.dense, sizes)]
+            return inside.assign(kind=2, label=inside["label"].map(lambda x: x[: 2 * s.least]))[["kind", "rep", "n", "tree", "label"]]
+
         for batch in batches:
             held = batch if held is None else pd.concat([held, batch], ignore_index=True)
             if len(held) < 20_000:
@@ -191,6 +198,7 @@ def _paired(s: Settings, edges: bool):
                 yield edge(held[: min(cuts[0] if len(cuts) else len(held), s.dense)])
                 first = False
             yield pairs(held)
+            yield crowd(held)
             # The last region is not over; of a very large one the last rows go on.
             held = held[max(cuts[-1] if len(cuts) else 0, len(held) - 5_000) :].reset_index(drop=True)
         if held is not None and len(held):
@@ -198,18 +206,20 @@ def _paired(s: Settings, edges: bool):
             if edges and first:
                 yield edge(held[: min(cuts[0] if len(cuts) else len(held), s.dense)])
             yield pairs(held)
+            yield crowd(held)
             if edges:
                 yield edge(held[max(cuts[-1] if len(cuts) else 0, len(held) - s.dense) :])
 
     return run
 
 
-def candidates(reps: DataFrame, s: Settings) -> DataFrame:
-    """Distinct pairs a < b of representatives that are neighbours in an order.
+def _ordered(reps: DataFrame, s: Settings) -> DataFrame:
+    """Pairs of neighbours in an order (kind 0) and rows of dense regions (kind 2), stored.
 
     Each order is sorted over all tasks by tree, label and identifier, so even rows of one
     label are dealt over several. Tasks stream their part in bounded memory. Regions that
-    a border cuts are joined from the rows at the tasks' ends.
+    a border cuts are joined from the rows at the tasks' ends; of a dense region every part
+    with more than ``dense`` rows is seen in its task, and smaller ones among the ends.
     """
     size = 2 * s.depth
     rows = reps.select(
@@ -222,9 +232,16 @@ def candidates(reps: DataFrame, s: Settings) -> DataFrame:
     found = stored(ordered.mapInPandas(_paired(s, True), schema), "neighbours")
     ends = found.where("kind = 1").drop("kind").distinct()
     again = ends.repartition("tree", F.substring("label", 1, 2 * s.least)).sortWithinPartitions("tree", "label", "rep")
-    joined = again.mapInPandas(_paired(s, False), schema)
-    both = found.where("kind = 0").select("rep", "n").unionByName(joined.select("rep", "n"))
-    return both.select(F.col("rep").alias("a"), F.col("n").alias("b")).distinct()
+    return found.where("kind <> 1").unionByName(stored(again.mapInPandas(_paired(s, False), schema), "neighbours"))
+
+
+def _pairs(ordered: DataFrame) -> DataFrame:
+    return ordered.where("kind = 0").select(F.col("rep").alias("a"), F.col("n").alias("b")).distinct()
+
+
+def candidates(reps: DataFrame, s: Settings) -> DataFrame:
+    """Distinct pairs a < b of representatives that are neighbours in an order."""
+    return _pairs(_ordered(reps, s))
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, s: Settings) -> DataFrame:
@@ -254,8 +271,9 @@ def near_groups(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
     Equal sets are one node, found by digest. Every candidate pair is confirmed on whole
     sets unless its ends have met by then: first each document with its smallest partners,
-    then all pairs whose ends are still apart. So no link between groups is lost, and a
-    group of thousands does not have all its pairs confirmed. Texts without words are
+    then all pairs whose ends are still apart, then what is apart in dense regions. So no
+    link between groups is lost, and a group of thousands does not have all its pairs
+    confirmed. Texts without words are
     linked with nothing. A row without an identifier has its copies' component, null if
     there are none, and links nothing. Rows that repeat an identifier are one node; if
     their texts differ, a link of any counts.
@@ -266,8 +284,10 @@ def near_groups(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
         rows.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("labels").alias("labels")),
         "representatives",
     )
-    pairs = stored(candidates(reps, s), "pairs")
-    ids = pairs.select(F.col("a").alias("__id")).unionByName(pairs.select(F.col("b").alias("__id"))).distinct()
+    ordered = _ordered(reps, s)
+    pairs = stored(_pairs(ordered), "pairs")
+    dense = stored(ordered.where("kind = 2").select("tree", "label", "rep", "n").distinct(), "dense")
+    ids = pairs.select(F.col("a").alias("__id")).unionByName(pairs.select(F.col("b").alias("__id"))).unionByName(dense.select(F.col("rep").alias("__id"))).distinct()
     sets = stored(_sets(docs, stored(ids, "ids"), s), "sets")
 
     first = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
@@ -278,6 +298,7 @@ def near_groups(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     if not is_empty(apart):
         links = links.unionByName(stored(confirmed(apart, sets, s.percent), "confirmed"))
         met = components(links)
+    met = _joined_regions(dense, sets, links, met, s)
     nodes = reps.select(F.col("key").alias("__key"), "rep").join(met, F.col("rep") == F.col("id"), "left").select("__key", F.coalesce("component", "rep").alias("__component"))
     alone = F.when(F.col("n_shingles") == 0, F.col("doc_id"))
     return (
@@ -294,6 +315,104 @@ def _apart(pairs: DataFrame, met: DataFrame) -> DataFrame:
     return joined.where(F.coalesce("__ca", "a") != F.coalesce("__cb", "b")).select("a", "b")
 
 
+def _open(dense: DataFrame, met: DataFrame) -> DataFrame:
+    """The rows of the dense regions that hold more than one component, with theirs as c."""
+    held = met.toDF("__id", "__c")
+    rows = dense.join(sent_if_small(held), F.col("rep") == F.col("__id"), "left").select("tree", "label", "rep", "n", F.coalesce("__c", "rep").alias("c"))
+    apart = stored(rows.groupBy("tree", "label").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("tree", "label"), "regions")
+    return stored(rows.join(sent_if_small(apart), ["tree", "label"], "left_semi"), "open")
+
+
+def _fits(a: str, b: str, percent: int) -> Column:
+    """Sets of these sizes can be similar enough."""
+    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+
+
+def _joined_regions(dense: DataFrame, sets: DataFrame, links: DataFrame, met: DataFrame, s: Settings) -> DataFrame:
+    """The components, once the rows of each dense region are linked wherever they are similar.
+
+    A region's first row, over all tasks that hold a part of it, meets its other rows; then
+    another is elected, the one with most links so far, as the original of many copies has
+    them. That joins large groups at a small price. What is still apart is joined by rare
+    shingles, which misses nothing.
+    """
+    if is_empty(dense):
+        return met
+    apart = _open(dense, met)
+    led: DataFrame | None = None
+    for _ in range(s.leaders):
+        if is_empty(apart):
+            return met
+        degrees = links.select(F.col("a").alias("__id")).unionByName(links.select(F.col("b").alias("__id"))).groupBy("__id").agg(F.count("*").alias("__links"))
+        rows = apart.join(sent_if_small(stored(degrees, "degrees")), F.col("rep") == F.col("__id"), "left")
+        if led is not None:
+            rows = rows.join(sent_if_small(led.select("tree", "label", "rep")), ["tree", "label", "rep"], "left_anti")
+        order = F.struct(F.coalesce("__links", F.lit(0)), -F.col("rep"))
+        first = rows.groupBy("tree", "label").agg(F.max_by(F.struct("rep", "n", "c"), order).alias("f")).select("tree", "label", F.col("f.rep").alias("rep"), F.col("f.n").alias("fn"), F.col("f.c").alias("fc"))
+        first = stored(first, "leaders")
+        led = first if led is None else led.unionByName(first)
+        meet = apart.join(sent_if_small(first.withColumnRenamed("rep", "f")), ["tree", "label"]).where((F.col("c") != F.col("fc")) & _fits("n", "fn", s.percent))
+        pairs = stored(meet.select(F.least("rep", "f").alias("a"), F.greatest("rep", "f").alias("b")).distinct(), "pairs")
+        more = stored(confirmed(pairs, sets, s.percent), "confirmed")
+        if is_empty(more):
+            break
+        links = links.unionByName(more)
+        met = components(links)
+        apart = _open(dense, met)
+    if is_empty(apart):
+        return met
+    pairs = stored(_sharing_rare(apart, sets, s), "pairs")
+    more = stored(confirmed(pairs, sets, s.percent), "confirmed")
+    return met if is_empty(more) else components(links.unionByName(more))
+
+
+_BUCKETS = 1 << 20
+
+
+def _sharing_rare(apart: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
+    """Pairs a < b of different components that share one of their rare shingles.
+
+    Shingles are in one order, rare ones first. Two sets that share ``percent`` of their
+    union share a shingle among the first n - ceil(n * percent / 100) + 1 of each, n being
+    its own size. The order is by counts of hashed shingles: any order will do, so
+    collisions cost time only.
+    """
+    rows = stored(apart.select(F.col("rep").alias("__id"), "n", "c").distinct(), "apart")
+    held = stored(sets.join(sent_if_small(rows), F.col("id") == F.col("__id")).select("id", "n", "c", "shingles"), "sets")
+
+    def bucket(values: np.ndarray) -> np.ndarray:
+        return (values.view(np.uint64) * _MIX >> np.uint64(44)).astype(np.int64)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(_BUCKETS, np.int64)
+        for batch in batches:
+            total += np.bincount(bucket(batch.column("shingles").flatten().to_numpy()), minlength=_BUCKETS)
+        at = np.nonzero(total)[0]
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["at", "n"])
+
+    counts = np.zeros(_BUCKETS, np.int64)
+    for batch in held.select("shingles").mapInArrow(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow().to_batches():
+        counts[batch.column("at").to_numpy()] = batch.column("n").to_numpy()
+    shared = held.sparkSession.sparkContext.broadcast(counts)
+
+    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for one in batch.column("shingles"):
+                values = one.values.to_numpy()
+                n = len(values)
+                first = np.lexsort((values, shared.value[bucket(values)]))[: n - -(-n * s.percent // 100) + 1]
+                found.append(values[first])
+            lengths = [len(f) for f in found]
+            columns = [pa.array(np.repeat(batch.column(k).to_numpy(), lengths)) for k in ("id", "n", "c")]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(np.concatenate(found) if found else np.empty(0, np.int64))], ["id", "n", "c", "shingle"])
+
+    few = stored(held.mapInArrow(rare, "id long, n long, c long, shingle long"), "rare")
+    a, b = few.toDF("a", "__na", "__ca", "shingle"), few.toDF("b", "__nb", "__cb", "shingle")
+    both = a.join(b, "shingle").where((F.col("a") < F.col("b")) & (F.col("__ca") != F.col("__cb")) & _fits("__na", "__nb", s.percent))
+    return both.select("a", "b").distinct()
+
+
 def one_of_each(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The documents with one of each group, columns as they were; rows without an identifier stay."""
     gone = near_groups(docs, settings).where("NOT kept").select(F.col("doc_id").alias("__id")).distinct()
