@@ -345,6 +345,19 @@ def test_notices(spark):
     assert got == [(0, "Apache-2.0", "Licensed", 0), (1, "CC-BY-NC-4.0", "Licensed", 0), (2, "MIT", "Released", 0), (3, "GPL-2.0", "This", 0), (5, "Apache-2.0", "Licensed", 1), (6, "GPL-3.0", "This", 0)]
 
 
+def test_notices_beside_other_words(spark):
+    long = licenses.TEMPLATES["MIT"][1]
+    wrapped = "\n".join(long.split())
+    prose = "some words of prose that go on and on " * 20
+    held = [
+        "Released under the MIT License by the authors.", "Written by Jane Doe, licensed under the Apache License, Version 2.0.",
+        f"{prose}and it ends. Licensed under the Apache\nLicense, Version 2.0. Then {prose}", f"{prose}{long} {prose}", f"a\n{wrapped}\nb",
+        "Released under the MIT License. Licensed under CC BY 4.0.", "licensed under the GNU Lesser General Public License, version 3",
+    ]
+    got = [(r.doc_id, r.license, " ".join(held[r.doc_id][r.start : r.end].split()[::5000]), r.differing) for r in licenses.scan(frame(spark, held)).orderBy("doc_id", "start").collect()]
+    assert got == [(0, "MIT", "Released", 0), (1, "Apache-2.0", "licensed", 0), (2, "Apache-2.0", "Licensed", 0), (3, "MIT", "Permission", 0), (4, "MIT", "Permission", 0), (5, "MIT", "Released", 0), (5, "CC-BY-4.0", "Licensed", 0)]
+
+
 def test_notices_against_a_search_for_their_words(spark, documents, texts):
     wanted = {
         (i, name) for i, t in texts.items() for name, forms in licenses.TEMPLATES.items() if any(form in t for form in forms)
