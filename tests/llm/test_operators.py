@@ -259,6 +259,16 @@ def test_contexts_find_more(spark):
     assert all(rows[i].base == rows[i].spans for i in range(60))
 
 
+def test_contexts_after_words_with_digits(spark):
+    rng = random.Random(13)
+    phone = lambda: f"+1{rng.randrange(10**9, 10**10)}"
+    held = [f"word{i} on member ids {phone()} {phone()} end" for i in range(60)]
+    held += [f"word{i} on member ids A{10**7 + i % 3} B{10**7 + i % 3} end" for i in range(6)]
+    rows = {r.doc_id: r for r in private.find(frame(spark, held)).collect()}
+    for i in range(60, 66):
+        assert [held[i][s.start : s.end] for s in rows[i].spans] == held[i].split()[4:6]
+
+
 # Rules, classifier, mix, licenses, urls
 
 

@@ -138,7 +138,10 @@ def scanned(docs: DataFrame) -> DataFrame:
         spans.append(F.coalesce(F.transform(good, _ranked(rank)), F.array().cast(SPANS)))
         seeds.append(F.coalesce(F.transform(good, _seed(rank)), F.array().cast(SEEDS)))
     context = r"((?:[^\x20\x09-\x0D]{1,40}[\x20\x09-\x0D]{1,3}){1,2})$"
-    words = F.transform("m_word", lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), m["hit"].alias("hit"), F.regexp_extract(m["gap"], context, 1).alias("before")))
+    # Of the words before, those that could be identifiers themselves are one class.
+    back = lambda i, n: F.when(i >= n, F.concat(F.get("m_word", i - n)["gap"], F.lit("<id>"))).otherwise(F.lit(""))
+    before = lambda m, i: F.regexp_extract(F.concat(back(i, 2), back(i, 1), m["gap"]), context, 1)
+    words = F.transform("m_word", lambda m, i: F.struct(m["start"].alias("start"), m["end"].alias("end"), m["hit"].alias("hit"), before(m, i).alias("before")))
     return rows.select("doc_id", F.xxhash64("text").alias("hash"), F.array_sort(F.concat(*spans)).alias("base"), F.concat(*seeds).alias("seeds"), words.alias("words"))
 
 
@@ -179,7 +182,7 @@ def _plausible() -> Column:
 def discovered(seen: DataFrame, s: Settings) -> DataFrame:
     """Occurrences that are no seeds, but stand in good patterns and look like their kind.
 
-    Patterns are the one and two words before. Each round scores a pattern, per kind, by
+    Patterns are the one and two words before, "<id>" for any that could be an identifier. Each round scores a pattern, per kind, by
     the scores of the instances it is seen with, against all it is seen with, and an
     instance that is no seed by its best pattern. Only what reaches ``accept`` counts in
     the next round, so that weak beliefs do not feed each other. Both scores are sums over the links of the graph, added up in the
