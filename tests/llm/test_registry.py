@@ -34,7 +34,7 @@ def test_query_equals_its_sql(spark, sf, db, name):
 
 
 def test_names():
-    assert [n for n in QUERIES if n.startswith("op")] == [f"op{n}_{QUERIES_TAIL[n]}" for n in range(1, 11)]
+    assert [n for n in QUERIES if n.startswith("op")] == [f"op{n}_{QUERIES_TAIL[n]}" for n in range(1, 14)]
     assert [s for s, _ in corpus_pipeline.STAGES] == ["quality rules", "exact dedup", "near dedup", "mixing", "pieces"]
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact, forest, licenses, mixing, pieces, private, quality, rules, tokens, urls
+from tidemark.llm import alignment, divergence, exact, forest, licenses, mixing, packing, pieces, private, quality, rules, tokens, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_forest": forest.op1_minhash_forest,
@@ -20,6 +20,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": quality.op8_quality,
     "op9_quality_rules": rules.op9_quality_rules,
     "op10_mixing": mixing.op10_mixing,
+    "op11_divergence": divergence.op11_divergence,
+    "op12_packing": packing.op12_packing,
+    "op13_alignment": alignment.op13_alignment,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -28,4 +31,5 @@ ORACLES: dict[str, str] = {
     "op2_exact_dedup": exact.OP2_SQL,
     "op3_url_filter": urls.OP3_SQL,
     "op10_mixing": mixing.OP10_SQL,
+    "op11_divergence": divergence.OP11_SQL,
 }
