@@ -6,6 +6,7 @@ import hashlib
 import os
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,8 +20,8 @@ from pyspark.sql.types import StructType
 from tidemark.llm.common import PieceCache, stored, table, text_or_empty
 from tidemark.llm.segments import MARKS, byte_level, cut, large, piece_marks, uncut
 
-#: Segments whose alignment a worker remembers; pairs of ids whose counts go to every task.
-KEPT_SEGMENTS, SENT_PAIRS = 200_000, 1_000_000
+#: Segments whose alignment a worker remembers and finds at a time; pairs of ids whose counts go to every task.
+KEPT_SEGMENTS, LEARNT_AT_ONCE, SENT_PAIRS = 200_000, 4_096, 1_000_000
 _A_ENDS, _B_ENDS = 1, 2
 
 SPANS = "doc_id long, a_ids binary, a_ends binary, b_ids binary, b_ends binary, group_ends binary"
@@ -106,8 +107,8 @@ class Aligner:
             sides.append(([m["ids"] for m in mapped], [m["offsets"] for m in mapped], begins, None))
         for (ids, spans, base, to_bytes), width in zip(sides, self.widths):
             counts = np.array([len(i) for i in ids], np.int64)
-            flat = np.array([i for some in ids for i in some], np.int64)
-            span = np.array([x for some in spans for both in some for x in both], np.int64).reshape(-1, 2) + np.repeat(base, counts)[:, None]
+            flat = np.fromiter(chain.from_iterable(ids), np.int64, int(counts.sum()))
+            span = np.fromiter(chain.from_iterable(chain.from_iterable(spans)), np.int64, 2 * len(flat)).reshape(-1, 2) + np.repeat(base, counts)[:, None]
             span = span if to_bytes is None else to_bytes[span]
             heads = (np.cumsum(counts) - counts)[counts > 0]
             found.append((flat, refined_ends(span[:, 0], span[:, 1], width[flat], heads, begins[counts > 0]), counts))
@@ -148,13 +149,15 @@ class Aligner:
         return parts, [";".join(written[i:j]) for i, j in zip(last, last[1:])]
 
     def _learn(self, texts: list[str]) -> list[bytes]:
-        parts, groups = self.links(texts)
-        at = len(self.cache.place)
+        """The links of new segments, some at a time, as the libraries' spans are large objects."""
+        at, found = len(self.cache.place), []
         while at + len(texts) > len(self.groups):
             self.groups = np.concatenate([self.groups, np.empty(max(1024, len(self.groups)), object)])
-        self.groups[at : at + len(texts)] = groups
         odd = np.array([-1, -1, 0, 0], np.int32).tobytes()
-        return [odd if p is None else p for p in parts]
+        for i in range(0, len(texts), LEARNT_AT_ONCE):
+            parts, self.groups[at + i : at + min(i + LEARNT_AT_ONCE, len(texts))] = self.links(texts[i : i + LEARNT_AT_ONCE])
+            found += [odd if p is None else p for p in parts]
+        return found
 
     def align(self, texts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray, list[str]]:
         """The links of all texts in a line, where each text's begin (and the end), and its groups.
