@@ -178,7 +178,18 @@ def test_kafka_options():
     assert "kafka.group.id" not in more
 
 
-@pytest.mark.parametrize("mode", ["rows", "keep-all", "json", "windows", "rollup"])
+def test_command_line_of_a_store_over_batches(spark, sf, monkeypatch):
+    given = ["store", "--checkpoint", "c", "--hierarchy", fixtures.table_path(spark, sf, "hierarchy"), "--metric-ids", fixtures.table_path(spark, sf, "metric_ids"),
+             "--files", fixtures.table_path(spark, sf, "messages"), "--order", "event_id", "--carry", "event_id:bigint", "--option", "table=t", "--keep", "2 days"]
+    taken = {}
+    monkeypatch.setattr(job.jobs, "start_store", lambda *a, **k: taken.update(args=a, options=k))
+    job.start(spark, job.parser().parse_args(given))
+    assert taken["args"][2] == ["event_id"] and taken["args"][6] == "2 days" and taken["options"] == {"table": "t"}
+    with pytest.raises(SystemExit):
+        job.start(spark, job.parser().parse_args([*given, "--as-json"]))
+
+
+@pytest.mark.parametrize("mode", ["rows", "keep-all", "json", "windows", "rollup", "open-rollup"])
 def test_command_line(spark, sf, mode):
     path = new_dir(spark, "job")
     given = {

@@ -58,6 +58,11 @@ def measures(rows: DataFrame) -> DataFrame:
     return rows.where(F.col("METRIC.items").isNull() & F.col("METRIC").isNotNull())
 
 
+def pane_millis(length_minutes: int, slide_minutes: int) -> int:
+    """The longest span that no window cuts."""
+    return gcd(length_minutes, slide_minutes) * MINUTE
+
+
 def as_cell(df: DataFrame) -> DataFrame:
     """``count sum min max`` back into one METRIC column."""
     none = F.lit(None).cast("string")
@@ -86,7 +91,7 @@ def rollup(
     """
     if length_minutes < slide_minutes or slide_minutes < 1:
         raise ValueError("a window must be at least as long as its slide, and the slide a minute")
-    pane = gcd(length_minutes, slide_minutes) * MINUTE
+    pane = pane_millis(length_minutes, slide_minutes)
     length, slide = length_minutes * MINUTE, slide_minutes * MINUTE
     block = max(block_minutes, length_minutes) // slide_minutes * slide
 

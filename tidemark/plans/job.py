@@ -26,6 +26,7 @@ MODES = {
     "json": "rows as JSON texts",
     "windows": "rows once per sliding window",
     "rollup": "metrics merged over sliding windows",
+    "open-rollup": "the same, each window again whenever it changes",
     "batches": "rows batch by batch, with dictionaries read anew",
     "store": "the last row per key of each batch, upserted into a keyed store",
 }
@@ -70,6 +71,7 @@ def parser() -> argparse.ArgumentParser:
     store.add_argument("--option", action="append", default=[], metavar="KEY=VALUE", help="such as table=...")
     store.add_argument("--write-mode", default="overwrite", help="what the format takes to mean upsert")
     store.add_argument("--order", action="append", default=[], help="columns by which the last row of a key is known")
+    store.add_argument("--keep", help="event time over which the last write of a key holds across batches, such as '1 day'")
     store.add_argument("--as-json", action="store_true", help="pass rows through JSON texts, without METRIC")
     out.add_argument("--show", type=int, default=0, help="print the first rows of each batch (modes batches, store)")
     return out
@@ -144,7 +146,7 @@ def start(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
         zone=args.zone,
         env_key=args.env_key,
         app_key=args.app_key,
-        datasources=args.mode != "rollup",
+        datasources=args.mode not in ("rollup", "open-rollup"),
         default_env=args.default_env,
         require_place=args.mode != "keep-all",
         carry=tuple(_pairs(args.carry, ":", "string").items()),
@@ -156,6 +158,13 @@ def start(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
             _fresh(spark, args), args.path, options, args.show
         )
         return jobs.start_batches(source, write, args.checkpoint, interval)
+    if args.mode == "store" and args.keep:
+        if args.as_json or args.show:
+            raise SystemExit("--keep puts rows as they come: leave out --as-json and --show")
+        return jobs.start_store(
+            source, _dictionaries(spark, args), args.order, args.checkpoint, interval, options, args.keep,
+            args.format, args.write_mode, **_pairs(args.option),
+        )
     if args.mode == "store":
         write = jobs.store_writer(
             _fresh(spark, args), args.order, options, args.as_json,
@@ -166,10 +175,11 @@ def start(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
         "json": jobs.start_row_json,
         "windows": jobs.start_window_rows,
         "rollup": jobs.start_rollup,
+        "open-rollup": jobs.start_open_rollup,
     }.get(args.mode, jobs.start_rows)
     if args.bad:
         jobs.start_quarantine(source, args.bad, f"{args.checkpoint}-bad", interval, options)
-    late = {"delay": args.delay} if args.mode == "rollup" else {}
+    late = {"delay": args.delay} if args.mode.endswith("rollup") else {}
     found = _dictionaries(spark, args)
     return begin(source, found, args.path, args.checkpoint, interval, options, **late)
 

@@ -123,6 +123,17 @@ def oracles() -> dict[str, str]:
         [*base, WINDOWS],
         f"\nSELECT window_start_ms, window_end_ms, event_id, {KEY}, {MEASURES} FROM starts",
     )
+    upserts = _with(
+        base,
+        f""",
+sent AS (
+  SELECT {KEY}, event_id AS seq, {MEASURES} FROM rows_kept
+  UNION ALL
+  SELECT {KEY}, event_id + 1000000, metric_count, round(metric_min + 1, 4), metric_min + 1, metric_max + 1
+  FROM rows_kept WHERE "MID" = 3)
+SELECT {KEY}, seq, {MEASURES} FROM (
+  SELECT *, row_number() OVER (PARTITION BY {KEY} ORDER BY seq DESC) AS pick FROM sent) WHERE pick = 1""",
+    )
     everything = _with(base, f"\nSELECT event_id, {KEY}, {MEASURES}, metric_items FROM everything")
     return {
         "decode_payload": _with(
@@ -224,17 +235,8 @@ fates AS (
 SELECT fate, count(*) AS records FROM fates GROUP BY fate""",
         ),
         "row_schema": _with(base, f"\nSELECT {KEY}, {MEASURES}, metric_items FROM everything"),
-        "upsert_latest": _with(
-            base,
-            f""",
-sent AS (
-  SELECT {KEY}, event_id AS seq, {MEASURES} FROM rows_kept
-  UNION ALL
-  SELECT {KEY}, event_id + 1000000, metric_count, round(metric_min + 1, 4), metric_min + 1, metric_max + 1
-  FROM rows_kept WHERE "MID" = 3)
-SELECT {KEY}, seq, {MEASURES} FROM (
-  SELECT *, row_number() OVER (PARTITION BY {KEY} ORDER BY seq DESC) AS pick FROM sent) WHERE pick = 1""",
-        ),
+        "upsert_latest": upserts,
+        "stream_upserts": upserts,
         "compacted_log": _with(
             base,
             f"""
@@ -269,6 +271,7 @@ ORDER BY "RTIME", "MID", "ENV", "HOST", "INSTANCE", event_id LIMIT 20""",
         "stream_quarantine": _with([DAMAGE], "\nSELECT message_id, found[2] AS reason FROM found"),
         "stream_row_json": typed,
         "stream_window_rows": window_rows,
+        "stream_open_rollup": _with([*base, WINDOWS], _rolled(SERIES)),
         # A window is out once the newest row lies the watermark's delay past its end.
         "stream_rollup_5m": _with(
             [*base, WINDOWS],

@@ -393,6 +393,32 @@ def stream_rollup_5m(spark: SparkSession, sf: str) -> DataFrame:
     return _windows(spark.read.parquet(path), SERIES_KEY)
 
 
+def stream_open_rollup(spark: SparkSession, sf: str) -> DataFrame:
+    """All windows of a stream, those included that no watermark has closed yet."""
+    path, checkpoint = new_dir(spark, "stream-windows"), new_dir(spark, "checkpoint")
+    streams.start_open_rollup(
+        _message_stream(spark, sf), dictionaries(spark, sf), path, checkpoint, None, ORDINARY, shards=1
+    ).awaitTermination()
+    return _windows(streams.read_windows(spark, path), SERIES_KEY)
+
+
+def stream_upserts(spark: SparkSession, sf: str) -> DataFrame:
+    """Corrections in a first batch and what they correct in a second: the store keeps the former.
+
+    The store is what the last row put in for each key leaves.
+    """
+    sent, path, checkpoint = (new_dir(spark, name) for name in ("sent", "stream-writes", "checkpoint"))
+    rows = fixtures.derive_replayed(jobs.metric_rows(messages(spark, sf), dictionaries(spark, sf), ORDINARY))
+    columns = [*ROW_KEY, "METRIC", "seq"]
+    for later in (True, False):
+        part = rows.where((F.col("seq") != F.col("event_id")) == later).select(*columns)
+        part.write.mode("append").parquet(f"{sent}/part={int(not later)}")
+        source = file_messages(spark, f"{sent}/part=*", part.schema)
+        streams.start_newest_writes(source, ["seq"], path, checkpoint, None, "3650 days", shards=1).awaitTermination()
+    put = spark.read.parquet(path).withColumn("_put", F.col("version"))
+    return upsert.latest_per_key(put, ["_put"], tie=None).select(*ROW_KEY, "seq", *flat_cell("METRIC", *MEASURES))
+
+
 QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     decode_payload,
     explode_events,
@@ -432,6 +458,8 @@ QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     stream_row_json,
     stream_window_rows,
     stream_rollup_5m,
+    stream_open_rollup,
+    stream_upserts,
 ]
 
 

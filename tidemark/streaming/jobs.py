@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -21,6 +21,7 @@ from tidemark.plans.rows import Options, metric_rows, quarantine, tagged_rows
 from tidemark.schemas import ROW_KEY, SERIES_KEY
 from tidemark.sinks.stores import KEYED_FORMAT, peek, stored_rows, write_rows
 from tidemark.sinks.table import PARTITIONS, declare, log_layout, write_log
+from tidemark.streaming.state import SHARDS, newest_windows, newest_writes, open_rollup
 
 # Fixed value: the time between micro-batches when none is given.
 INTERVAL = "500 seconds"
@@ -127,6 +128,76 @@ def start_rollup(
     return _to_files(windows, path, checkpoint, interval).start()
 
 
+def start_open_rollup(
+    messages: DataFrame,
+    dictionaries: Dictionaries,
+    path: str,
+    checkpoint: str,
+    interval: str | None = INTERVAL,
+    options: Options = Options(datasources=False),
+    key: list[str] | None = None,
+    delay: str = "10 minutes",
+    length_minutes: int = 5,
+    slide_minutes: int = 1,
+    shards: int = SHARDS,
+) -> StreamingQuery:
+    """Append every window that a batch has changed, with its version, open windows included.
+
+    :func:`read_windows` gives the windows as they stand. The series of an hour are dealt over
+    ``shards``: many for batches of a few busy minutes, few for the history of a small log.
+    """
+    rows = as_rows(metric_rows(messages, dictionaries, options, FATES))
+    updates = open_rollup(rows, key or SERIES_KEY, delay, length_minutes, slide_minutes, shards=shards)
+    return _to_files(updates, path, checkpoint, interval).start()
+
+
+def read_windows(spark: SparkSession, path: str, key: list[str] | None = None) -> DataFrame:
+    """Each window once, as the last of its updates under ``path`` has it."""
+    return newest_windows(spark.read.parquet(path), key or SERIES_KEY)
+
+
+def start_newest_writes(
+    rows: DataFrame,
+    order: list[str],
+    path: str,
+    checkpoint: str,
+    interval: str | None = INTERVAL,
+    keep: str = "1 day",
+    shards: int = SHARDS,
+) -> StreamingQuery:
+    """Append the rows of a stream that no row before them, in any batch, supersedes."""
+    return _to_files(newest_writes(rows, order, keep=keep, shards=shards), path, checkpoint, interval).start()
+
+
+def start_store(
+    messages: DataFrame,
+    dictionaries: Dictionaries,
+    order: list[str],
+    checkpoint: str,
+    interval: str | None = INTERVAL,
+    options: Options = Options(),
+    keep: str = "1 day",
+    fmt: str = KEYED_FORMAT,
+    mode: str = "overwrite",
+    **settings: str,
+) -> StreamingQuery:
+    """Upsert the rows of a stream into a keyed store, where the last write holds over all batches.
+
+    What :func:`store_writer` orders within a batch is ordered over batches here, by state.
+    """
+    rows = newest_writes(metric_rows(messages, dictionaries, options, FATES), order, keep=keep)
+    return start_batches(rows, put_rows(fmt, mode, **settings), checkpoint, interval)
+
+
+def put_rows(fmt: str = KEYED_FORMAT, mode: str = "overwrite", **settings: str) -> Callable[[DataFrame, int], None]:
+    """What a per-batch query does with rows that are to be stored as they come."""
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        write_rows(stored_rows(rows), fmt, mode, **settings)
+
+    return write
+
+
 def batch_writer(
     dictionaries: Dictionaries | Callable[[], Dictionaries],
     path: str,
