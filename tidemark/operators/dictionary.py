@@ -2,22 +2,28 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import clean, filled
-from tidemark.operators.lookup import Dictionary, measured
+from tidemark.operators.lookup import HOT_SHARE, Dictionary, hot_keys, measured
 
 # Row keys of the hierarchy table, built from these words.
 ENVIRONMENTS = "environment"
 APPLICATIONS = "appname"
 HOSTS = "hosts"
 
+# Names of hot ids that are split; more of them do not share an id in practice.
+MOST_HOT_NAMES = 1_000
+
 # Schemas of the stored dictionaries.
 METRICS = "NAME string, MID int"
 PLACES = "host string, env string, app string"
+# The same with the time from which (and before which) a row holds, in epoch milliseconds.
+METRIC_VERSIONS = "NAME string, MID int, since long"
+PLACE_VERSIONS = "host string, env string, app string, since long, until long"
 
 
 @dataclass(frozen=True)
@@ -124,3 +130,41 @@ def resolve(meta: DataFrame, hierarchy: DataFrame, folder: str) -> Dictionaries:
     """Dictionaries from raw (ID, NAME) and (rowkey, qualifier) rows, stored and measured."""
     store(metric_dictionary(meta), host_dictionary(hierarchy), folder)
     return load(meta.sparkSession, folder)
+
+
+def metric_versions(meta: DataFrame) -> DataFrame:
+    """``NAME, MID, since`` with one id per name and start, from raw (ID, NAME, since) rows.
+
+    Of conflicting ids of one start the smallest is kept, as in a dictionary without times.
+    """
+    pairs = meta.where(F.col("NAME").isNotNull() & F.col("since").isNotNull())
+    return pairs.groupBy("NAME", "since").agg(F.min("ID").cast("int").alias("MID")).select("NAME", "MID", "since")
+
+
+def place_versions(places: DataFrame) -> DataFrame:
+    """``host, env, app, since, until`` with one place per host and start: the smallest (env, app)."""
+    named = places.select(clean(F.col("host")).alias("host"), clean(F.col("env")).alias("env"), clean(F.col("app")).alias("app"), "since", "until")
+    whole = named.where(filled(F.col("host")) & F.col("since").isNotNull())
+    first = whole.groupBy("host", "since").agg(F.min(F.struct("env", "app", "until")).alias("place"))
+    return first.select("host", "place.env", "place.app", "since", "place.until")
+
+
+def resolve_versions(meta: DataFrame, places: DataFrame, folder: str) -> Dictionaries:
+    """Dictionaries that change in time, stored and measured; rows take what holds at their time."""
+    store(metric_versions(meta), place_versions(places), folder)
+    spark = meta.sparkSession
+    names = measured(spark.read.schema(METRIC_VERSIONS).parquet(f"{folder}/metrics"), "NAME")
+    if names.count == 0:
+        raise ValueError("the metric dictionary is empty")
+    return Dictionaries(names, measured(spark.read.schema(PLACE_VERSIONS).parquet(f"{folder}/hosts"), "host"))
+
+
+def with_hot_keys(found: Dictionaries, log: DataFrame, share: float = HOT_SHARE) -> Dictionaries:
+    """Dictionaries that know the hosts and names which hold most rows of a log, as of past batches.
+
+    Streams split the rows of these keys where a dictionary is joined by shuffle.
+    """
+    ids = hot_keys(log, "MID", share)
+    names = found.metrics.rows.where(F.col("MID").isin(*ids)).select("NAME").distinct() if ids else None
+    hot = tuple(sorted(r.NAME for r in names.limit(MOST_HOT_NAMES).collect())) if names is not None else ()
+    return Dictionaries(replace(found.metrics, hot=hot), replace(found.hosts, hot=hot_keys(log, "HOST", share)))

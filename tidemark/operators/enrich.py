@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import clean, filled
+from tidemark.functions.time import LONG_MAX
 from tidemark.operators.dictionary import Dictionaries
 from tidemark.operators.lookup import Dictionary, lookup
 from tidemark.schemas import ROW, ROW_KEY, STRING
@@ -14,9 +15,14 @@ from tidemark.schemas import ROW, ROW_KEY, STRING
 KEPT, UNKNOWN_NAME, NO_PLACE = "kept", "unknown_name", "no_place"
 
 
+def bucket_time() -> Column:
+    """An entry's time in epoch milliseconds, at which a dictionary that changes is read."""
+    return F.lit(LONG_MAX) - F.col("RTIME")
+
+
 def known_metrics(entries: DataFrame, metrics: Dictionary) -> DataFrame:
-    """Add ``MID``; entries whose name the dictionary lacks are dropped."""
-    return lookup(entries, metrics, "name", "inner")
+    """Add ``MID``; entries whose name the dictionary lacks (at their time) are dropped."""
+    return lookup(entries, metrics, "name", "inner", bucket_time())
 
 
 def unknown_metrics(entries: DataFrame, metrics: Dictionary) -> DataFrame:
@@ -28,15 +34,15 @@ def unknown_metrics(entries: DataFrame, metrics: Dictionary) -> DataFrame:
 def placed(entries: DataFrame, hosts: Dictionary) -> DataFrame:
     """Add ``ENV`` and ``APP``: the entry's own, else its host's.
 
-    Only a missing value is looked up. A blank one is present, so it stays blank. Entries
+    Of a host that moves, the place at the entry's time counts. Only a missing value is looked up. A blank one is present, so it stays blank. Entries
     that lack neither do not take part in a shuffled join.
     """
     lacking = F.col("environment").isNull() | F.col("appname").isNull()
     if hosts.small:
-        found = lookup(entries, hosts, "host", "left")
+        found = lookup(entries, hosts, "host", "left", bucket_time())
     else:
         whole = entries.where(~lacking)
-        found = lookup(entries.where(lacking), hosts, "host", "left").unionByName(whole, allowMissingColumns=True)
+        found = lookup(entries.where(lacking), hosts, "host", "left", bucket_time()).unionByName(whole, allowMissingColumns=True)
     return found.select(
         *entries.columns,
         clean(F.coalesce("environment", "env")).alias("ENV"),
@@ -56,7 +62,7 @@ def judged(
     the record was set aside. ``default_env`` fills a missing environment first.
     """
     bad = F.col("reason").isNotNull() if "reason" in entries.columns else F.lit(False)
-    rows = placed(lookup(entries, dictionaries.metrics, "name", "left"), dictionaries.hosts)
+    rows = placed(lookup(entries, dictionaries.metrics, "name", "left", bucket_time()), dictionaries.hosts)
     if default_env is not None:
         rows = rows.withColumn("ENV", F.coalesce("ENV", F.lit(default_env)))
     fate = F.when(bad, F.col("reason") if "reason" in entries.columns else F.lit(None).cast("string"))

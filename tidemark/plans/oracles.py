@@ -78,6 +78,24 @@ everything AS (
   SELECT event_id, "MID", "RTIME", "ENV", "APP", "HOST", "INSTANCE", NULL, NULL, NULL, NULL, metric_items
   FROM datasource)"""
 
+VERSIONS = f"""
+days AS (SELECT *, epoch_ms(ts) // 86400000 AS day, CAST(user_id % 7 AS INTEGER) AS k FROM events),
+names AS (
+  SELECT name, since, CAST(min(id) AS INTEGER) AS mid FROM (
+    SELECT CASE event_type WHEN 'error' THEN 1 WHEN 'click' THEN 2 WHEN 'purchase' THEN 3 WHEN 'signup' THEN 4 END
+           + 10 * day % 30 AS id, event_type AS name, day * 86400000 AS since
+    FROM days WHERE day % 2 = 0 AND event_type <> 'view') GROUP BY name, since),
+moves AS (
+  SELECT DISTINCT 'h' || k AS host, CASE WHEN (k + day) % 2 = 0 THEN 'qa' ELSE 'prod' END AS env,
+         CASE (k + day) % 3 WHEN 0 THEN 'cart' WHEN 1 THEN 'web' ELSE 'api' END AS app,
+         day * 86400000 + k * 3600000 AS since, CASE WHEN k = 2 THEN day * 86400000 + k * 3600000 + 86400000 END AS until
+  FROM days WHERE day % 3 = 0 AND k < 6),
+named AS (SELECT ev.*, names.mid FROM ev ASOF JOIN names ON ev.name = names.name AND ev.ms >= names.since),
+settled AS (
+  SELECT named.*, trim(coalesce(environment, CASE WHEN until IS NULL OR ms < until THEN moves.env END)) AS env,
+         trim(coalesce(appname, CASE WHEN until IS NULL OR ms < until THEN moves.app END)) AS app
+  FROM named ASOF LEFT JOIN moves ON named.host = moves.host AND named.ms >= moves.since)"""
+
 KEY = '"MID", "RTIME", "ENV", "APP", "HOST", "INSTANCE"'
 SERIES = '"MID", "ENV", "APP", "HOST", "INSTANCE"'
 MEASURES = "metric_count, metric_sum, metric_min, metric_max"
@@ -118,6 +136,13 @@ FROM starts {where} GROUP BY window_start_ms, window_end_ms, {key}"""
 def oracles() -> dict[str, str]:
     base = [EVENTS, METRIC_IDS, HIERARCHY, ROWS]
     metric_rows = _with(base, f"\nSELECT event_id, {KEY}, {MEASURES} FROM rows_kept")
+    as_of = _with(
+        [EVENTS, VERSIONS],
+        f"""
+SELECT event_id, mid AS "MID", {LONG_MAX} - ms AS "RTIME", env AS "ENV", app AS "APP", host AS "HOST",
+       instance AS "INSTANCE", CAST(1 AS BIGINT) AS metric_count, round(value, 4) AS metric_sum,
+       value AS metric_min, value AS metric_max FROM settled WHERE env <> '' AND host <> ''""",
+    )
     typed = _with(base, f"\nSELECT event_id, {KEY} FROM rows_kept")
     window_rows = _with(
         [*base, WINDOWS],
@@ -186,6 +211,9 @@ WHERE NOT EXISTS (SELECT 1 FROM mids WHERE mids.name = ev.name) GROUP BY name"""
         "host_lookup": _with(base, '\nSELECT event_id, host, env AS "ENV", app AS "APP" FROM placed'),
         "metric_rows": metric_rows,
         "metric_rows_large_dictionary": metric_rows,
+        "metric_rows_as_of": as_of,
+        "metric_rows_as_of_large_dictionary": as_of,
+        "stream_hot_keys": metric_rows,
         "metric_rows_default_env": _with(
             base,
             f"""

@@ -186,6 +186,30 @@ def metric_rows_large_dictionary(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select(*row_columns(*MEASURES))
 
 
+@cache
+def changing_dictionaries(spark: SparkSession, sf: str) -> Dictionaries:
+    """Ids and places with the times from which they hold."""
+    return dictionary.resolve_versions(
+        fixtures.table(spark, sf, "metric_versions"),
+        fixtures.table(spark, sf, "place_versions"),
+        new_dir(spark, "dictionaries"),
+    )
+
+
+def metric_rows_as_of(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows with the id and the place that held at their own time."""
+    rows = jobs.metric_rows(messages(spark, sf), changing_dictionaries(spark, sf), ORDINARY)
+    return rows.select(*row_columns(*MEASURES))
+
+
+def metric_rows_as_of_large_dictionary(spark: SparkSession, sf: str) -> DataFrame:
+    """The same by a sorted sweep, as for dictionaries too large to broadcast."""
+    found = changing_dictionaries(spark, sf)
+    large = Dictionaries(replace(found.metrics, small=False), replace(found.hosts, small=False))
+    rows = jobs.metric_rows(messages(spark, sf), large, ORDINARY)
+    return rows.select(*row_columns(*MEASURES))
+
+
 def metric_rows_default_env(spark: SparkSession, sf: str) -> DataFrame:
     options = replace(jobs.KEEP_ALL, datasources=False, carry=WIRE.carry, default_env="unplaced")
     rows = jobs.metric_rows(messages(spark, sf), dictionaries(spark, sf), options)
@@ -354,6 +378,18 @@ def stream_metric_rows(spark: SparkSession, sf: str) -> DataFrame:
     return table.read_log(spark, path).select(*row_columns(*MEASURES))
 
 
+def stream_hot_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """A stream against large dictionaries, with the keys split that a first stream found hot."""
+    found = dictionaries(spark, sf)
+    large = Dictionaries(replace(found.metrics, small=False), replace(found.hosts, small=False))
+    past = _all_rows(spark, sf)
+    path, checkpoint = new_dir(spark, "stream-rows"), new_dir(spark, "checkpoint")
+    streams.start_rows(
+        _message_stream(spark, sf), dictionary.with_hot_keys(large, past), path, checkpoint, None, ORDINARY
+    ).awaitTermination()
+    return table.read_log(spark, path).select(*row_columns(*MEASURES))
+
+
 def stream_quarantine(spark: SparkSession, sf: str) -> DataFrame:
     path, checkpoint = new_dir(spark, "stream-rows"), new_dir(spark, "checkpoint")
     damaged = fixtures.table_path(spark, sf, "damaged")
@@ -434,6 +470,8 @@ QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     host_lookup,
     metric_rows,
     metric_rows_large_dictionary,
+    metric_rows_as_of,
+    metric_rows_as_of_large_dictionary,
     metric_rows_default_env,
     datasource_rows,
     all_rows,
@@ -454,6 +492,7 @@ QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     rollup_5m,
     rollup_5m_by_env,
     stream_metric_rows,
+    stream_hot_keys,
     stream_quarantine,
     stream_row_json,
     stream_window_rows,

@@ -140,6 +140,41 @@ def derive_hierarchy(ev: DataFrame) -> DataFrame:
     return ev.where(k < 6).select(F.inline(rows)).distinct()
 
 
+DAY = 86_400_000
+
+
+def _days(ev: DataFrame) -> DataFrame:
+    """Every day with events, as a number and with its events' columns."""
+    return ev.withColumn("day", F.floor(F.unix_millis(F.col("ts").cast("timestamp")) / DAY))
+
+
+def derive_metric_versions(ev: DataFrame) -> DataFrame:
+    """Raw (ID, NAME, since) rows: names get another id every second day, from its start on."""
+    ids = F.create_map(*[F.lit(x) for pair in METRIC_IDS.items() for x in pair])
+    base = F.array(
+        F.struct(ids[F.col("event_type")].alias("ID"), F.col("event_type").alias("NAME")),
+        F.struct(F.lit(METRIC_IDS["dsmetrics"]).alias("ID"), F.lit("dsmetrics").alias("NAME")),
+    )
+    rows = _days(ev).where(F.col("day") % 2 == 0).select("day", F.inline(base)).where(F.col("ID").isNotNull())
+    number = F.col("ID") + 10 * F.col("day") % 30
+    return rows.select(number.cast("int").alias("ID"), "NAME", (F.col("day") * DAY).alias("since")).distinct()
+
+
+def derive_place_versions(ev: DataFrame) -> DataFrame:
+    """(host, env, app, since, until) rows: hosts move every third day; h2 is gone a day later."""
+    k = F.pmod(F.col("user_id"), F.lit(7)).cast("int")
+    turn = k + F.col("day").cast("int")
+    since = F.col("day") * DAY + k * 3_600_000
+    rows = _days(ev).where((F.pmod(F.col("day"), F.lit(3)) == 0) & (k < 6))
+    return rows.select(
+        F.concat(F.lit("h"), k).alias("host"),
+        F.when(F.pmod(turn, F.lit(2)) == 0, F.lit("qa")).otherwise(F.lit(" prod ")).alias("env"),
+        F.element_at(F.array(*[F.lit(a) for a in APPS]), F.pmod(turn, F.lit(3)).cast("int") + 1).alias("app"),
+        since.alias("since"),
+        F.when(k == 2, since + DAY).alias("until"),
+    ).distinct()
+
+
 def derive_damaged(ev: DataFrame) -> DataFrame:
     """One message per event, fifteen of sixteen spoilt or unusual in some way.
 
@@ -211,6 +246,8 @@ DERIVED = {
     # The job's dictionaries are read from their distinct rows.
     "metric_ids": lambda ev: derive_metric_ids(ev).distinct(),
     "hierarchy": derive_hierarchy,
+    "metric_versions": derive_metric_versions,
+    "place_versions": derive_place_versions,
 }
 
 
