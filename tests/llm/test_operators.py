@@ -107,6 +107,34 @@ def test_rare_shingles_join_all_that_is_similar(spark):
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == plain_groups(texts, 3, 85)
 
 
+def _rare_pairs(spark, texts, s):
+    docs = frame(spark, texts)
+    rows = forest.signatures(docs, s).select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), F.col("doc_id").alias("c"))
+    sets = forest._sets(docs, rows.select(F.col("rep").alias("__id")), s)
+    return {(r.a, r.b) for r in forest._sharing_rare(rows, sets, s).collect()}
+
+
+def test_a_shared_passage_makes_no_pairs(spark):
+    """Texts of one passage and words of their own are unlike: the pairs must not grow with their square."""
+    rng = random.Random(21)
+    passage = [f"p{i}" for i in range(150)]
+    for many in (100, 400):
+        texts = [" ".join([*passage, *(f"o{rng.randrange(10**9)}" for _ in range(24))]) for _ in range(many)]
+        assert len(_rare_pairs(spark, texts, forest.Settings())) <= many // 50
+
+
+@pytest.mark.parametrize("width, percent", [(3, 85), (5, 80), (1, 50)])
+def test_rare_shingles_lose_no_similar_pair(spark, width, percent):
+    rng = random.Random(22)
+    base = [f"w{i}" for i in range(120)]
+    texts = [edited(rng, base[rng.randrange(12) : 120 - rng.randrange(12)], rng.randrange(9)) for _ in range(90)] + ["one", "one two", "one", "a b c d e f"]
+    s = forest.Settings(width=width, percent=percent)
+    got = _rare_pairs(spark, texts, s)
+    sets = [frozenset(zip(*(t.split()[k:] for k in range(width)))) or frozenset([tuple(t.split())]) for t in texts]
+    want = {(i, j) for j in range(len(sets)) for i in range(j) if 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j])}
+    assert want and want <= got
+
+
 @pytest.mark.parametrize("parts", [1, 7])
 def test_regions_are_whole_across_tasks(spark, parts):
     rng = random.Random(7)

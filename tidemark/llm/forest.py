@@ -366,16 +366,21 @@ def _joined_regions(dense: DataFrame, sets: DataFrame, links: DataFrame, met: Da
     return met if is_empty(more) else components(links.unionByName(more))
 
 
-_BUCKETS = 1 << 20
+_BUCKETS, _PARITY_LONGS = 1 << 20, 8
 
 
 def _sharing_rare(apart: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
-    """Pairs a < b of different components that share one of their rare shingles.
-
-    Shingles are in one order, rare ones first. Two sets that share ``percent`` of their
-    union share a shingle among the first n - ceil(n * percent / 100) + 1 of each, n being
-    its own size. The order is by counts of hashed shingles: any order will do, so
-    collisions cost time only.
+    """Pairs a < b of different components that may be similar, by their rare shingles.
+
+    Shingles are in one order, rare ones first. Similar sets of n >= m shingles have
+    k >= (n + m) * percent / (100 + percent) in common; of these the first in the order stands
+    at the place n - k + 1 or before in the larger set, and m - k + 1 in the smaller. So the
+    smaller set shows its first shingles for k at n = m, the larger one for k at m = n *
+    percent / 100, and they meet on one of them. Three bounds on what they can share then act
+    in the join itself: their sizes, what stands behind the shingle in both, and the parity of
+    their shingles by hashed bit, as every bit that differs is a shingle that only one has.
+    None of them loses a similar pair. The order is by counts of hashed shingles: any order
+    will do, so collisions cost time only.
     """
     rows = stored(apart.select(F.col("rep").alias("__id"), "n", "c").distinct(), "apart")
     held = stored(sets.join(sent_if_small(rows), F.col("id") == F.col("__id")).select("id", "n", "c", "shingles"), "sets")
@@ -394,23 +399,44 @@ def _sharing_rare(apart: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
     for batch in held.select("shingles").mapInArrow(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow().to_batches():
         counts[batch.column("at").to_numpy()] = batch.column("n").to_numpy()
     shared = held.sparkSession.sparkContext.broadcast(counts)
+    marks = [f"p{k}" for k in range(_PARITY_LONGS)]
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
+            found, places, shows, parity = [], [], [], []
             for one in batch.column("shingles"):
                 values = one.values.to_numpy()
                 n = len(values)
                 first = np.lexsort((values, shared.value[bucket(values)]))[: n - -(-n * s.percent // 100) + 1]
                 found.append(values[first])
+                places.append(np.arange(1, len(first) + 1))
+                shows.append(places[-1] <= n - -(-2 * n * s.percent // (100 + s.percent)) + 1)
+                parity.append(parities(values))
             lengths = [len(f) for f in found]
             columns = [pa.array(np.repeat(batch.column(k).to_numpy(), lengths)) for k in ("id", "n", "c")]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(np.concatenate(found) if found else np.empty(0, np.int64))], ["id", "n", "c", "shingle"])
-
-    few = stored(held.mapInArrow(rare, "id long, n long, c long, shingle long"), "rare")
-    a, b = few.toDF("a", "__na", "__ca", "shingle"), few.toDF("b", "__nb", "__cb", "shingle")
-    both = a.join(b, "shingle").where((F.col("a") < F.col("b")) & (F.col("__ca") != F.col("__cb")) & _fits("__na", "__nb", s.percent))
-    return both.select("a", "b").distinct()
+            bits = np.repeat(np.array(parity, np.int64).reshape(-1, _PARITY_LONGS), lengths, axis=0)
+            columns += [pa.array(np.concatenate(x) if x else np.empty(0, kind)) for x, kind in ((found, np.int64), (places, np.int64), (shows, bool))]
+            yield pa.RecordBatch.from_arrays([*columns, *(pa.array(bits[:, k]) for k in range(_PARITY_LONGS))], ["id", "n", "c", "shingle", "place", "shown", *marks])
+
+    few = stored(held.mapInArrow(rare, f"id long, n long, c long, shingle long, place long, shown boolean, {', '.join(f'{m} long' for m in marks)}"), "rare")
+    a = few.select("shingle", *(F.col(c).alias(f"__a_{c}") for c in ("id", "n", "c", "place", *marks)))
+    b = few.where("shown").select("shingle", *(F.col(c).alias(f"__b_{c}") for c in ("id", "n", "c", "place", *marks)))
+    sizes = F.col("__a_n") + F.col("__b_n")
+    behind = F.least(F.col("__a_n") - F.col("__a_place"), F.col("__b_n") - F.col("__b_place")) + 1
+    differ = sum((F.bit_count(F.col(f"__a_{m}").bitwiseXOR(F.col(f"__b_{m}"))) for m in marks), start=F.lit(0))
+    needed = s.percent * sizes
+    may = (
+        (F.col("__a_id") != F.col("__b_id")) & (F.col("__a_c") != F.col("__b_c")) & (F.col("__a_n") >= F.col("__b_n")) & _fits("__a_n", "__b_n", s.percent)
+        & ((100 + s.percent) * behind >= needed) & ((100 + s.percent) * (sizes - differ) >= 2 * needed)
+    )
+    both = a.withColumnRenamed("shingle", "__shingle").join(b, (F.col("__shingle") == F.col("shingle")) & may)
+    return both.select(F.least("__a_id", "__b_id").alias("a"), F.greatest("__a_id", "__b_id").alias("b")).distinct()
+
+
+def parities(values: np.ndarray) -> np.ndarray:
+    """Whether an odd number of the shingles falls on each of 64 * ``_PARITY_LONGS`` hashed bits."""
+    at = (values.view(np.uint64) * _MIX >> np.uint64(32)).astype(np.int64) % (64 * _PARITY_LONGS)
+    return np.packbits((np.bincount(at, minlength=64 * _PARITY_LONGS) & 1).astype(np.uint8)).view(np.int64)
 
 
 def one_of_each(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
