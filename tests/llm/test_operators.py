@@ -324,9 +324,60 @@ def test_outliers_go_and_clean_documents_stay(spark):
     assert again == {i: r.distance for i, r in rows.items()}
 
 
-def test_a_small_group_rejects_nothing(spark):
-    rows = rules.verdicts(frame(spark, [" ".join(f"w{i}{k}" for i in range(60)) for k in range(20)] + ["### " * 5 + " ".join(f"x{i}" for i in range(60))]))
-    assert rows.where("NOT kept").count() == 0
+def test_an_outlier_of_a_small_group_goes(spark):
+    """The largest junk of a rare language is judged by all rows, in a small table and beside a large one."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("etaoinshr") for _ in range(rng.randrange(2, 9)))
+    clean = lambda n: [" ".join(word() for _ in range(rng.randrange(60, 120))) for _ in range(n)]
+    rare = [(i, t, "xx", None) for i, t in enumerate([*clean(20), " ".join(word() + "####" for _ in range(80))])]
+    many = [(100 + i, t, "en", "s") for i, t in enumerate(clean(350))]
+    for rows in (rare, rare + many):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+        assert [r.doc_id for r in rules.verdicts(docs).where("NOT kept").collect()] == [20]
+    alone = spark.createDataFrame(many[:1], "doc_id long, text string, lang string, source string")
+    assert rules.verdicts(alone).where("kept").count() == 1
+
+
+def test_verdicts_against_a_plain_estimate(spark):
+    """The same concentration steps in numpy, over groups, small languages and the rest."""
+    rng = random.Random(10)
+    word = lambda up: "".join(rng.choice("etaoinshr") for _ in range(rng.randrange(2, 9))) + ("!#" if rng.random() < up else "")
+    held = []
+    for i in range(2000):
+        lang, source = rng.choice([("en", "a"), ("en", "a"), ("en", "b"), ("fr", f"s{i % 5}"), ("xx", "z") if i % 40 == 0 else ("en", "b")])
+        odd = rng.random() < 0.05
+        held.append((i, "\n".join(" ".join(word(0.7 if odd else 0.02) for _ in range(12)) for _ in range(rng.randrange(5, 14))), lang, source))
+    got = {r.doc_id: r for r in rules.verdicts(spark.createDataFrame(held, "doc_id long, text string, lang string, source string")).collect()}
+    vectors = {}
+    for i, r in got.items():
+        w = max(1, r.n_words)
+        upper = sum(map(str.isupper, held[i][1]))
+        parts = (np.log1p(r.word_chars / w) * 4, np.log1p(10 * r.n_symbols / w), np.sqrt(r.n_dup_lines / w) * 2, np.sqrt(r.n_repeat_words / w), np.sqrt(upper / max(1, r.word_chars)))
+        vectors[i] = np.floor(np.array(parts) * 1024 + 0.5)
+    groups = Counter((lang, source) for _, _, lang, source in held)
+    langs = Counter(g[0] for g, n in groups.items() for _ in range(n) if n < 300)
+    assert groups[("xx", "z")] < 300 and langs["xx"] < 300 <= langs["fr"]
+    pool = {i: (lang, source) if groups[lang, source] >= 300 else lang if langs[lang] >= 300 else "all" for i, _, lang, source in held}
+
+    def distance(some, center, inverse):
+        away = some / 1024 - center
+        return np.minimum(np.floor(np.sqrt(np.maximum(0, np.einsum("ij,jk,ik->i", away, inverse, away))) * 64), 64_000)
+
+    for name in set(pool.values()):
+        cloud = np.array([v for i, v in vectors.items() if not got[i].base_failed and (name == "all" or pool[i] == name)])
+        center, inverse = np.median(cloud, axis=0) / 1024, np.diag(1 / np.square(rules.FLOORS))
+        for _ in range(rules.STEPS):
+            far = distance(cloud, center, inverse)
+            near = cloud[far <= np.percentile(far, 75)]
+            center = near.mean(0) / 1024
+            inverse = np.linalg.inv(np.cov(near.T / 1024, bias=True) * rules.consistency() + np.diag(np.square(rules.FLOORS)))
+        bound = np.ceil(np.sqrt(rules.limit()) * 64)
+        for i in (i for i in vectors if pool[i] == name):
+            far = distance(vectors[i][None], center, inverse)[0]
+            assert abs(got[i].distance * 64 - far) <= 1
+            if abs(far - bound) > 1:
+                assert got[i].kept == (not got[i].base_failed and far <= bound)
+    assert 0 < sum(not r.kept for r in got.values()) < 300
 
 
 def test_chi_square():

@@ -131,10 +131,29 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plan(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    """The plan in training order; no document has more than two copies, so these are its positions."""
+    rows = plan(table(spark, sf_dir, "documents"))
+    first, last = (F.round(F.try_element_at("positions", F.lit(k)), 6).alias(n) for k, n in ((1, "first_position"), (-1, "last_position")))
+    placed = rows.select("doc_id", "size", "source_size", "target", "taken", first, last)
+    return placed.repartitionByRange("first_position", "doc_id").sortWithinPartitions("first_position", "doc_id")
 
 
-OP10_SQL = r"""
+def _position_sql(copy: str) -> str:
+    """The inverse of each schedule's demand, as :func:`place_in_time` has it, for SQL."""
+    share, picked = f"(({copy} * source_size + pos + size / 2.0) / target)", []
+    for k, speeds in enumerate(SCHEDULES):
+        step, done, pieces = 1 / (len(speeds) - 1), 0.0, []
+        whole = sum((a + b) / 2 * step for a, b in zip(speeds, speeds[1:]))
+        for i, (a, b) in enumerate(zip(speeds, speeds[1:])):
+            slope, left = (b - a) / step, f"({share} * {whole}::DOUBLE - {done}::DOUBLE)"
+            inside = f"{left} / {a}::DOUBLE" if slope == 0 else f"(sqrt(greatest(0, {a * a}::DOUBLE + {2 * slope}::DOUBLE * {left})) - {a}::DOUBLE) / {slope}::DOUBLE"
+            done += (a + b) / 2 * step
+            pieces.append(f"WHEN {share} < {done / whole}::DOUBLE OR {i} = {len(speeds) - 2} THEN {i * step}::DOUBLE + {inside}")
+        picked.append(f"WHEN rank % {len(SCHEDULES)} = {k} THEN CASE {' '.join(pieces)} END")
+    return f"CASE WHEN copies > 0 AND target > 0 THEN round(least(1, greatest(0, CASE {' '.join(picked)} END)), 6) END"
+
+
+OP10_SQL = rf"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
          md5(coalesce(doc_id::VARCHAR, '')) AS k FROM documents
@@ -149,14 +168,14 @@ WITH d AS (
             / (sum(weight) OVER (ORDER BY source_size::DOUBLE / weight, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS level
   FROM s
 ), f AS (SELECT level FROM l WHERE level * weight <= 2 * source_size ORDER BY source_size::DOUBLE / weight, rank LIMIT 1),
-g AS (SELECT source, source_size, least((2 * source_size)::DOUBLE, coalesce((SELECT level FROM f) * weight, (2 * source_size)::DOUBLE)) AS target FROM l),
+g AS (SELECT source, source_size, rank, least((2 * source_size)::DOUBLE, coalesce((SELECT level FROM f) * weight, (2 * source_size)::DOUBLE)) AS target FROM l),
 c AS (
-  SELECT d.*, g.source_size, g.target,
+  SELECT d.*, g.source_size, g.target, g.rank,
          coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY k, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE AS pos,
          CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS passes
   FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source
-)
-SELECT doc_id, size, source_size, target,
-       (size * (passes + CASE WHEN pos + size / 2.0 < target - passes * source_size THEN 1 ELSE 0 END))::BIGINT AS taken
-FROM c
+), e AS (SELECT *, passes + CASE WHEN pos + size / 2.0 < target - passes * source_size THEN 1 ELSE 0 END AS copies FROM c)
+SELECT doc_id, size, source_size, target, (size * copies)::BIGINT AS taken,
+       {_position_sql("0")} AS first_position, {_position_sql("(copies - 1)")} AS last_position
+FROM e
 """

@@ -17,7 +17,7 @@ SYMBOLS = b"#*$%&|<>"
 STATISTICS = "doc_id long, __h long, lang string, source string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_upper long"
 #: Share of a group that its estimate rests on, and steps of concentration.
 SUPPORT, STEPS = 0.75, 3
-#: Groups of fewer rows are pooled, by language and then altogether.
+#: Groups of fewer rows are judged by their language's estimate, or by that of the whole table.
 LEAST_ROWS = 300
 #: A clean row is farther out than the limit once in so many.
 ONCE_IN = 1e12
@@ -175,8 +175,9 @@ def verdicts(docs: DataFrame, support: float = SUPPORT, steps: int = STEPS, once
     covariance determinant starts from the coordinates' medians; each step takes the mean
     and covariance of the nearest share of the pool, all rows of it: sums and exact
     quantiles of binned distances, merged in the tasks first, so that no pool meets in one
-    task. Pools of fewer than ``least_rows`` rows are joined, first within their language
-    and then altogether; what is still smaller rejects nothing. Nulls in lang or source
+    task. Groups of fewer than ``least_rows`` rows are judged by an estimate over the small
+    groups of their language, and where these are too few as well, by one over all rows of
+    the table; so every row is judged, in a table of any size. Nulls in lang or source
     are values of their own. Ties get the same verdict.
     """
     rows = stored(statistics(docs), "statistics").withColumn("base_failed", base_failed())
@@ -188,7 +189,7 @@ def verdicts(docs: DataFrame, support: float = SUPPORT, steps: int = STEPS, once
     pool = (
         F.when(F.col("n") >= least_rows, F.concat_ws("\n", "__l", "__s"))
         .when(F.col("nl") >= least_rows, F.col("__l"))
-        .when(F.lit(rest >= least_rows), F.lit("all"))
+        .otherwise(F.lit("all"))
     )
     pools = (
         sizes.join(by_lang, F.col("__l") == F.col("__ll"), "left")
@@ -198,7 +199,9 @@ def verdicts(docs: DataFrame, support: float = SUPPORT, steps: int = STEPS, once
     pools = stored(pools, "pools")
     joined = named.join(pools, (F.col("__l") == F.col("__pl")) & (F.col("__s") == F.col("__ps")), "left").drop("__l", "__s", "__pl", "__ps")
     vectors = stored(joined.select("*", *transformed()), "vectors")
-    cloud = vectors.where("NOT base_failed AND pool IS NOT NULL").select("pool", *(f"v{i}" for i in range(len(VECTOR))))
+    cloud = vectors.where("NOT base_failed").select("pool", *(f"v{i}" for i in range(len(VECTOR))))
+    if rest:
+        cloud = cloud.unionByName(cloud.where("pool <> 'all'").withColumn("pool", F.lit("all")))
 
     middle = cloud.groupBy("pool").agg(*(F.percentile(f"v{i}", F.lit(0.5)).alias(f"m{i}") for i in range(len(VECTOR))))
     floors = [F.lit(1 / f**2) if i == j else F.lit(0.0) for i, f in enumerate(FLOORS) for j in range(len(FLOORS))]
