@@ -454,6 +454,98 @@ def test_notices_against_a_search_for_their_words(spark, documents, texts):
     assert wanted and {(r.doc_id, r.license) for r in licenses.scan(documents).collect()} == wanted
 
 
+def found_in(spark, held, settings=licenses.Settings()):
+    rows = licenses.scan(frame(spark, held), settings).orderBy("doc_id", "start").collect()
+    return [(r.doc_id, r.license, held[r.doc_id][r.start : r.end], list(r.differences)) for r in rows]
+
+
+def test_short_notices_spdx_lines_and_negations(spark):
+    held = [
+        "Licensed under the MIT License.", "MIT License", "// SPDX-License-Identifier: Apache-2.0\nint x;", "Licensed under CC-BY-4.0", "This software is not released under the MIT License.",
+        "It is not free. Released under the MIT License.", "SPDX-License-Identifier: LGPL-2.0", "licensed under the Apache License, Version 1.1", "no license",
+    ]
+    assert found_in(spark, held) == [
+        (0, "MIT", "under the MIT License", ["-released"]), (1, "MIT", "MIT License", []), (2, "Apache-2.0", "SPDX-License-Identifier: Apache-2.0", []), (3, "CC-BY-4.0", "Licensed under CC-BY-4.0", []),
+        (5, "MIT", "Released under the MIT License", []),
+    ]
+
+
+def test_notices_on_odd_rows_that_hold_some(spark):
+    """Repeats, ties, null ids, long texts with many cues and clashing columns, each with notices."""
+    one, gpl = "Released under the MIT License.", licenses.TEMPLATES["GPL-3.0"][1]
+    rows = [(1, one, 5), (1, one, 6), (None, one, 7), (2, f"{gpl} license " * 300, 8), (3, f"{one} {one}", 9), (4, None, 1), (5, "license " * 20_000 + one, 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, gain long")
+    got = Counter((r.doc_id, r.license) for r in licenses.scan(docs).collect())
+    assert got == {(1, "MIT"): 2, (None, "MIT"): 1, (2, "GPL-3.0"): 300, (3, "MIT"): 2, (5, "MIT"): 1}
+    assert licenses.scan(docs.limit(0)).count() == 0
+
+
+def test_the_gain_decides(spark, monkeypatch):
+    """The template that saves most is reported; a larger share asked for refuses changed notices."""
+    bsd2, bsd3, changed = licenses.TEMPLATES["BSD-2-Clause"][1], licenses.TEMPLATES["BSD-3-Clause"][2], "This book is available under the GNU General Public License, version 3."
+    held = [licenses.TEMPLATES["Apache-2.0"][1], bsd2, bsd3, changed, licenses.TEMPLATES["MIT"][2]]
+    whole = [(i, name) for i, name, text, d in found_in(spark, held) if len(text) > 0.95 * len(held[i])]
+    assert whole == [(0, "Apache-2.0"), (1, "BSD-2-Clause"), (2, "BSD-3-Clause"), (3, "GPL-3.0"), (4, "MIT")]
+    assert {i for i, *_ in found_in(spark, held, licenses.Settings(gain=0.9))} == {0, 1, 2, 4}
+    matcher, cue = licenses.Matcher(licenses.Settings()), re.compile(licenses.CUES)
+    best = [h[3:5] for t in held for h in matcher.notices(t, cue)]
+    ranked = licenses.Matcher.ranked
+    monkeypatch.setattr(licenses.Matcher, "ranked", lambda self, own, at: ranked(self, own, at)[::-1])
+    assert [h[3:5] for t in held for h in matcher.notices(t, cue)] != best
+
+
+def plain_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row = row, [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(last[j - 1] + (x != y), last[j] + 1, row[j - 1] + 1))
+    return row[-1]
+
+
+def test_alignment_against_all_blocks():
+    rng = random.Random(3)
+    for _ in range(300):
+        wording = [rng.choice("abcdef") for _ in range(rng.randrange(2, 7))]
+        own = [rng.choice("abcdefg") for _ in range(rng.randrange(1, 10))]
+        at, most = rng.randrange(len(own)), rng.randrange(3)
+        every = [(plain_distance(wording, own[i:j]), j, -i) for i in range(at + 1) for j in range(at + 1, len(own) + 1)]
+        ends = [(n, j, i) for n, j, i in every if n <= most]
+        got = list(licenses.aligned(wording, own, at, most))
+        for begin, end, steps in got:
+            assert plain_distance(wording, own[begin:end]) == len(steps) <= most and begin <= at < end
+            undone = list(own[begin:end])
+            for w in (w for step in steps for w in step if w[0] == "+"):
+                undone.remove(w[1:])
+            assert sorted(undone + [w[1:] for s in steps for w in s if w[0] == "-"]) == sorted(wording)
+        if ends and min(ends)[0] == 0:
+            assert not got[0][2]
+
+
+def test_notices_with_changes_against_all_blocks_of_words():
+    """Random changes to every wording: what any block of words confirms, by plain distance, is found."""
+    rng = random.Random(12)
+    matcher, cue = licenses.Matcher(licenses.Settings()), re.compile(licenses.CUES)
+    forms = [f for fs in matcher.by_reach.values() for f in fs if len(f.words) < 60]
+    for _ in range(150):
+        form = rng.choice(forms)
+        ws = list(form.words)
+        for _ in range(rng.randrange(3)):
+            k = rng.randrange(len(ws))
+            ws[k : k + 1] = rng.choice([[], ["thing"], [ws[k], "thing"]])
+        text = " ".join(["prose", "before", *ws, "and", "after"])
+        own = licenses.words(text)
+        confirmed = set()
+        for f in forms:
+            for i in range(len(own)):
+                for j in range(i + max(len(f.words) - f.most, 1), min(i + len(f.words) + f.most, len(own)) + 1):
+                    block = own[i:j]
+                    if cue.search(" ".join(block)) and f.telling <= set(block) and licenses._names(block) <= licenses._names(f.words) and plain_distance(f.words, block) <= f.most:
+                        confirmed.add(f.license)
+        got = {h[3] for h in matcher.notices(text, cue)}
+        assert got <= confirmed and bool(got) == bool(confirmed), (text, got, confirmed)
+
+
 def test_many_rules_in_blocks(spark):
     rng = random.Random(10)
     names = ["a", "b", "co", "x-y", "z1"]

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import difflib
 import re
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -25,6 +24,13 @@ TEMPLATES = {
     "MIT": (
         "Released under the MIT License.",
         'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software',
+        'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.',
+        "MIT License",
+    ),
+    "ISC": (
+        "Released under the ISC License.",
+        "ISC License",
+        'Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.',
     ),
     "GPL-3.0": (
         "This work is licensed under the GNU General Public License, version 3.",
@@ -34,6 +40,11 @@ TEMPLATES = {
     "BSD-3-Clause": (
         "Released under the BSD 3-Clause License.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+        'Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.',
+    ),
+    "BSD-2-Clause": (
+        "Released under the BSD 2-Clause License.",
+        'Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.',
     ),
     "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",),
     "CC-BY-4.0": ("Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
@@ -43,117 +54,179 @@ TEMPLATES = {
     "Unlicense": ("This is free and unencumbered software released into the public domain.",),
 }
 #: Every notice holds one of these words; a block without any cannot be one.
-CUES = r"(?i)licen[sc]e|permission\W+is\W+hereby|redistribution\W+and\W+use|free\W+software|public\W+domain|released\W+under"
+CUES = r"(?i)licen[sc]e|permission\W+(?:is\W+hereby|to\W+use)|redistribution\W+and\W+use|free\W+software|public\W+domain|released\W+under"
+#: Words that tell licenses apart, as those with digits do too.
+NAMES = {
+    "affero", "apache", "attribution", "bsd", "by", "cc0", "endorse", "gnu", "isc", "lesser", "mit", "mozilla", "nc", "nd", "noderivatives", "noncommercial", "sa",
+    "sharealike", "unencumbered", "unlicense",
+}
+#: Words that turn what follows into its opposite.
+NEGATIONS = {"aren't", "cannot", "isn't", "neither", "never", "no", "nor", "not", "wasn't", "without"}
 
 FOUND = "doc_id long, start long, end long, license string, form int, gain double, differing int, differences array<string>"
 
 
 @dataclass(frozen=True)
 class Settings:
-    """Words beside a cue are a candidate for a template that they align with, if it makes
-    them smaller by ``gain`` of their size. A notice may lack or change one word in
-    ``words_per_difference``, but none of those that tell licenses apart."""
+    """A template is a candidate for a block if it saves ``gain`` of what it saves on its own
+    wording. A notice may lack or change one word in ``words_per_difference``, and one if it has
+    ``least_words``, but none of those that tell licenses apart. A negation up to ``lead``
+    words before it in its sentence refuses it. SPDX lines are taken as they are or not."""
 
-    gain: float = 0.3
+    gain: float = 0.35
     words_per_difference: int = 6
+    least_words: int = 5
+    lead: int = 6
+
+
+@dataclass(frozen=True)
+class Form:
+    """One wording of a license's notice."""
+
+    license: str
+    number: int
+    words: list[str]
+    most: int  # words that may differ
+    telling: set[str]
+    with_it: zstandard.ZstdCompressor
+    saved: int  # bytes that it saves on its own wording
 
 
 class Matcher:
-    """Templates as raw zstandard dictionaries."""
+    """Templates as raw zstandard dictionaries, by the size of the blocks they are tried on."""
 
     def __init__(self, settings: Settings, templates=TEMPLATES):
-        self.settings, self.forms = settings, []
+        self.settings = settings
         self.alone = zstandard.ZstdCompressor(level=3, write_content_size=False)
-        for name, forms in templates.items():
-            for k, form in enumerate(forms):
-                known = zstandard.ZstdCompressionDict(form.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-                with_it = zstandard.ZstdCompressor(level=3, dict_data=known, write_content_size=False, write_dict_id=False)
-                self.forms.append((name, k, words(form), with_it))
-        self.kinds = [set(w) for _, _, w, _ in self.forms]
-        self.reach = max((len(w) + len(w) // settings.words_per_difference for _, _, w, _ in self.forms), default=0)
-        # Words that some license's notice has and another's of the same length lacks.
-        common = set.intersection(*(set(w) for _, _, w, _ in self.forms)) if self.forms else set()
-        self.telling = {(n, k): {w for w in ws if w not in common and any(c.isdigit() for c in w) or w in _names(ws)} for n, k, ws, _ in self.forms}
+        self.by_reach: dict[int, list[Form]] = {}
+        for name, wordings in templates.items():
+            spdx = words(f"SPDX-License-Identifier: {name}")
+            forms = [self._form(name, k, words(w), None) for k, w in enumerate(wordings)]
+            for form in [*forms, self._form(name, len(forms), spdx, 0)]:
+                # Blocks reach a power of two to either side of the cue, so that few sizes are cut.
+                self.by_reach.setdefault(1 << (len(form.words) + form.most - 1).bit_length(), []).append(form)
+
+    def _form(self, name: str, k: int, ws: list[str], most: int | None) -> Form:
+        data = " ".join(ws).encode()
+        known = zstandard.ZstdCompressionDict(data, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        known.precompute_compress(level=3)
+        with_it = zstandard.ZstdCompressor(level=3, dict_data=known, write_content_size=False, write_dict_id=False)
+        if most is None:
+            most = max(len(ws) // self.settings.words_per_difference, int(len(ws) >= self.settings.least_words))
+        telling = _names(ws) | {w for w in ws if any(c.isdigit() for c in w)}
+        return Form(name, k, ws, most, telling, with_it, len(self.alone.compress(data)) - len(with_it.compress(data)))
+
+    def ranked(self, own: list[str], at: int) -> list[tuple[int, float, Form, int, int]]:
+        """The candidates of the blocks around the word ``at``, by the bytes they save: these,
+        their share of what the template saves on itself, the template and the block."""
+        out = []
+        for reach, forms in self.by_reach.items():
+            first, last = max(at - reach, 0), at + reach
+            data = " ".join(own[first:last]).encode()
+            plain = len(self.alone.compress(data))
+            for form in forms:
+                saved = plain - len(form.with_it.compress(data))
+                if saved >= self.settings.gain * form.saved:
+                    out.append((saved, saved / form.saved, form, first, last))
+        # Of equal savings the shorter wording first: it has less that the block may lack.
+        return sorted(out, key=lambda c: (-c[0], len(c[2].words), c[2].license, c[2].number))
 
     def notices(self, text: str, cue) -> Iterator[tuple]:
-        """Start, end, license, form, gain, number of differences, differences and number of
-        words of all notices around the cues of a text; they may overlap."""
-        spots = [(m.start(), m.end(), _bare(m.group())) for m in re.finditer(r"\S+", text)]
-        spots = [s for s in spots if s[2]]
-        starts = [s[0] for s in spots]
-        done = set()
+        """Bytes saved, start, end, license, form, gain, number of differences and differences
+        of the best template that its wording confirms, for each cue outside earlier ones."""
+        spots = [s for s in map(_bounds, WORDS.finditer(text)) if s[0] < s[1]]
+        own, starts, upto = [text[a:b].lower() for a, b in spots], [a for a, _ in spots], 0
         for hit in cue.finditer(text):
+            if hit.start() < upto or not spots:
+                continue
             at = max(bisect_right(starts, hit.start()) - 1, 0)
-            near = {w for _, _, w in spots[max(at - self.reach, 0) : at + self.reach]}
-            for i, (name, k, wording, with_it) in enumerate(self.forms):
-                most = len(wording) // self.settings.words_per_difference
-                if len(self.kinds[i] - near) > most:
+            for saved, gain, form, first, last in self.ranked(own, at):
+                found = self.confirmed(form, own[first:last], at - first)
+                if found is None:
                     continue
-                first = max(at - len(wording) - most, 0)
-                own = [w for _, _, w in spots[first : at + len(wording) + most]]
-                for begin, end in spans(wording, own, at - first, most):
-                    where = spots[first + begin][0], spots[first + end - 1][1]
-                    if (i, where) in done:
-                        continue
-                    done.add((i, where))
-                    found = own[begin:end]
-                    if self.telling[name, k] - set(found) or _names(found) - _names(wording):
-                        continue
-                    data = text[slice(*where)].encode()
-                    gain = 1 - len(with_it.compress(data)) / len(self.alone.compress(data))
-                    n = changed(wording, found)
-                    if gain >= self.settings.gain and n <= most:
-                        yield *where, name, k, gain, n, differences(wording, found), len(wording)
-
-
-def spans(wording: list[str], own: list[str], at: int, most: int) -> list[tuple[int, int]]:
-    """Where the whole wording stands in a text's words, over the word ``at``, with the fewest
-    changes and up to ``most``: by edit distance with free ends."""
-    # Changes and start for each number of words of the wording, up to one word of the text.
-    column = [(i, 0) for i in range(len(wording) + 1)]
-    ends = []
+                begin, end, steps = first + found[0], first + found[1], found[2]
+                if self.denied(text, spots, own, begin):
+                    break
+                upto = spots[end - 1][1]
+                yield saved, spots[begin][0], upto, form.license, form.number, gain, len(steps), [w for s in steps for w in s]
+                break
+
+    def confirmed(self, form: Form, own: list[str], at: int) -> tuple[int, int, list] | None:
+        """Where the wording stands over the word ``at``, and its differences, if they are few
+        and touch no word that tells licenses apart."""
+        if not form.telling <= set(own):
+            return None
+        for found in aligned(form.words, own, at, form.most):
+            block = own[found[0] : found[1]]
+            if form.telling <= set(block) and _names(block) <= _names(form.words):
+                return found
+        return None
+
+    def denied(self, text: str, spots, own: list[str], begin: int) -> bool:
+        for i in range(begin - 1, max(begin - 1 - self.settings.lead, -1), -1):
+            if SENTENCE_END.search(text, spots[i][1], spots[i + 1][0]):
+                return False
+            if own[i] in NEGATIONS:
+                return True
+        return False
+
+
+def aligned(wording: list[str], own: list[str], at: int, most: int) -> Iterator[tuple[int, int, list[tuple[str, ...]]]]:
+    """Where the whole wording stands in a block, over its word ``at``, with up to ``most``
+    changes: start, end and each change as the words it lacks (-) and adds (+).
+
+    Edit distance over words with free ends. Fewest changes come first, then the first end,
+    each with its latest start; an end at an added word is none, so that nothing beside the
+    notice is taken in.
+    """
+    # A cell holds changes * unit - start: the least is the one wanted.
+    unit, n = len(own) + 1, len(wording)
+    columns, ends = [[i * unit for i in range(n + 1)]], []
     for j, word in enumerate(own, 1):
-        last, column = column, [(0, j)]
-        for i, want in enumerate(wording, 1):
-            # Of equal ones the latest start, so that nothing beside the notice is taken in.
-            column.append(min((last[i - 1][0] + (word != want), last[i - 1][1]), (last[i][0] + 1, last[i][1]), (column[i - 1][0] + 1, column[i - 1][1]), key=lambda c: (c[0], -c[1])))
-        n, begin = column[-1]
-        if n <= most and begin <= at < j:
-            ends.append((n, begin, j))
-    least = min((n for n, *_ in ends), default=0)
-    return [(begin, j) for n, begin, j in ends if n == least]
+        last, column = columns[-1], [-j]
+        for i in range(n):
+            column.append(min(last[i] + (word != wording[i]) * unit, last[i + 1] + unit, column[i] + unit))
+        columns.append(column)
+        changes = -(-column[n] // unit)
+        if changes <= most and changes * unit - column[n] <= at < j and column[n] != last[n] + unit:
+            ends.append((changes, j))
+    for _, end in sorted(ends):
+        i, j, steps = n, end, []
+        while i:
+            here, last = columns[j][i], columns[j - 1] if j else None
+            if last and here == last[i - 1] + (own[j - 1] != wording[i - 1]) * unit:
+                i, j = i - 1, j - 1
+                if own[j] != wording[i]:
+                    steps.append((f"-{wording[i]}", f"+{own[j]}"))
+            elif last and here == last[i] + unit:
+                j -= 1
+                steps.append((f"+{own[j]}",))
+            else:
+                i -= 1
+                steps.append((f"-{wording[i]}",))
+        yield j, end, steps[::-1]
+
+
+#: Words end at white space, hyphens and slashes, and are compared without the marks around them.
+WORDS = re.compile(r"[^\s/-]+")
+MARKS = "\"'(),.;:|*#$%&!<>`[]{}"
+SENTENCE_END = re.compile(r"[.!?]\s")
+
+
+def _bounds(m: re.Match) -> tuple[int, int]:
+    word = m.group()
+    bare = word.lstrip(MARKS)
+    begin = m.end() - len(bare)
+    return begin, begin + len(bare.rstrip(MARKS))
 
 
-_NAMES = {"apache", "mit", "gnu", "bsd", "mozilla", "cc0", "by", "by-nc", "by-sa", "by-nd", "attribution", "attribution-noncommercial", "lesser", "affero", "unencumbered"}
+def words(text: str) -> list[str]:
+    return [text[a:b].lower() for a, b in map(_bounds, WORDS.finditer(text)) if a < b]
 
 
 def _names(ws: list[str]) -> set[str]:
     """The words that name a license; "by" is one only after "cc"."""
-    return {w for before, w in zip(["", *ws], ws) if w in _NAMES and (w != "by" or before == "cc")}
-
-
-def _bare(word: str) -> str:
-    return word.strip("\"'(),.;:|*#$%&!<>").lower()
-
-
-def words(text: str) -> list[str]:
-    return [w for w in map(_bare, text.split()) if w]
-
-
-def _steps(wording: list[str], own: list[str]) -> list[tuple]:
-    """What turns the wording into a block; what stands around the notice is no change."""
-    steps = difflib.SequenceMatcher(None, wording, own, autojunk=False).get_opcodes()
-    return [s for s in steps if s[0] != "equal" and not (s[0] == "insert" and s[1] in (0, len(wording)))]
-
-
-def changed(wording: list[str], own: list[str]) -> int:
-    """Words that differ; one in another's place counts once."""
-    return sum(max(j - i, m - k) for _, i, j, k, m in _steps(wording, own))
-
-
-def differences(wording: list[str], own: list[str]) -> list[str]:
-    """The words that a block lacks (-) and adds (+)."""
-    return [w for _, i, j, k, m in _steps(wording, own) for w in [*(f"-{x}" for x in wording[i:j]), *(f"+{x}" for x in own[k:m])]]
+    return {w for before, w in zip(["", *ws], ws) if w in NAMES and (w != "by" or before == "cc")}
 
 
 @cache
@@ -164,9 +237,11 @@ def _matcher(settings: Settings) -> Matcher:
 def scan(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """One row per notice: its span in code points, license, gain and wording differences.
 
-    The words around every cue are looked at, over line breaks; of notices that overlap the
-    one with most words of its template wins, then the one with the fewest differences. Null and empty texts have no notices, rows that
-    repeat an identifier are scanned each.
+    The blocks around every cue are compressed with every template, over line breaks; the
+    template that saves most and that the exact wording confirms wins. Of notices that overlap
+    the one that saves most stays, then the first. Null and empty texts have no notices, rows
+    that repeat an identifier are scanned each, a null identifier stays null. Time and memory
+    grow with the number of cues, not with what lies between them.
     """
     cue = re.compile(CUES)
 
@@ -175,12 +250,11 @@ def scan(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch["doc_id"], texts_of(batch["text"])):
-                hits = list(matcher.notices(text, cue))
                 taken: list[tuple] = []
-                for hit in sorted(hits, key=lambda h: (h[5] - h[7], h[5], h[1] - h[0], h[0])):
-                    if all(hit[1] <= t[0] or hit[0] >= t[1] for t in taken):
-                        taken.append(hit)
-                rows += [(None if pd.isna(doc_id) else int(doc_id), *t[:7]) for t in sorted(taken)]
+                for hit in sorted(matcher.notices(text, cue), key=lambda h: (-h[0], h[1])):
+                    if all(hit[2] <= t[0] or hit[1] >= t[1] for t in taken):
+                        taken.append(hit[1:])
+                rows += [(None if pd.isna(doc_id) else int(doc_id), *t) for t in sorted(taken)]
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in FOUND.split(", ")]).astype({"doc_id": "Int64"})
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
