@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import clean, filled
@@ -73,7 +73,7 @@ def judged(
     return rows.withColumn("fate", fate.otherwise(F.lit(KEPT)))
 
 
-def observed(rows: DataFrame, name: str = "fates") -> DataFrame:
+def observed(rows: DataFrame, name: str | Observation = "fates") -> DataFrame:
     """Count the fates while the rows go by, in batch or in each micro-batch of a stream."""
     counts = [F.count_if(F.col("fate") == f).alias(f) for f in (KEPT, UNKNOWN_NAME, NO_PLACE)]
     aside = F.count_if(~F.col("fate").isin(KEPT, UNKNOWN_NAME, NO_PLACE)).alias("set_aside")
@@ -85,7 +85,7 @@ def enrich(
     dictionaries: Dictionaries,
     default_env: str | None = None,
     require_place: bool = True,
-    observe: str | None = None,
+    observe: str | Observation | None = None,
 ) -> DataFrame:
     """Metric rows from entries; quarantined entries pass through unchanged.
 

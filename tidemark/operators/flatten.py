@@ -52,6 +52,13 @@ def _last_of_each(held: Column) -> Column:
     return F.when(F.size(F.array_distinct(keys)) == F.size(keys), entries).otherwise(F.filter(entries, behind))
 
 
+def _unknown(event: Column, known: Sequence[str]) -> Column:
+    """The fields of an event's text outside the wire schema, as a variant object."""
+    held = F.from_json(event, T.MapType(STRING, T.VariantType()))
+    names = [*known, "metrics", "datasources"]
+    return F.to_variant_object(F.map_from_entries(F.filter(_last_of_each(held), lambda e: ~e["key"].isin(names))))
+
+
 def explode_events(
     decoded: DataFrame,
     metrics: bool = True,
@@ -59,6 +66,7 @@ def explode_events(
     env_key: str = "environment",
     app_key: str = "appname",
     carry: Sequence[tuple[str, str]] = (),
+    extra: str | None = None,
 ) -> DataFrame:
     """One row per event of each decoded message; null array elements are skipped.
 
@@ -66,7 +74,8 @@ def explode_events(
     ``rejected``. An unreadable message or event stays as one row with a reason. A message
     is one array and nothing else: two arrays, also of two compressed members, or text
     after the array make it unreadable, and it is kept whole. ``carry`` names fields of
-    an event to take along, with their types.
+    an event to take along, with their types. ``extra`` names a column for all its fields
+    outside the wire schema, as one variant; each event is then parsed from its own text.
     """
     ids = [c for c in decoded.columns if c not in ("text", "rejected", "too_large")]
     schema = wire_event(metrics, datasources, env_key, app_key, carry)
@@ -75,13 +84,15 @@ def explode_events(
     message = decoded.select(*ids, "text", "rejected", *size, whole.parse(text, T.ArrayType(schema)).alias("_message"))
     # One event that does not fit must not cost its neighbours: just the messages that hold
     # one are split, and parsed event by event.
-    fine = whole.fits(F.col("_message"), text, array=True)
+    fine = F.lit(False) if extra else whole.fits(F.col("_message"), text, array=True)
     again = F.when(~fine, whole.parse(text, T.ArrayType(STRING)))
     message = message.select("*", fine.alias("_fine"), again.alias("_split"))
-    apart = F.transform(whole.value(F.col("_split")), lambda piece: F.from_json(piece, schema))
-    events = F.when(F.col("_fine"), whole.value(F.col("_message"))).when(
-        whole.fits(F.col("_split"), text, array=True), apart
-    )
+    pieces = whole.value(F.col("_split"))
+    apart = F.transform(pieces, lambda piece: F.from_json(piece, schema))
+    if extra:
+        apart = F.transform(pieces, lambda piece: F.struct(F.from_json(piece, schema).alias("_event"), _unknown(piece, schema.names).alias("_extra")))
+    split = F.when(whole.fits(F.col("_split"), text, array=True), apart)
+    events = split if extra else F.when(F.col("_fine"), whole.value(F.col("_message"))).otherwise(split)
     listed = message.select(*ids, "text", "rejected", *size, events.alias("_events"))
     unread = F.lit(BAD_PAYLOAD)
     if size:
@@ -93,6 +104,11 @@ def explode_events(
     exploded = listed.select(*ids, reason.alias("_bad"), raw.alias("_raw"), "_events").select(
         *ids, "_bad", "_raw", F.posexplode_outer("_events").alias("event_pos", "_event")
     )
+    more = []
+    if extra:
+        # A struct stands around each event here.
+        held = F.col("_event")["_extra"].alias(extra)
+        exploded, more = exploded.select(*ids, "_bad", "_raw", "event_pos", F.col("_event")["_event"].alias("_event"), held), [extra]
     broken = F.col("_event")[CORRUPT]
     fields = [F.col("_event")[name].alias(name) for name, _ in carry]
     fields += [F.col("_event")[env_key].alias("environment")]
@@ -106,6 +122,7 @@ def explode_events(
         *ids,
         "event_pos",
         *fields,
+        *more,
         F.coalesce("_bad", F.when(broken.isNotNull(), F.lit(BAD_EVENT))).alias("reason"),
         F.coalesce("_raw", broken).alias("raw"),
     )

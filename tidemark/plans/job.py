@@ -7,6 +7,7 @@ in ``--packages`` where messages come from a topic.
 from __future__ import annotations
 
 import argparse
+import logging
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,6 +59,7 @@ def parser() -> argparse.ArgumentParser:
     meaning.add_argument("--app-key", default="appname")
     meaning.add_argument("--default-env", help="environment of rows that have none")
     meaning.add_argument("--carry", action="append", default=[], metavar="NAME[:TYPE]", help="field of an event to take along")
+    meaning.add_argument("--extra", metavar="COLUMN", help="column for all fields of an event that the wire schema lacks, as a variant")
     meaning.add_argument("--delay", default="10 minutes", help="how late a row may be for a rollup")
     names = out.add_argument_group("dictionaries")
     names.add_argument("--metric-ids", help="files of (ID, NAME) rows")
@@ -150,13 +152,12 @@ def start(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
         default_env=args.default_env,
         require_place=args.mode != "keep-all",
         carry=tuple(_pairs(args.carry, ":", "string").items()),
+        extra=args.extra,
     )
     source = _messages(spark, args)
     interval = None if args.interval == "once" else args.interval
     if args.mode == "batches":
-        write = jobs.batch_writer(
-            _fresh(spark, args), args.path, options, args.show
-        )
+        write = jobs.batch_writer(_fresh(spark, args), args.path, options, args.show)
         return jobs.start_batches(source, write, args.checkpoint, interval)
     if args.mode == "store" and args.keep:
         if args.as_json or args.show:
@@ -168,7 +169,7 @@ def start(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
     if args.mode == "store":
         write = jobs.store_writer(
             _fresh(spark, args), args.order, options, args.as_json,
-            args.format, args.write_mode, args.show, **_pairs(args.option),
+            args.format, args.write_mode, args.show, **({"bad": args.bad} if args.bad else {}), **_pairs(args.option),
         )
         return jobs.start_batches(source, write, args.checkpoint, interval)
     begin = {
@@ -186,6 +187,7 @@ def start(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
 
 def main(argv: Sequence[str] | None = None) -> None:
     args = parser().parse_args(argv)
+    logging.basicConfig(level=logging.INFO)
     spark = prepare(SparkSession.builder.appName(args.name).getOrCreate())
     start(spark, args)
     for query in spark.streams.active:

@@ -236,6 +236,13 @@ FROM ev WHERE event_id % 16 IN (5, 7, 9, 11, 15)
 UNION ALL
 SELECT event_id, event_id, bucket || '|' || host || '|' || instance, 'dsmetrics'
 FROM ev WHERE event_id % 16 IN (5, 9, 11)""",
+        ),
+        "redriven_rows": everything,
+        "unknown_fields": _with(
+            base,
+            f"""
+SELECT event_id, {KEY}, user_id AS trace_user, "HOST" AS trace_host, '["' || name || '","' || "HOST" || '"]' AS trace_tags
+FROM rows_kept JOIN (SELECT event_id, user_id, name FROM ev) USING (event_id)""",
         ),
         "row_json": _with(
             base,

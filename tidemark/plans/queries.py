@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import cell, time
 from tidemark.operators import decode, dictionary, enrich, flatten, rollup, rowjson, upsert
 from tidemark.operators.dictionary import Dictionaries
+from tidemark.plans import redrive
 from tidemark.plans import rows as jobs
 from tidemark.schemas import METRIC, ROW_KEY, SERIES_KEY
 from tidemark.session import new_dir, prepare
@@ -257,6 +258,34 @@ def drop_counts(spark: SparkSession, sf: str) -> DataFrame:
     return found.groupBy("fate").agg(F.count("*").alias("records"))
 
 
+def redriven_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Repaired messages taken in twice over: what was set aside comes once, as if it had been good."""
+    found, repaired = dictionaries(spark, sf), fixtures.table(spark, sf, "repaired")
+    logs = [new_dir(spark, "log") for _ in range(3)]
+    table.write_log(jobs.tagged_rows(fixtures.table(spark, sf, "damaged"), found, WIRE), logs[0])
+    for n in (1, 2):
+        redrive.take_in(spark, logs[:n], logs[n], repaired, found, WIRE)
+    return table.read_log(spark, *logs).select(*row_columns())
+
+
+# Fields nobody declared
+
+
+def unknown_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """Fields outside the wire schema, through the log and typed where they are read."""
+    path = new_dir(spark, "log")
+    sent = fixtures.table(spark, sf, "extended")
+    table.write_log(jobs.tagged_rows(sent, dictionaries(spark, sf), replace(ORDINARY, extra="extra")), path)
+    held = lambda place, kind: F.variant_get("extra", place, kind)
+    return table.read_log(spark, path).select(
+        "event_id",
+        *ROW_KEY,
+        held("$.trace.user", "bigint").alias("trace_user"),
+        held("$.trace.tags[1]", "string").alias("trace_host"),
+        F.to_json(held("$.trace.tags", "array<string>")).alias("trace_tags"),
+    )
+
+
 # Stored forms
 
 
@@ -495,6 +524,8 @@ QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     quarantine,
     recovered_entries,
     drop_counts,
+    redriven_rows,
+    unknown_fields,
     row_json,
     json_typed_rows,
     stored_metric_decode,

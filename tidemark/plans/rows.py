@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark.operators import decode, enrich, flatten
@@ -26,6 +26,8 @@ class Options:
     require_place: bool = True
     # Fields of an event to carry along, such as its identifier, with their types.
     carry: tuple[tuple[str, str], ...] = ()
+    # Column that takes all fields of an event outside the wire schema, as one variant.
+    extra: str | None = None
 
 
 # Rows are kept without a place; give ``default_env`` for a default environment.
@@ -35,7 +37,7 @@ KEEP_ALL = Options(require_place=False)
 def events(messages: DataFrame, options: Options = Options()) -> DataFrame:
     decoded = decode.decode_payload(messages, options.codec)
     return flatten.explode_events(
-        decoded, options.metrics, options.datasources, options.env_key, options.app_key, options.carry
+        decoded, options.metrics, options.datasources, options.env_key, options.app_key, options.carry, options.extra
     )
 
 
@@ -65,18 +67,20 @@ def tagged_rows(
     messages: DataFrame,
     dictionaries: Dictionaries,
     options: Options = Options(),
-    observe: str | None = None,
+    observe: str | Observation | None = None,
+    folder: str | None = None,
 ) -> DataFrame:
     """Metric rows and the records set aside together, for a single write.
 
     With small dictionaries this is one pass. If one is large, entries are stored once:
     those set aside, with their texts, then stay out of the shuffles. A stream cannot be
-    stored on the way; there they only pass by the joins as well.
+    stored on the way; there they only pass by the joins as well. ``folder`` is where the
+    entries go; whoever gives one can delete it once the rows are written.
     """
     read = entries(messages, options)
     if messages.isStreaming or (dictionaries.metrics.small and dictionaries.hosts.small):
         return enrich.enrich(read, dictionaries, options.default_env, options.require_place, observe)
-    spark, path = messages.sparkSession, new_dir(messages.sparkSession, "entries")
+    spark, path = messages.sparkSession, folder or new_dir(messages.sparkSession, "entries")
     read.write.parquet(path)
     held = spark.read.schema(read.schema).parquet(path)
     bad = held.where(F.col("reason").isNotNull())

@@ -17,6 +17,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     # Payloads are large next to ordinary columns: bound what one Arrow batch holds.
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    # Of a key that comes twice in an object the last counts, in variants as elsewhere.
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     # Window state grows with series, so it is kept on disk and not on the heap.
     spark.conf.set(
         "spark.sql.streaming.stateStore.providerClass",

@@ -224,6 +224,23 @@ def derive_damaged(ev: DataFrame) -> DataFrame:
     return pack_messages(pieces).select("message_id", value.alias("value"))
 
 
+def derive_repaired(ev: DataFrame) -> DataFrame:
+    """The messages of :func:`derive_damaged` as their sender meant them, each event in its place."""
+    mode = F.pmod(F.col("event_id"), F.lit(16))
+    whole = event_json()
+    empty = F.concat(F.lit('{"event_id":'), F.col("event_id").cast("string"), F.lit("},"))
+    piece = F.when(mode == 5, F.concat(F.lit("null,"), whole)).when(mode == 9, F.concat(empty, whole)).otherwise(whole)
+    return pack_messages(attributes(ev).select(F.col("event_id").alias("message_id"), "event_id", piece.alias("text")))
+
+
+def derive_extended(ev: DataFrame) -> DataFrame:
+    """The messages with a field in each event that the wire schema does not know."""
+    trace = F.struct(F.struct(F.col("user_id").alias("user"), F.array("name", "host").alias("tags")).alias("trace"))
+    whole = event_json()
+    text = F.concat(F.substr(whole, F.lit(1), F.length(whole) - 1), F.lit(","), F.substr(F.to_json(trace), F.lit(2)))
+    return pack_messages(attributes(ev).select("message_id", "event_id", text.alias("text")))
+
+
 def derive_replayed(rows: DataFrame) -> DataFrame:
     """All rows with ``seq``, and a corrected copy of the purchases sent later."""
     cell = F.col("METRIC")
@@ -243,6 +260,8 @@ def derive_replayed(rows: DataFrame) -> DataFrame:
 DERIVED = {
     "messages": derive_messages,
     "damaged": derive_damaged,
+    "repaired": derive_repaired,
+    "extended": derive_extended,
     # The job's dictionaries are read from their distinct rows.
     "metric_ids": lambda ev: derive_metric_ids(ev).distinct(),
     "hierarchy": derive_hierarchy,

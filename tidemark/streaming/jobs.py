@@ -6,21 +6,25 @@ same functions as in batch.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidemark.operators.dictionary import Dictionaries
 from tidemark.operators.enrich import as_rows
+from tidemark.operators.flatten import good
+from tidemark.operators.flatten import quarantine as set_aside
 from tidemark.operators.rollup import LENGTH, SLIDE, sliding_window_rows, stream_rollup
 from tidemark.operators.rowjson import from_row_json, to_row_json
 from tidemark.operators.upsert import latest_per_key
 from tidemark.plans.rows import Options, metric_rows, quarantine, tagged_rows
 from tidemark.schemas import ROW_KEY, SERIES_KEY
+from tidemark.session import new_dir
 from tidemark.sinks.stores import KEYED_FORMAT, peek, stored_rows, write_rows
-from tidemark.sinks.table import PARTITIONS, declare, log_layout, write_log
+from tidemark.sinks.table import PARTITIONS, declare, log_layout, remove, write_log
 from tidemark.streaming.state import SHARDS, newest_windows, newest_writes, open_rollup
 
 # Fixed value: the time between micro-batches when none is given.
@@ -198,27 +202,37 @@ def put_rows(fmt: str = KEYED_FORMAT, mode: str = "overwrite", **settings: str)
     return write
 
 
+def note_fates(batch_id: int, fates: dict) -> None:
+    """Log what became of a batch's records."""
+    logging.getLogger(__name__).info("batch %s: %s", batch_id, ", ".join(f"{n} {fate}" for fate, n in fates.items()))
+
+
 def batch_writer(
     dictionaries: Dictionaries | Callable[[], Dictionaries],
     path: str,
     options: Options = Options(),
     show: int = 0,
+    counted: Callable[[int, dict], None] = note_fates,
 ) -> Callable[[DataFrame, int], None]:
     """What a per-batch query does with the messages of one micro-batch.
 
     A batch owns the folder ``batch_id=<n>`` of the log, so running it again after a
     failure replaces its rows. Given a function, dictionaries are read anew for each
-    batch. ``show`` prints the first rows, from what was written.
+    batch. ``show`` prints the first rows, from what was written. ``counted`` gets the
+    batch's number and its rows kept, dropped and set aside, counted as they were written.
     """
 
     def write(messages: DataFrame, batch_id: int) -> None:
         now = dictionaries() if callable(dictionaries) else dictionaries
         target = f"{path}/batch_id={batch_id}"
-        rows = tagged_rows(messages, now, options)
+        spark, fates, entries = messages.sparkSession, Observation(FATES), new_dir(messages.sparkSession, "entries")
+        rows = tagged_rows(messages, now, options, fates, entries)
         declare(rows, path)
         write_log(rows, target, mode="overwrite")
+        remove(spark, entries)
+        counted(batch_id, fates.get)
         if show:
-            peek(messages.sparkSession.read.parquet(target), show).show(show, False)
+            peek(spark.read.parquet(target), show).show(show, False)
 
     return write
 
@@ -231,23 +245,38 @@ def store_writer(
     fmt: str = KEYED_FORMAT,
     mode: str = "overwrite",
     show: int = 0,
+    bad: str | None = None,
+    counted: Callable[[int, dict], None] = note_fates,
     **settings: str,
 ) -> Callable[[DataFrame, int], None]:
     """What a per-batch query does to upsert a micro-batch into a keyed store.
 
     The store takes rows in any order, so only the last of each key is sent. With
-    ``as_json`` rows pass through JSON texts and the declared schema, without METRIC.
+    ``as_json`` rows pass through JSON texts and the declared schema, without METRIC. The
+    batch is read once: rows and records set aside are held in the shared folder, from where
+    the former go to the store and the latter to the folder ``batch_id=<n>`` of ``bad``. So
+    both agree whatever fails on the way. ``counted`` gets the batch's number, its rows kept,
+    dropped and set aside, and those whose JSON text could not be read back (``corrupt``).
     """
 
     def write(messages: DataFrame, batch_id: int) -> None:
         now = dictionaries() if callable(dictionaries) else dictionaries
-        rows = latest_per_key(metric_rows(messages, now, options), order)
+        spark, fates, corrupt = messages.sparkSession, Observation(FATES), Observation("corrupt")
+        entries, held = new_dir(spark, "entries"), new_dir(spark, "batch")
+        tagged = tagged_rows(messages, now, options, fates, entries)
+        tagged.write.parquet(held)
+        both = spark.read.schema(tagged.schema).parquet(held)
+        if bad:
+            set_aside(both).drop("MID", "ENV", "APP").write.mode("overwrite").parquet(f"{bad}/batch_id={batch_id}")
+        rows = latest_per_key(good(both), order)
         if as_json:
-            typed = from_row_json(to_row_json(rows))
+            typed = from_row_json(to_row_json(rows)).observe(corrupt, F.count_if(F.col("corrupt").isNotNull()).alias("corrupt"))
             rows = typed.where(F.col("corrupt").isNull())
         if show:
-            peek(rows, show).show(show, False)
+            peek(good(both), show).show(show, False)
         write_rows(stored_rows(rows), fmt, mode, **settings)
+        counted(batch_id, fates.get | (corrupt.get if as_json else {"corrupt": 0}))
+        remove(spark, entries, held)
 
     return write
 
