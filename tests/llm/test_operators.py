@@ -297,6 +297,89 @@ def test_contexts_after_words_with_digits(spark):
         assert [held[i][s.start : s.end] for s in rows[i].spans] == held[i].split()[4:6]
 
 
+def test_spans_without_the_marks_beside_them(spark):
+    rng = random.Random(14)
+    long = "w" * 70
+    held = [f"word{i} reach {long}     \t\n  +1{rng.randrange(10**9, 10**10)} x{i}y" for i in range(60)]
+    held += [f'say reach {long}     \t\n  "{10**7 + i % 3}", and' for i in range(6)]
+    rows = {r.doc_id: r for r in private.find(frame(spark, held)).collect()}
+    for i in range(60, 66):
+        assert [held[i][s.start : s.end] for s in rows[i].spans] == [str(10**7 + i % 3)]
+
+
+def test_contexts_on_the_right(spark):
+    """One word after, and contexts of words that begin or end a text."""
+    rng = random.Random(15)
+    held = [f"{rng.choice('abcdefgh')}{'z' * (i % 9)} +1{rng.randrange(10**9, 10**10)} extension" for i in range(80)]
+    held += [f"{10**7 + i % 3} extension" for i in range(6)] + ["2019 began", "extension"]
+    rows = {r.doc_id: r for r in private.find(frame(spark, held)).collect()}
+    assert all([(s.start, s.end, s["rank"]) for s in rows[i].spans] == [(0, 8, 3)] for i in range(80, 86))
+    assert not rows[86].spans and not rows[87].spans
+
+
+def plain_discovered(texts, s):
+    """The same bootstrapping over lists and dictionaries."""
+    lower = lambda w: "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in w)
+    seen = []
+    for doc, text in enumerate(texts):
+        base = plain_spans(text)
+        words = [(m.start(), m.group()) for m in re.finditer(r"[^\x20\x09-\x0D]+", text)]
+        marked = [private.IDENTIFIER if re.search("[0-9@]", w) else lower(w) for _, w in words]
+        for k, (at, word) in enumerate(words):
+            if marked[k] != private.IDENTIFIER or not re.search("[0-9@]", word):
+                continue
+            bare = word.lstrip("\"'([{<,;:*|#.!?")
+            start = at + len(word) - len(bare)
+            bare = bare.rstrip("\"')]}>,;:*|.!?")
+            end = start + len(bare)
+            if any(b[0] < start < b[2] for b in base):
+                continue
+            began = sorted((rank, b, e) for b, rank, e in base if start <= b < end)
+            left = marked[max(k - 2, 0) : k]
+            right = marked[k + 1] if k + 1 < len(words) and not (began and began[0][2] > end) else None
+            patterns = [p for p in (left and "1 " + left[-1], len(left) == 2 and "2 " + " ".join(left), right and "> " + right, left and right and f"< {left[-1]} > {right}") if p]
+            seen.append((doc, start, end, lower(text[began[0][1] : began[0][2]] if began else bare), began[0][0] if began else None, patterns))
+    links = Counter((p, i, seed) for *_, i, seed, patterns in seen for p in patterns)
+    induced = {(p, kind) for p, _, kind in links if kind is not None and len({i for q, i, k in links if (q, k) == (p, kind)}) >= s.support}
+    worth = {}
+    for _ in range(s.rounds):
+        belief = {}
+        for p, kind in induced:
+            rows = [(n, (1.0 if seed == kind else 0.0) if seed is not None else worth.get((i, kind), 0.0)) for (q, i, seed), n in links.items() if q == p]
+            belief[p, kind] = sum(n * w for n, w in rows) / (sum(n for n, _ in rows) + s.prior)
+        best = {}
+        for (p, i, seed), _ in links.items():
+            if seed is None:
+                for kind in range(4):
+                    if (p, kind) in induced:
+                        best[i, kind] = max(best.get((i, kind), 0.0), belief[p, kind])
+        worth = {k: w for k, w in best.items() if w >= s.accept}
+    return {
+        (doc, a, b, kind) for doc, a, b, i, seed, patterns in seen if seed is None and ("@" in i or len(re.findall("[0-9]", i)) >= 4)
+        for kind in range(4) if (i, kind) in worth and any(belief.get((p, kind), 0.0) >= s.accept for p in patterns)
+    }
+
+
+def test_contexts_against_a_plain_search(spark):
+    rng = random.Random(16)
+    settings = private.Settings(support=3, prior=1.0, accept=0.6)
+    seeds = [lambda: f"+1{rng.randrange(10**9, 10**10)}", lambda: f"u{rng.randrange(99)}@b.org", lambda: f"10.0.{rng.randrange(9)}.{rng.randrange(9)}", lambda: f"+1 ({rng.randrange(200, 999)}) 555-{rng.randrange(1000, 9999)}"]
+    ids = [f"A{1000 + k}" for k in range(12)]
+    frames = [("Call", "now"), ("mail to", ", thanks"), ("x" * 60, "end"), ("host  ", ""), ("", "ext"), ("see (", ") \t or")]
+    held = []
+    for k in range(260):
+        parts = []
+        for _ in range(rng.randrange(1, 4)):
+            f = rng.randrange(len(frames))
+            inner = seeds[f % 4]() if rng.random() < 0.6 else rng.choice(ids)
+            parts.append(f"{frames[f][0]} {inner} {frames[f][1]}" if f < 5 else f"{frames[f][0]}{inner}{frames[f][1]}")
+        held.append(" ".join([*parts, rng.choice(["", "word", "12", "and so on"])]))
+    rows = private.find(frame(spark, held), settings).collect()
+    got = {(r.doc_id, s.start, s.end, s["rank"]) for r in rows for s in r.spans if s not in r.base}
+    want = plain_discovered(held, settings)
+    assert len(want) > 40 and got == want
+
+
 # Rules, classifier, mix, licenses, urls
 
 

@@ -26,6 +26,10 @@ PATTERNS = {
 HINTS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 #: A word that could be an identifier.
 TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
+#: Marks around a word that belong to the sentence and not to an identifier.
+LEAD, TRAIL = r"""^["'(\[{<,;:*|#.!?]*+""", r"""^["')\]}>,;:*|.!?]*+"""
+#: What stands for a neighbour that could be an identifier itself.
+IDENTIFIER = "<id>"
 _PART = 256
 
 
@@ -55,7 +59,7 @@ def running_sums(sizes: Column) -> Column:
 
 
 def placed(hits: Column, gaps: Column) -> Column:
-    """Each match with its start and end in code points, and the text before it.
+    """Each match with its start and end in code points.
 
     ``gaps`` are the pieces that splitting at the pattern leaves.
     """
@@ -65,9 +69,51 @@ def placed(hits: Column, gaps: Column) -> Column:
     return F.zip_with(
         running_sums(steps),
         pairs,
-        lambda at, m: F.struct(
-            (at + F.length(m["gap"])).alias("start"), (at + F.length(m["gap"]) + F.length(m["hit"])).alias("end"), m["hit"].alias("hit"), F.right(m["gap"], F.lit(90)).alias("gap")
-        ),
+        lambda at, m: F.struct((at + F.length(m["gap"])).alias("start"), (at + F.length(m["gap"]) + F.length(m["hit"])).alias("end"), m["hit"].alias("hit")),
+    )
+
+
+def _last_words(gap: Column) -> Column:
+    """The last two words of a text, or fewer if it has fewer. Read from its end, so in linear time."""
+    back, two = F.reverse(gap), rf"^{SPACE}*+([^\x20\x09-\x0D]++)(?:{SPACE}++([^\x20\x09-\x0D]++))?"
+    words = F.array(F.reverse(F.regexp_extract(back, two, 2)), F.reverse(F.regexp_extract(back, two, 1)))
+    return F.array_remove(words, "")
+
+
+def _first_word(gap: Column) -> Column:
+    return F.regexp_extract(gap, rf"^{SPACE}*+([^\x20\x09-\x0D]++)", 1)
+
+
+def _trimmed(word: Column) -> Column:
+    """A word without the marks around it, with its place."""
+    lead = F.length(F.regexp_extract(word["hit"], LEAD, 0))
+    size = F.length(word["hit"]) - lead - F.length(F.regexp_extract(F.reverse(word["hit"]), TRAIL, 0))
+    return F.struct((word["start"] + lead).alias("start"), (word["start"] + lead + size).alias("end"), F.substr(word["hit"], lead + 1, size).alias("hit"))
+
+
+def around(placed_words: Column, gaps: Column) -> Column:
+    """The last two words of the text before each word that could be an identifier, and the first after it."""
+    n = F.size(placed_words)
+    return F.zip_with(F.slice(gaps, 1, n), F.slice(gaps, 2, n), lambda b, a: F.struct(_last_words(b).alias("left"), _first_word(a).alias("right")))
+
+
+def in_context(placed_words: Column, around: Column) -> Column:
+    """Each word that could be an identifier, bare, with up to two words ``left`` of it and the
+    one ``right`` of it. Of these, those that could be identifiers are one class.
+
+    Both arguments are columns and no expressions: lambdas would evaluate those per element.
+    """
+    n = F.size(placed_words)
+    mark, none = F.array(F.lit(IDENTIFIER)), F.array().cast("array<string>")
+    before = lambda i: F.when(i >= 1, F.concat(F.when(i >= 2, mark).otherwise(none), F.get(around, i - 1)["left"], mark)).otherwise(none)
+    left = lambda c, i: F.concat(before(i), c["left"])
+    right = lambda c, i: F.when(c["right"] != "", c["right"]).when(i + 1 < n, F.lit(IDENTIFIER))
+    contexts = F.transform(around, lambda c, i: F.struct(left(c, i).alias("left"), right(c, i).alias("right")))
+    nearest = lambda ws: F.when(F.size(ws) <= 2, ws).otherwise(F.slice(ws, -2, 2))
+    return F.zip_with(
+        F.transform(placed_words, _trimmed),
+        contexts,
+        lambda w, c: F.struct(w["start"].alias("start"), w["end"].alias("end"), w["hit"].alias("hit"), nearest(c["left"]).alias("left"), c["right"].alias("right")),
     )
 
 
@@ -137,11 +183,8 @@ def scanned(docs: DataFrame) -> DataFrame:
         good = F.filter(f"m_{kind}", _holds(kind, "hit"))
         spans.append(F.coalesce(F.transform(good, _ranked(rank)), F.array().cast(SPANS)))
         seeds.append(F.coalesce(F.transform(good, _seed(rank)), F.array().cast(SEEDS)))
-    context = r"((?:[^\x20\x09-\x0D]{1,40}[\x20\x09-\x0D]{1,3}){1,2})$"
-    # Of the words before, those that could be identifiers themselves are one class.
-    back = lambda i, n: F.when(i >= n, F.concat(F.get("m_word", i - n)["gap"], F.lit("<id>"))).otherwise(F.lit(""))
-    before = lambda m, i: F.regexp_extract(F.concat(back(i, 2), back(i, 1), m["gap"]), context, 1)
-    words = F.transform("m_word", lambda m, i: F.struct(m["start"].alias("start"), m["end"].alias("end"), m["hit"].alias("hit"), before(m, i).alias("before")))
+    rows = rows.withColumn("c_word", around(F.col("m_word"), F.col("g_word")))
+    words = in_context(F.col("m_word"), F.col("c_word"))
     return rows.select("doc_id", F.xxhash64("text").alias("hash"), F.array_sort(F.concat(*spans)).alias("base"), F.concat(*seeds).alias("seeds"), words.alias("words"))
 
 
@@ -158,19 +201,24 @@ def occurrences(found: DataFrame) -> DataFrame:
     rows = found.select("doc_id", "hash", "base", "seeds", F.explode("words").alias("w"))
     began = F.filter("seeds", lambda s: (s["start"] >= F.col("w.start")) & (s["start"] < F.col("w.end")))
     inside = F.exists("base", lambda s: (s["start"] < F.col("w.start")) & (s["end"] > F.col("w.start")))
-    near = F.array_remove(F.split(ascii_lower(F.col("w.before")), f"{SPACE}+"), "")
+    left, right = F.transform("w.left", ascii_lower), ascii_lower(F.col("w.right"))
+    found_here = rows.where(~inside).select(
+        "doc_id", "hash", F.col("w.start").alias("start"), F.col("w.end").alias("end"), F.get(began, F.lit(0)).alias("__seed"), F.col("w.hit").alias("__hit"), left.alias("__left"), right.alias("__right")
+    )
+    # What is right of a seed of several words is not right of its first word.
+    ends_here = F.coalesce(F.col("__seed.start") + F.length("__seed.hit") <= F.col("end"), F.lit(True))
+    one, after = F.element_at("__left", -1), F.when(ends_here, F.col("__right"))
+    patterns = F.array(
+        F.when(F.size("__left") >= 1, F.concat(F.lit("1 "), one)),
+        F.when(F.size("__left") >= 2, F.concat(F.lit("2 "), F.array_join("__left", " "))),
+        F.concat(F.lit("> "), after),
+        F.when(F.size("__left") >= 1, F.concat(F.lit("< "), one, F.lit(" > "), after)),
+    )
     return (
-        rows.where(~inside)
-        .select("doc_id", "hash", F.col("w.start").alias("start"), F.col("w.end").alias("end"), F.get(began, F.lit(0)).alias("__seed"), F.col("w.hit").alias("__hit"), near.alias("near"))
-        .withColumn(
-            "patterns",
-            F.when(F.size("near") == 0, F.array().cast("array<string>"))
-            .when(F.size("near") == 1, F.array(F.concat(F.lit("1 "), F.element_at("near", -1))))
-            .otherwise(F.array(F.concat(F.lit("1 "), F.element_at("near", -1)), F.concat(F.lit("2 "), F.array_join("near", " ")))),
-        )
+        found_here.withColumn("patterns", F.array_compact(patterns))
         .withColumn("instance", ascii_lower(F.coalesce("__seed.hit", "__hit")))
         .withColumn("seed", F.col("__seed.rank"))
-        .drop("near", "__seed", "__hit")
+        .drop("__left", "__right", "__seed", "__hit")
     )
 
 
@@ -182,7 +230,8 @@ def _plausible() -> Column:
 def discovered(seen: DataFrame, s: Settings) -> DataFrame:
     """Occurrences that are no seeds, but stand in good patterns and look like their kind.
 
-    Patterns are the one and two words before, "<id>" for any that could be an identifier. Each round scores a pattern, per kind, by
+    Patterns are the one and two words before, the word after, and the words on both sides,
+    of any length, with "<id>" for any that could be an identifier. Each round scores a pattern, per kind, by
     the scores of the instances it is seen with, against all it is seen with, and an
     instance that is no seed by its best pattern. Only what reaches ``accept`` counts in
     the next round, so that weak beliefs do not feed each other. Both scores are sums over the links of the graph, added up in the
