@@ -171,6 +171,13 @@ def test_merging_does_not_depend_on_runs(spark):
     assert sum(n for *_, n in wants) == 300
 
 
+def test_of_repeated_rows_the_same_stays(spark):
+    rows = [(1, "a  b", f"n{i}", {"k": i}) for i in range(30)] + [(2, "a b", "m", None), (None, "c", "x", None), (None, "c", "y", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, note string, more map<string, int>")
+    kept = {tuple(sorted(map(repr, exact.unique(docs.repartition(n)).collect()))) for n in (1, 3, 8)}
+    assert len(kept) == 1 and len(kept.pop()) == 2
+
+
 # Token ids
 
 
@@ -201,6 +208,19 @@ def test_token_files_against_the_library(spark, texts):
     assert sums == {r.doc_id: zlib.crc32(r.ids) for r in rows}
 
 
+def test_other_vocabularies_are_encoded_whole(spark):
+    import public_tokenizers
+
+    cased = public_tokenizers.path("byte_bpe_50k.json")
+    assert tokens.cuts_words(WORDS) and not tokens.cuts_words(cased)
+    held = ["One, TWO  three", "", "It's DON'T\n\nx.,;y", None, "one one One"]
+    path = new_dir(spark, "ids")
+    tokens.write_ids(frame(spark, held), path, cased, end_id=2)
+    library = Tokenizer.from_file(cased)
+    got = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in tokens.read_ids(spark, path).collect()}
+    assert got == {i: library.encode(t or "", add_special_tokens=False).ids + [2] for i, t in enumerate(held)}
+
+
 # Pieces
 
 
@@ -221,6 +241,13 @@ def test_pieces_and_spans_against_the_library(spark, texts):
         assert walked.tolist() == ends.tolist()
 
 
+def test_the_query_holds_the_spans(spark):
+    held = ["two words", "é ﬁ 😀 ▁", "", None]
+    docs = frame(spark, held)
+    spans = {r.doc_id: hashlib.sha256(r.begins + r.ends).hexdigest() for r in pieces.encode(docs, PIECES).collect()}
+    assert {r.doc_id: r.spans_sha256 for r in pieces.digests(docs).collect()} == spans
+
+
 def test_the_character_map_takes_the_longest_prefix():
     # A trie of "a" -> "x" and "ab" -> "yz", laid out by hand.
     units = [0] * 1024
@@ -480,6 +507,59 @@ def test_classifier_on_held_out_rows(spark, documents, sf):
     assert (quality.fit(documents, flipped) == weights).all()
 
 
+def test_learning_against_a_plain_loop():
+    """Every step of the trainer, one number at a time, from features counted one by one."""
+    import math
+
+    s, rng = quality.Settings(bits=8), random.Random(4)
+    learner = quality.Ftrl(s, np.zeros(257), np.zeros(257))
+    z, n = [0.0] * 257, [0.0] * 257
+
+    def weight(i):
+        if abs(z[i]) <= s.l1:
+            return 0.0
+        return -(z[i] - math.copysign(s.l1, z[i])) / ((s.beta + math.sqrt(n[i])) / s.alpha + s.l2)
+
+    for _ in range(300):
+        counts = Counter(rng.randrange(256) for _ in range(rng.randrange(0, 30)))
+        label = float(rng.random() < 0.4)
+        places = sorted(counts)
+        learner.learn(np.array(places, np.int32), quality.amounts(np.array([counts[p] for p in places])), label)
+        norm = math.sqrt(max(1e-12, sum(math.log1p(c) ** 2 for c in counts.values())))
+        x = {p: math.log1p(counts[p]) / norm for p in places} | {256: 1.0}
+        w = {i: weight(i) for i in x}
+        error = 1 / (1 + math.exp(-sum(w[i] * v for i, v in x.items()))) - label
+        for i, v in x.items():
+            g = error * v
+            z[i] += g - (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / s.alpha * w[i]
+            n[i] += g * g
+    assert learner.z == pytest.approx(z, abs=1e-9) and learner.n == pytest.approx(n, abs=1e-9)
+    assert learner.weights(slice(None)) == pytest.approx([weight(i) for i in range(257)], abs=1e-9)
+
+
+def test_features_against_a_plain_count():
+    def mixed(salt, hashes, bits):
+        m = salt
+        for h in hashes:
+            m = ((m ^ h) * 0x9E3779B97F4A7C15) % 2**64
+            m ^= m >> 29
+        return (m * 0x9E3779B97F4A7C15) % 2**64 >> (64 - bits)
+
+    import xxhash
+
+    def hashed(text):
+        return int.from_bytes(xxhash.xxh32_digest(text), "little")
+
+    for text in ["", "one", "Two words", "A b, C-3 x!! é É 12 the THE the", " \n "]:
+        words = re.findall(r"[^\W\d_]+|\d+|(?:[^\w\s]|_)+", text)
+        low, shape = ([hashed(f(w)) for w in words] for f in (str.lower, lambda w: "shape " + quality._shape(w)))
+        want = Counter()
+        for salt, (run, size) in enumerate([(low, 1), (low, 2), (shape, 1), (shape, 2), (shape, 3)], 1):
+            want.update(mixed(salt, run[i : i + size], 10) for i in range(len(run) - size + 1))
+        places, counts = quality.features(quality.word_hashes(), text, 10)
+        assert dict(zip(places.tolist(), counts.tolist())) == want
+
+
 def test_targets_are_met_and_capped(spark):
     rng = random.Random(9)
     rows = [(i, "w " * rng.randrange(1, 60), None, f"s{int(rng.random() ** 2 * 7)}" if i % 11 else None) for i in range(4000)]

@@ -69,15 +69,19 @@ def groups(docs: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
 
 
 def unique(docs: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
-    """The documents with one row for each text, all columns as they were."""
+    """The documents with one row for each text, all columns as they were.
+
+    Of rows that repeat an identifier with its text, the one whose JSON has the least SHA-256
+    stays, so that reruns agree on the other columns.
+    """
     runs = stored(digest_runs(docs), "digest-runs")
     kept = tree_merge(runs, fan_in).select(F.col("keep_id").alias("__id"), F.col("text_sha256").alias("__sha"))
     text = F.regexp_replace(text_or_empty(), f"{SPACE}+", " ")
     rows = docs.select(F.struct("*").alias("__row"), F.sha2(text, 256).alias("__of"))
     firsts = rows.join(kept, (F.col("__of") == F.col("__sha")) & F.col("__row.doc_id").eqNullSafe(F.col("__id")), "left_semi")
     if not is_empty(runs.groupBy("text_sha256", "doc_id").count().where("count > 1")):
-        # Rows that repeat an identifier with its text: any one of them.
-        firsts = firsts.groupBy("__of").agg(F.first("__row").alias("__row"))
+        # A task keeps one row per text before the shuffle.
+        firsts = firsts.groupBy("__of").agg(F.min_by("__row", F.sha2(F.to_json("__row"), 256)).alias("__row"))
     return firsts.select("__row.*")
 
 

@@ -160,12 +160,17 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
 
 
 def digests(docs: DataFrame, model: str | None = None) -> DataFrame:
+    """Digests of the ids, of the decoded text and, in ``spans_sha256``, of all begins and then all ends."""
     if model is None:
         import public_tokenizers
 
         model = public_tokenizers.path("piece_bpe_32k.model")
     return encode(docs, model).select(
-        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        F.sha2(F.concat("begins", "ends"), 256).alias("spans_sha256"),
     )
 
 

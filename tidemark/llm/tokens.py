@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
 import zlib
-from collections.abc import Iterator
-from functools import cache
+from collections.abc import Callable, Iterator
+from functools import cache, partial
 from itertools import islice
 
 import numpy as np
@@ -26,11 +27,14 @@ from tidemark.session import new_dir
 BLOCK, CHUNK = 1024, 1 << 16
 #: The width of a block holds this share of its values; the rest are exceptions.
 PERCENTILE = 95
-#: Words whose ids a worker remembers, some 200 bytes each.
-KEPT_WORDS = 800_000
+#: Words whose ids a worker remembers, and as many stems and marks, some 200 bytes each.
+KEPT_WORDS = 400_000
 #: Letters before U+0130, where lowering knows no exceptions, and marks that are no apostrophe.
 _LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-į]+")
 _LETTERS_MARKS = re.compile(f"({_LETTERS.pattern})([.,;:!?*&%$#]*)")
+#: The normaliser and the pattern of words for which the cuts below are right.
+_LOWERED = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+_CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _HEAD = struct.Struct("<IHBH")  # minimum, values, width in bits, exceptions
 
 CHUNKS = (
@@ -83,6 +87,46 @@ def unpack(starts: bytes, blocks: bytes) -> np.ndarray:
     return np.concatenate(found) if found else np.empty(0, "<u4")
 
 
+def cuts_words(vocabulary: str) -> bool:
+    """Whether no token of this tokenizer crosses white space, letters end at marks, and case is ignored."""
+    with open(vocabulary, encoding="utf-8") as held:
+        spec = json.load(held)
+    first, *rest = (spec["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+    bytewise = [(p["type"], p.get("add_prefix_space"), p.get("use_regex")) for p in rest] == [("ByteLevel", False, False)]
+    plain = not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] or re.search(r"\s", t["content"]) for t in spec["added_tokens"])
+    return bool(
+        spec["added_tokens"]
+        and plain
+        and (spec["normalizer"] or {}).get("normalizers") == _LOWERED
+        and first.get("pattern") == {"Regex": _CUT}
+        and bytewise
+        and spec["model"]["type"] == "BPE"
+        and not spec["model"].get("dropout")
+    )
+
+
+@cache
+def whole_encoder(vocabulary: str) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]:
+    """Ids of all texts in a line and how many each has, by the library alone."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(vocabulary)
+
+    def encode(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        found = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts.to_pylist()]
+        return np.array([i for ids in found for i in ids], np.int64), np.array([len(ids) for ids in found], np.int64)
+
+    return encode
+
+
+def encoder(vocabulary: str) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]:
+    """By words that a worker remembers where the tokenizer cuts texts so, else whole."""
+    if not cuts_words(vocabulary):
+        return whole_encoder(vocabulary)
+    return partial(gather_words, word_encoder(vocabulary))
+
+
 @cache
 def word_encoder(vocabulary: str) -> PieceCache:
     """Ids by word, kept while the worker lives.
@@ -138,9 +182,11 @@ def word_encoder(vocabulary: str) -> PieceCache:
     return PieceCache(learn, limit=KEPT_WORDS)
 
 
-def encode_texts(words: PieceCache, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+def encode_texts(
+    encode: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]], texts: pa.Array, end_id: int
+) -> tuple[np.ndarray, np.ndarray]:
     """The ids of all texts, each ended by ``end_id``, and how many each has."""
-    ids, lengths = gather_words(words, texts)
+    ids, lengths = encode(texts)
     return np.insert(ids.ravel(), np.cumsum(lengths), end_id).astype(np.uint32), lengths + 1
 
 
@@ -156,7 +202,7 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str, end_id: int = 1, chun
     schema = to_arrow_schema(StructType.fromDDL(CHUNKS))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, words = TaskContext.get().partitionId(), word_encoder(vocabulary)
+        shard, ids_of = TaskContext.get().partitionId(), encoder(vocabulary)
         number = start = held = 0
         ids, doc_ids, lengths = [], [], []
 
@@ -169,7 +215,7 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str, end_id: int = 1, chun
             return pa.RecordBatch.from_pylist([out], schema=schema)
 
         for batch in batches:
-            own, counts = encode_texts(words, batch.column("text"), end_id)
+            own, counts = encode_texts(ids_of, batch.column("text"), end_id)
             at = 0
             for doc_id, n in zip(batch.column("doc_id").to_pylist(), counts.tolist()):
                 ids.append(own[at : at + n])
