@@ -160,11 +160,35 @@ def test_command_line_of_the_store(spark, sf, monkeypatch):
     _, order, options, as_json, fmt, mode, show = taken["args"]
     assert (order, as_json, fmt, mode, show) == (["event_id"], True, "parquet", "overwrite", 0)
     assert options.carry == (("event_id", "bigint"),) and options.default_env == "e" and taken["options"] == {"path": "/x"}
-    for wrong in (["store", *given[1:-8]], ["rows", "--show", "3", "--path", "p", *given[1:7]], ["rows", *given[1:7]]):
+    for wrong in (["store", *given[1:-8]], ["rows", *given[1:7]]):
         with pytest.raises(SystemExit):
             job.start(spark, job.parser().parse_args([w for w in wrong if w not in ("--order", "event_id")]))
 
 
+def test_a_peek_reads_what_was_written_and_not_the_messages(spark, sf, files, capsys):
+    found, path = queries.dictionaries(spark, sf), new_dir(spark, "json")
+    source = logs.file_messages(spark, files, fixtures.MESSAGES, max_files=1)
+    streams.start_row_json(source, found, path, new_dir(spark, "checkpoint"), None).awaitTermination()
+    peeked = streams.written_rows(spark, path)
+    query = peeked.writeStream.format("memory").queryName("peeked").option("checkpointLocation", new_dir(spark, "checkpoint")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert held(spark.table("peeked")) == held(spark.read.parquet(path)) and spark.table("peeked").count() > 3
+    streams.show_rows(3)(spark.read.parquet(path), 0)
+    assert capsys.readouterr().out.count('{"MID"') == 3
+
+
+def test_command_line_of_a_peek(spark, sf, monkeypatch):
+    path, taken = new_dir(spark, "job"), []
+    given = ["rows", "--show", "3", "--path", path, "--checkpoint", new_dir(spark, "checkpoint"), "--interval", "once",
+             "--files", fixtures.table_path(spark, sf, "messages"), "--metric-ids", fixtures.table_path(spark, sf, "metric_ids"),
+             "--hierarchy", fixtures.table_path(spark, sf, "hierarchy")]
+    monkeypatch.setattr(job.jobs, "start_batches", lambda rows, write, *rest: taken.append((rows, rest)))
+    job.start(spark, job.parser().parse_args(given))
+    ((rows, (checkpoint, interval)),) = taken
+    assert rows.isStreaming and checkpoint == f"{given[6]}-show" and interval is None
+    assert set(spark.read.parquet(path).columns) == set(rows.columns)
+
+
 def test_kafka_options():
     assert logs.kafka_options() == {
         "kafka.bootstrap.servers": "localhost:9092",

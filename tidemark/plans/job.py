@@ -75,7 +75,7 @@ def parser() -> argparse.ArgumentParser:
     store.add_argument("--order", action="append", default=[], help="columns by which the last row of a key is known")
     store.add_argument("--keep", help="event time over which the last write of a key holds across batches, such as '1 day'")
     store.add_argument("--as-json", action="store_true", help="pass rows through JSON texts, without METRIC")
-    out.add_argument("--show", type=int, default=0, help="print the first rows of each batch (modes batches, store)")
+    out.add_argument("--show", type=int, default=0, help="print the first rows of each batch")
     return out
 
 
@@ -136,9 +136,6 @@ def _fresh(spark: SparkSession, args: argparse.Namespace) -> Callable[[], Dictio
 
 def start(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
     """Start the query that the arguments describe."""
-    by_batch = args.mode in ("batches", "store")
-    if args.show and not by_batch:
-        raise SystemExit("--show works in the modes batches and store")
     if not args.path and args.mode != "store":
         raise SystemExit("give --path")
     if args.mode == "store" and not args.order:
@@ -182,7 +179,12 @@ def start(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
         jobs.start_quarantine(source, args.bad, f"{args.checkpoint}-bad", interval, options)
     late = {"delay": args.delay} if args.mode.endswith("rollup") else {}
     found = _dictionaries(spark, args)
-    return begin(source, found, args.path, args.checkpoint, interval, options, **late)
+    query = begin(source, found, args.path, args.checkpoint, interval, options, **late)
+    if args.show:
+        if interval is None:  # the peek takes in what is there, too
+            query.awaitTermination()
+        jobs.start_peek(spark, args.path, args.show, f"{args.checkpoint}-show", interval)
+    return query
 
 
 def main(argv: Sequence[str] | None = None) -> None:

@@ -284,6 +284,13 @@ WHERE pick = 1""",
             f"""
 SELECT {KEY}, event_id, CASE WHEN "MID" = 3 THEN round(metric_sum + 1, 4) ELSE metric_sum END AS metric_sum, metric_items
 FROM (SELECT *, row_number() OVER (PARTITION BY {KEY} ORDER BY event_id DESC) AS pick FROM everything)
+WHERE pick = 1""",
+        ),
+        "merged_buckets": _with(
+            base,
+            f"""
+SELECT {KEY}, event_id, CASE WHEN "MID" = 3 THEN round(metric_sum + 1, 4) ELSE metric_sum END AS metric_sum, metric_items
+FROM (SELECT *, row_number() OVER (PARTITION BY {KEY} ORDER BY event_id DESC) AS pick FROM everything)
 WHERE pick = 1""",
         ),
         "store_rows": _with(

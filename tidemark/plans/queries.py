@@ -20,7 +20,7 @@ from tidemark.plans import redrive
 from tidemark.plans import rows as jobs
 from tidemark.schemas import METRIC, ROW_KEY, SERIES_KEY
 from tidemark.session import new_dir, prepare
-from tidemark.sinks import rollups, stores, table
+from tidemark.sinks import buckets, rollups, stores, table
 from tidemark.sources import fixtures
 from tidemark.sources.messages import file_messages
 from tidemark.streaming import jobs as streams
@@ -346,6 +346,22 @@ def compacted_dates(spark: SparkSession, sf: str) -> DataFrame:
     return kept.select(*ROW_KEY, "event_id", *flat_cell("METRIC", "sum", "items"))
 
 
+def merged_buckets(spark: SparkSession, sf: str) -> DataFrame:
+    """The same, twice over, with the table in buckets that the corrections are brought to."""
+    base, once, twice = (new_dir(spark, name) for name in ("base", "changed", "changed"))
+    early, late = new_dir(spark, "log"), new_dir(spark, "log")
+    rows = _all_rows(spark, sf)
+    first = upsert.latest_per_key(rows.withColumn("seq", F.col("event_id")), ["seq"])
+    buckets.write_buckets(first, base, 4)
+    sent = fixtures.derive_replayed(rows).where(F.col("seq") != F.col("event_id"))
+    table.write_log(sent.where("event_id % 2 = 0"), early)
+    table.write_log(sent, late)
+    buckets.merge_changes(spark, [base], [early], once, ["seq"])
+    buckets.merge_changes(spark, [base, once], [late, early], twice, ["seq"])
+    kept = buckets.read_table(spark, base, once, twice)
+    return kept.select(*ROW_KEY, "event_id", *flat_cell("METRIC", "sum", "items"))
+
+
 def store_rows(spark: SparkSession, sf: str) -> DataFrame:
     """One batch of messages upserted into a store, here a folder of files, and read back."""
     path = new_dir(spark, "store")
@@ -533,6 +549,7 @@ QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     upsert_latest,
     compacted_log,
     compacted_dates,
+    merged_buckets,
     store_rows,
     batch_peek,
     sliding_window_rows,

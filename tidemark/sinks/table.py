@@ -7,7 +7,7 @@ no folder is written while it is read.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,8 +35,12 @@ def declare(rows: DataFrame, path: str) -> None:
 
     Readers of the folder skip names that begin with an underscore.
     """
-    laid = log_layout(rows)
-    laid.sparkSession.createDataFrame([], laid.schema).write.mode("ignore").parquet(f"{path}/{SCHEMA}")
+    note_schema(log_layout(rows), path)
+
+
+def note_schema(rows: DataFrame, path: str) -> None:
+    """Write a table without rows beside the files, unless there is one."""
+    rows.sparkSession.createDataFrame([], rows.schema).write.mode("ignore").parquet(f"{path}/{SCHEMA}")
 
 
 def write_log(rows: DataFrame, path: str, mode: str = "append", even: bool = True) -> None:
@@ -99,23 +103,25 @@ def compact_changed(
     The dates come from the logs' folders. Of ``base`` only these dates are read; with
     :func:`read_layers` both make the whole table.
     """
-    dates = _dates(read_log(spark, *logs))
+    dates = dates_of(read_log(spark, *logs))
     rows = read_log(spark, base, *logs)
     write_log(current(rows, order, dates), target, mode="errorifexists", even=bool(dates))
 
 
-def read_layers(spark: SparkSession, base: str, *layers: str) -> DataFrame:
+def read_layers(
+    spark: SparkSession, base: str, *layers: str, read: Callable[[SparkSession, str], DataFrame] = read_log
+) -> DataFrame:
     """A keyed table of a base and later layers: each date as its newest layer has it."""
     newest, taken, parts = list(reversed((base, *layers))), set(), []
     for path in newest:
-        rows = read_log(spark, path)
+        rows = read(spark, path)
         parts.append(rows.where(~F.col("event_date").cast("string").isin(sorted(taken))) if taken else rows)
         if path != base:
-            taken |= set(_dates(rows))
+            taken |= set(dates_of(rows))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def _dates(rows: DataFrame) -> list[str]:
+def dates_of(rows: DataFrame) -> list[str]:
     """The dates a log holds: as many as it has folders."""
     return [str(r.event_date) for r in rows.select("event_date").distinct().collect()]
 

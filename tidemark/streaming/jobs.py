@@ -24,7 +24,7 @@ from tidemark.plans.rows import Options, metric_rows, quarantine, tagged_rows
 from tidemark.schemas import ROW_KEY, SERIES_KEY
 from tidemark.session import new_dir
 from tidemark.sinks.stores import KEYED_FORMAT, peek, stored_rows, write_rows
-from tidemark.sinks.table import PARTITIONS, declare, log_layout, remove, write_log
+from tidemark.sinks.table import PARTITIONS, SCHEMA, declare, log_layout, note_schema, remove, write_log
 from tidemark.streaming.state import SHARDS, newest_windows, newest_writes, open_rollup
 
 # Fixed value: the time between micro-batches when none is given.
@@ -45,6 +45,7 @@ def timed(writer: DataStreamWriter, interval: str | None = INTERVAL) -> DataStre
 
 
 def _to_files(df: DataFrame, path: str, checkpoint: str, interval: str | None) -> DataStreamWriter:
+    note_schema(df, path)
     writer = df.writeStream.format("parquet").outputMode("append")
     return timed(writer.option("path", path).option("checkpointLocation", checkpoint), interval)
 
@@ -281,6 +282,25 @@ def store_writer(
     return write
 
 
+def written_rows(spark: SparkSession, path: str) -> DataFrame:
+    """What a query of this module appends to ``path``, as a stream: each batch's files once they are committed."""
+    return spark.readStream.schema(spark.read.parquet(f"{path}/{SCHEMA}").schema).parquet(path)
+
+
+def show_rows(n: int) -> Callable[[DataFrame, int], None]:
+    """What a per-batch query does to print the first rows; it reads no more than they take."""
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        peek(rows, n).show(n, False)
+
+    return write
+
+
+def start_peek(spark: SparkSession, path: str, n: int, checkpoint: str, interval: str | None = INTERVAL) -> StreamingQuery:
+    """Print the first rows of what another query appends to ``path``, without reading its messages again."""
+    return start_batches(written_rows(spark, path), show_rows(n), checkpoint, interval)
+
+
 def start_batches(
     messages: DataFrame,
     write: Callable[[DataFrame, int], None],
