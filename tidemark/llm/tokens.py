@@ -28,7 +28,7 @@ BLOCK, CHUNK = 1024, 1 << 16
 #: The width of a block holds this share of its values; the rest are exceptions.
 PERCENTILE = 95
 #: Words whose ids a worker remembers, and as many stems and marks, some 200 bytes each.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 600_000
 #: Letters before U+0130, where lowering knows no exceptions, and marks that are no apostrophe.
 _LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-į]+")
 _LETTERS_MARKS = re.compile(f"({_LETTERS.pattern})([.,;:!?*&%$#]*)")
