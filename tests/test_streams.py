@@ -8,7 +8,7 @@ from tidemark.schemas import ROW_KEY
 from tidemark.session import new_dir
 from tidemark.sinks import table
 from tidemark.sources import fixtures, messages as logs
-from tidemark.streaming import jobs as streams
+from tidemark.streaming import jobs as streams, state
 
 
 @pytest.fixture(scope="module")
@@ -227,3 +227,16 @@ def test_command_line(spark, sf, mode):
     argv = [mode, *(x for k, v in given.items() for x in (f"--{k}", v))]
     job.start(spark, job.parser().parse_args(argv)).awaitTermination()
     assert spark.read.parquet(path).count() > 0
+
+
+def test_stream_upserts_splits_a_block_of_time_over_shards(spark, sf, monkeypatch):
+    """A block's keys are spread over shards, so that no state holds all rows of an hour."""
+    given, start = [], streams.start_newest_writes
+
+    def spy(*args, **settings):
+        given.append(settings.get("shards", state.SHARDS))
+        return start(*args, **settings)
+
+    monkeypatch.setattr(streams, "start_newest_writes", spy)
+    assert queries.stream_upserts(spark, sf).count() > 0
+    assert given and min(given) > 1

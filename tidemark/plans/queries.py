@@ -511,7 +511,7 @@ def stream_upserts(spark: SparkSession, sf: str) -> DataFrame:
         part = rows.where((F.col("seq") != F.col("event_id")) == later).select(*columns)
         part.write.mode("append").parquet(f"{sent}/part={int(not later)}")
         source = file_messages(spark, f"{sent}/part=*", part.schema)
-        streams.start_newest_writes(source, ["seq"], path, checkpoint, None, "3650 days", shards=1).awaitTermination()
+        streams.start_newest_writes(source, ["seq"], path, checkpoint, None, "3650 days").awaitTermination()
     put = spark.read.parquet(path).withColumn("_put", F.col("version"))
     return upsert.latest_per_key(put, ["_put"], tie=None).select(*ROW_KEY, "seq", *flat_cell("METRIC", *MEASURES))
 
