@@ -240,3 +240,24 @@ def test_stream_upserts_splits_a_block_of_time_over_shards(spark, sf, monkeypatc
     monkeypatch.setattr(streams, "start_newest_writes", spy)
     assert queries.stream_upserts(spark, sf).count() > 0
     assert given and min(given) > 1
+
+
+def test_dealt_spreads_a_large_date_with_the_batch(spark):
+    """One outcome and date read by many tasks is shared by more than ``files`` tasks."""
+    rows = spark.range(0, 4000, 1, 16).select(
+        F.lit("good").alias("outcome"),
+        F.lit("2024-01-01").cast("date").alias("event_date"),
+        *[F.col("id").cast("string").alias(c) for c in ROW_KEY],
+        F.col("id").cast("string").alias("raw"),
+    )
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        out = streams.dealt(rows, files=2).withColumn("task", F.spark_partition_id())
+        sizes = [r["n"] for r in out.groupBy("task").agg(F.count("*").alias("n")).collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sum(sizes) == 4000
+    assert len(sizes) > 4 and max(sizes) < 4000 // 4

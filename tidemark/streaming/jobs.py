@@ -61,14 +61,22 @@ def start_rows(
 ) -> StreamingQuery:
     """Append rows and quarantine to the log, once each, from one read of the source.
 
-    A batch writes up to ``files`` files per outcome and date, so that a date with most
-    rows is shared by as many tasks and no task writes a file for every date.
+    Rows of an outcome and date are dealt by ``dealt``, so that no task writes a file for
+    every date and a date with most rows is shared by as many tasks as the batch allows.
     """
     laid = log_layout(tagged_rows(messages, dictionaries, options, FATES))
     declare(laid.drop(*PARTITIONS), path)
+    return _to_files(dealt(laid, files), path, checkpoint, interval).partitionBy(*PARTITIONS).start()
+
+
+def dealt(laid: DataFrame, files: int = FILES_PER_DATE) -> DataFrame:
+    """Rows moved so that those of an outcome and date come together, in ``files`` parts of
+    each task that read them: the parts of a date grow with the batch, and none holds more
+    than the rows of that date that one task read.
+    """
     part = F.pmod(F.xxhash64(*ROW_KEY, F.col("raw")), F.lit(files))
-    dealt = laid.withColumn("_part", part).repartition(*PARTITIONS, "_part").drop("_part")
-    return _to_files(dealt, path, checkpoint, interval).partitionBy(*PARTITIONS).start()
+    keyed = laid.withColumn("_part", part).withColumn("_read", F.spark_partition_id())
+    return keyed.repartition(*PARTITIONS, "_part", "_read").drop("_part", "_read")
 
 
 def start_quarantine(
